@@ -19,7 +19,7 @@ from rentmill.operators import preview, run_sql
 from rentmill.plans.business import RANKINGS, rank, rank_directly
 from rentmill.plans.layers import (
     QUALITY_RULES, build_business, build_staging, land_tables, layer_report, load_raw, project, quality_to_access,
-    raw_to_quality,
+    raw_to_quality, store_tables,
 )
 from rentmill.plans.pipeline import run_pipeline
 from rentmill.plans.staging import STAGES
@@ -167,9 +167,9 @@ def _with_raw(spark: SparkSession, sf_dir: str, label: str) -> str:
 
 
 def _with_access(spark: SparkSession, sf_dir: str, label: str) -> str:
-    root = scratch_folder(spark, label)
-    for table, df in ShopTables(spark, sf_dir).all().items():
-        write_layer(project(table, df, QUALITY_RULES), root, ACCESS, table)
+    """A fresh root whose access layer is filled straight from the derived tables."""
+    root, shop = scratch_folder(spark, label), ShopTables(spark, sf_dir)
+    store_tables(spark, lambda table: project(table, shop[table], QUALITY_RULES), root, ACCESS)
     return root
 
 

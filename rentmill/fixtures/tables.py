@@ -9,210 +9,121 @@ fact table to the query under test.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from rentmill.schemas import SCHEMAS, TABLES
 from rentmill.session import fit_to_input
 
-UPDATED = "2006-02-15 09:45:25.123456"
-COPIES_PER_FILM = 6
+UPDATED = "TIMESTAMP_NTZ '2006-02-15 09:45:25.123456'"
 
 
-def _text(prefix: str, number: Column) -> Column:
-    return F.concat(F.lit(prefix), number.cast("string"))
-
-
-def _key_of(name: str) -> Column:
+def _key_of(name: str) -> str:
     """A 52-bit key for a name, the same in every engine that has MD5."""
-    return F.conv(F.substring(F.md5(name), 1, 13), 16, 10).cast("long")
-
-
-def _days_later(column: str, days: int) -> Column:
-    return F.col(column) + F.expr(f"INTERVAL '{days}' DAY")
-
-
-def actor(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("s_suppkey").alias("actor_id"),
-        F.col("s_name").alias("first_name"),
-        _text("L", F.col("s_suppkey") % 37).alias("last_name"),
-        F.lit(UPDATED).alias("last_update"),
-    )
-
-
-def address(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("c_custkey").alias("address_id"),
-        F.col("c_name").alias("address"),
-        F.col("c_mktsegment").alias("address2"),
-        _text("D", F.col("c_nationkey")).alias("district"),
-        F.col("c_nationkey").alias("city_id"),
-        _text("0", F.col("c_custkey") % 1000).alias("postal_code"),
-        _text("00", F.col("c_custkey")).alias("phone"),
-        F.lit(UPDATED).alias("last_update"),
-    )
-
-
-def category(base: DataFrame) -> DataFrame:
-    return base.select("p_type").distinct().select(
-        _key_of("p_type").alias("category_id"), F.col("p_type").alias("name"), F.lit(UPDATED).alias("last_update")
-    )
-
-
-def city(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("n_nationkey").alias("city_id"),
-        F.col("n_name").alias("city"),
-        F.col("n_regionkey").alias("country_id"),
-        F.lit(UPDATED).alias("last_update"),
-    )
-
-
-def country(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("r_regionkey").alias("country_id"), F.col("r_name").alias("country"), F.lit(UPDATED).alias("last_update")
-    )
-
-
-def customer(base: DataFrame) -> DataFrame:
-    in_credit = F.col("c_acctbal") >= 0
-    return base.select(
-        F.col("c_custkey").alias("customer_id"),
-        (F.col("c_custkey") % 5).alias("store_id"),
-        F.col("c_name").alias("first_name"),
-        _text("C", F.col("c_custkey") % 401).alias("last_name"),
-        F.concat("c_name", F.lit("@example.org")).alias("email"),
-        F.col("c_custkey").alias("address_id"),
-        in_credit.alias("activebool"),
-        F.lit("2006-02-14").cast("date").alias("create_date"),
-        F.lit(UPDATED).alias("last_update"),
-        in_credit.cast("int").alias("active"),
-    )
-
-
-def film(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("p_partkey").alias("film_id"),
-        F.col("p_name").alias("title"),
-        F.concat("p_name", F.lit(', a "'), "p_type", F.lit('" part\nof '), "p_brand").alias("description"),
-        (F.col("p_size") + 1990).alias("release_year"),
-        (F.col("p_partkey") % 4).alias("language_id"),
-        (F.col("p_size") % 5 + 3).alias("rental_duration"),
-        (F.col("p_size") + F.lit("0.99").cast("decimal(12,2)")).alias("rental_rate"),
-        (F.col("p_size") + 60).alias("length"),
-        F.col("p_retailprice").alias("replacement_cost"),
-        F.col("p_brand").alias("rating"),
-        F.lit(UPDATED).alias("last_update"),
-        F.concat(F.lit("{"), "p_type", F.lit("}")).alias("special_features"),
-        F.col("p_name").alias("fulltext"),
-    )
-
-
-def film_actor(base: DataFrame) -> DataFrame:
-    """Every supplier that ever shipped a part acts in its film."""
-    pairs = base.select(F.col("l_suppkey").alias("actor_id"), F.col("l_partkey").alias("film_id")).distinct()
-    return pairs.withColumn("last_update", F.lit(UPDATED))
-
-
-def film_category(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("p_partkey").alias("film_id"), _key_of("p_type").alias("category_id"), F.lit(UPDATED).alias("last_update")
-    )
-
-
-def inventory(base: DataFrame) -> DataFrame:
-    stores = F.sequence(F.lit(0), F.lit(COPIES_PER_FILM - 1))
-    copies = base.select(F.col("p_partkey").alias("film_id"), F.explode(stores).alias("store_id"))
-    return copies.select(
-        (F.col("film_id") * COPIES_PER_FILM + F.col("store_id")).alias("inventory_id"),
-        "film_id",
-        "store_id",
-        F.lit(UPDATED).alias("last_update"),
-    )
-
-
-def language(base: DataFrame) -> DataFrame:
-    return base.select("lang").distinct().select(
-        _key_of("lang").alias("language_id"), F.col("lang").alias("name"), F.lit(UPDATED).alias("last_update")
-    )
-
-
-def payment(base: DataFrame) -> DataFrame:
-    unmatched = (F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 10 == 0)
-    return base.select(
-        F.col("o_orderkey").alias("payment_id"),
-        F.col("o_custkey").alias("customer_id"),
-        (F.col("o_custkey") % 5).alias("staff_id"),
-        F.when(~unmatched, F.col("o_orderkey") * 10 + 1).alias("rental_id"),
-        F.col("o_totalprice").alias("amount"),
-        F.col("o_orderdate").alias("payment_date"),
-    )
-
-
-def rental(base: DataFrame) -> DataFrame:
-    return base.select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rental_id"),
-        F.col("l_shipdate").alias("rental_date"),
-        (F.col("l_partkey") * COPIES_PER_FILM + F.col("l_suppkey") % COPIES_PER_FILM).alias("inventory_id"),
-        F.col("l_orderkey").alias("customer_id"),
-        F.when(F.col("l_returnflag") != "N", _days_later("l_shipdate", 3)).alias("return_date"),
-        F.col("l_suppkey").alias("staff_id"),
-        _days_later("l_shipdate", 4).alias("last_update"),
-    )
-
-
-def staff(base: DataFrame) -> DataFrame:
-    return base.select(
-        F.col("s_suppkey").alias("staff_id"),
-        F.col("s_name").alias("first_name"),
-        _text("S", F.col("s_nationkey")).alias("last_name"),
-        F.col("s_suppkey").alias("address_id"),
-        F.concat("s_name", F.lit("@example.org")).alias("email"),
-        (F.col("s_nationkey") % 5).alias("store_id"),
-        (F.col("s_acctbal") >= 0).alias("active"),
-        F.col("s_name").alias("username"),
-        F.md5("s_name").alias("password"),
-        F.lit(UPDATED).alias("last_update"),
-        F.lit(None).cast("string").alias("picture"),
-    )
-
-
-def store(base: DataFrame) -> DataFrame:
-    key = F.col("r_regionkey")
-    return base.select(
-        key.alias("store_id"),
-        key.alias("manager_staff_id"),
-        key.alias("address_id"),
-        F.lit(UPDATED).alias("last_update"),
-    )
-
-
-# Rental table -> its derivation and the order table it is derived from.
-DERIVATIONS = {
-    "actor": (actor, "supplier"),
-    "address": (address, "customer"),
-    "category": (category, "part"),
-    "city": (city, "nation"),
-    "country": (country, "region"),
-    "customer": (customer, "customer"),
-    "film": (film, "part"),
-    "film_actor": (film_actor, "lineitem"),
-    "film_category": (film_category, "part"),
-    "inventory": (inventory, "part"),
-    "language": (language, "documents"),
-    "payment": (payment, "orders"),
-    "rental": (rental, "lineitem"),
-    "staff": (staff, "supplier"),
-    "store": (store, "region"),
+    return f"conv(substring(md5({name}), 1, 13), 16, 10)"
+
+
+# Rental table -> base table, rows taken from it, and an expression per column.
+DERIVATIONS: dict[str, tuple[str, str, dict[str, str]]] = {
+    "actor": ("supplier", "all", {
+        "actor_id": "s_suppkey",
+        "first_name": "s_name",
+        "last_name": "concat('L', s_suppkey % 37)",
+    }),
+    "address": ("customer", "all", {
+        "address_id": "c_custkey",
+        "address": "c_name",
+        "address2": "c_mktsegment",
+        "district": "concat('D', c_nationkey)",
+        "city_id": "c_nationkey",
+        "postal_code": "concat('0', c_custkey % 1000)",
+        "phone": "concat('00', c_custkey)",
+    }),
+    "category": ("part", "distinct p_type", {"category_id": _key_of("p_type"), "name": "p_type"}),
+    "city": ("nation", "all", {"city_id": "n_nationkey", "city": "n_name", "country_id": "n_regionkey"}),
+    "country": ("region", "all", {"country_id": "r_regionkey", "country": "r_name"}),
+    "customer": ("customer", "all", {
+        "customer_id": "c_custkey",
+        "store_id": "c_custkey % 5",
+        "first_name": "c_name",
+        "last_name": "concat('C', c_custkey % 401)",
+        "email": "concat(c_name, '@example.org')",
+        "address_id": "c_custkey",
+        "activebool": "c_acctbal >= 0",
+        "create_date": "DATE '2006-02-14'",
+        "active": "if(c_acctbal >= 0, 1, 0)",
+    }),
+    "film": ("part", "all", {
+        "film_id": "p_partkey",
+        "title": "p_name",
+        "description": """concat(p_name, ', a "', p_type, '" part\\nof ', p_brand)""",
+        "release_year": "1990 + p_size",
+        "language_id": "p_partkey % 4",
+        "rental_duration": "3 + p_size % 5",
+        "rental_rate": "p_size + 0.99BD",
+        "length": "60 + p_size",
+        "replacement_cost": "p_retailprice",
+        "rating": "p_brand",
+        "special_features": "concat('{', p_type, '}')",
+        "fulltext": "p_name",
+    }),
+    # Every supplier that ever shipped a part acts in its film.
+    "film_actor": ("lineitem", "distinct l_suppkey l_partkey", {"actor_id": "l_suppkey", "film_id": "l_partkey"}),
+    "film_category": ("part", "all", {"film_id": "p_partkey", "category_id": _key_of("p_type")}),
+    "inventory": ("part", "six copies", {
+        "inventory_id": "p_partkey * 6 + copy",
+        "film_id": "p_partkey",
+        "store_id": "copy",
+    }),
+    "language": ("documents", "distinct lang", {"language_id": _key_of("lang"), "name": "lang"}),
+    "payment": ("orders", "all", {
+        "payment_id": "o_orderkey",
+        "customer_id": "o_custkey",
+        "staff_id": "o_custkey % 5",
+        "rental_id": "if(o_orderstatus = 'P' AND o_orderkey % 10 = 0, NULL, o_orderkey * 10 + 1)",
+        "amount": "o_totalprice",
+        "payment_date": "o_orderdate",
+    }),
+    "rental": ("lineitem", "all", {
+        "rental_id": "l_orderkey * 10 + l_linenumber",
+        "rental_date": "l_shipdate",
+        "inventory_id": "l_partkey * 6 + l_suppkey % 6",
+        "customer_id": "l_orderkey",
+        "return_date": "if(l_returnflag = 'N', NULL, l_shipdate + INTERVAL '3' DAY)",
+        "staff_id": "l_suppkey",
+        "last_update": "l_shipdate + INTERVAL '4' DAY",
+    }),
+    "staff": ("supplier", "all", {
+        "staff_id": "s_suppkey",
+        "first_name": "s_name",
+        "last_name": "concat('S', s_nationkey)",
+        "address_id": "s_suppkey",
+        "email": "concat(s_name, '@example.org')",
+        "store_id": "s_nationkey % 5",
+        "active": "s_acctbal >= 0",
+        "username": "s_name",
+        "password": "md5(s_name)",
+        "picture": "NULL",
+    }),
+    "store": ("region", "all", {
+        "store_id": "r_regionkey", "manager_staff_id": "r_regionkey", "address_id": "r_regionkey",
+    }),
 }
 
 
 def derive(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One rental table in its declared types."""
-    derivation, base = DERIVATIONS[table]
-    derived = derivation(spark.read.parquet(f"{sf_dir}/{base}.parquet"))
-    return derived.select(*(F.col(field.name).cast(field.dataType) for field in SCHEMAS[table].fields))
+    base, rows, columns = DERIVATIONS[table]
+    source = spark.read.parquet(f"{sf_dir}/{base}.parquet")
+    if rows.startswith("distinct "):
+        source = source.select(*rows.split()[1:]).distinct()
+    elif rows == "six copies":
+        source = source.selectExpr("p_partkey", "explode(sequence(0, 5)) AS copy")
+    return source.selectExpr(
+        *(
+            f"CAST({columns.get(field.name, UPDATED)} AS {field.dataType.simpleString()}) AS {field.name}"
+            for field in SCHEMAS[table].fields
+        )
+    )
 
 
 class ShopTables(dict):

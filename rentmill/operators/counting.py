@@ -66,19 +66,22 @@ def join_counts(
     )
 
 
-def count_along(
-    tables: Mapping[str, DataFrame],
-    fact: str,
+def count_by(fact: DataFrame, key: str, counted: str = "rental_id") -> DataFrame:
+    """Rows with a non-null ``counted`` per value of ``key``."""
+    return fact.groupBy(key).agg(F.count(counted).alias(COUNT))
+
+
+def carry_counts(
+    counts: DataFrame,
     key: str,
+    tables: Mapping[str, DataFrame],
     hops: Sequence[tuple[str, str]],
-    counted: str = "rental_id",
     **join_settings: int,
 ) -> DataFrame:
-    """Non-null ``counted`` of ``fact`` per value of the last hop's column.
+    """The counts of ``key`` per value of the last hop's column.
 
     Each hop ``(table, column)`` joins on the column reached so far and moves on to ``column``.
     """
-    counts = tables[fact].groupBy(key).agg(F.count(counted).alias(COUNT))
     for table, column in hops:
         links = tables[table].select(*dict.fromkeys((key, column)))
         counts = join_counts(counts, links, key, **join_settings).groupBy(column).agg(F.sum(COUNT).alias(COUNT))

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmill.operators.counting import COUNT, count_along
+from rentmill.operators.counting import COUNT, carry_counts, count_by
 from rentmill.operators.ranking import TOTAL, order_by_total, rank_by_count
 
 
@@ -54,15 +54,25 @@ def rank(target: str, stage: DataFrame, limit: int | None = None, tie_break: boo
     return rank_by_count(stage, ranking.key, ranking.name, limit, tie_break)
 
 
+def count_facts(ranking: Ranking, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rentals (or payments) per key of the fact table, where the ranking's route starts."""
+    return count_by(tables[ranking.fact], ranking.fact_key)
+
+
 def rank_directly(
     target: str,
     tables: Mapping[str, DataFrame],
+    counts: DataFrame | None = None,
     limit: int | None = None,
     tie_break: bool = True,
     **join_settings: int,
 ) -> DataFrame:
-    """The same ranking from the access tables, without building staging rows."""
+    """The same ranking from the access tables, without building staging rows.
+
+    ``counts`` takes the result of :func:`count_facts` where a caller has stored it.
+    """
     ranking = RANKINGS[target]
-    counts = count_along(tables, ranking.fact, ranking.fact_key, ranking.hops, **join_settings)
+    counts = count_facts(ranking, tables) if counts is None else counts
+    counts = carry_counts(counts, ranking.fact_key, tables, ranking.hops, **join_settings)
     totals = counts.select(F.col(ranking.key).alias(ranking.name), F.col(COUNT).alias(TOTAL))
     return order_by_total(totals, ranking.name, limit, tie_break)

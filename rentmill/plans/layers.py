@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.plans.business import RANKINGS, rank, rank_directly
+from rentmill.parallel import for_each
+from rentmill.plans.business import RANKINGS, count_facts, rank, rank_directly
 from rentmill.plans.staging import RENTED_COPIES, STAGES, rented_copies
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
 from rentmill.sinks.csv import export_csv
@@ -22,17 +21,6 @@ from rentmill.storage import scratch_folder
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
 
-# Tables of a layer are independent jobs; a few at a time keep executors busy through the small ones.
-TABLES_AT_ONCE = 4
-
-
-def _for_each(spark: SparkSession, names: Iterable[str], act: Callable[[str], None]) -> None:
-    """Run ``act`` for every name, several at once; all run even if one fails, then the failure is raised."""
-    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        runs = [pool.submit(inheritable_thread_target(spark)(act), name) for name in names]
-    for run in runs:
-        run.result()
-
 
 def quality_address(address: DataFrame) -> DataFrame:
     """The address columns kept from the quality layer on; the second address line goes."""
@@ -47,29 +35,32 @@ def project(table: str, df: DataFrame, rules: Rules) -> DataFrame:
     return rules[table](df) if table in rules else df
 
 
+def store_tables(
+    spark: SparkSession, source: Source, root: str, layer: str, tables: Iterable[str] = TABLES
+) -> None:
+    """Replace tables of a layer with what ``source`` gives for their names."""
+    for_each(spark, tables, lambda table: write_layer(source(table), root, layer, table))
+
+
 def land_tables(spark: SparkSession, source: Source, landing: str, tables: Iterable[str] = TABLES) -> None:
     """Export every source table to a CSV folder of its own."""
-    _for_each(spark, tables, lambda table: export_csv(source(table), f"{landing}/{table}"))
+    for_each(spark, tables, lambda table: export_csv(source(table), f"{landing}/{table}"))
 
 
 def load_raw(spark: SparkSession, landing: str, root: str, tables: Iterable[str] = TABLES) -> None:
     """Load every CSV folder into the raw layer under its declared schema."""
-
-    def load(table: str) -> None:
-        write_layer(read_csv_folder(spark, f"{landing}/{table}", SCHEMAS[table]), root, RAW, table)
-
-    _for_each(spark, tables, load)
+    store_tables(
+        spark, lambda table: read_csv_folder(spark, f"{landing}/{table}", SCHEMAS[table]), root, RAW, tables
+    )
 
 
 def promote(
     spark: SparkSession, root: str, source: str, target: str, rules: Rules, tables: Iterable[str] = TABLES
 ) -> None:
     """Copy every table from one layer to the next, through its rule if it has one."""
-
-    def copy(table: str) -> None:
-        write_layer(project(table, read_layer(spark, root, source, table), rules), root, target, table)
-
-    _for_each(spark, tables, copy)
+    store_tables(
+        spark, lambda table: project(table, read_layer(spark, root, source, table), rules), root, target, tables
+    )
 
 
 def raw_to_quality(spark: SparkSession, root: str, rules: Rules = QUALITY_RULES) -> None:
@@ -80,6 +71,14 @@ def quality_to_access(spark: SparkSession, root: str, rules: Rules | None = None
     promote(spark, root, QUALITY, ACCESS, rules or {})
 
 
+def _written_once(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in shared scratch space, so that several jobs read it instead of computing it again."""
+    spark = df.sparkSession
+    path = f"{scratch_folder(spark, 'shared')}/{name}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def build_staging(spark: SparkSession, root: str) -> None:
     """Write the six staging tables.
 
@@ -87,30 +86,41 @@ def build_staging(spark: SparkSession, root: str) -> None:
     written once and read four times.
     """
     tables = load_layer(spark, root, ACCESS, TABLES)
-    shared = f"{scratch_folder(spark, 'staging')}/{RENTED_COPIES}"
-    rented_copies(tables).write.parquet(shared)
-    tables[RENTED_COPIES] = spark.read.parquet(shared)
-    _for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
+    tables[RENTED_COPIES] = _written_once(rented_copies(tables), RENTED_COPIES)
+    for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
 
 
 def build_business(spark: SparkSession, root: str, source: str = STAGING) -> None:
-    """Write the six rankings, from the staging layer or (``source="access"``) without it."""
+    """Write the six rankings, from the staging layer or (``source="access"``) without it.
+
+    Without staging each fact table is read once, to count it per key; all rankings go on from the counts.
+    """
     if source == STAGING:
         stages = load_layer(spark, root, STAGING, RANKINGS)
         rankings = {target: rank(target, stages[target]) for target in RANKINGS}
     else:
         tables = load_layer(spark, root, source, TABLES)
-        rankings = {target: rank_directly(target, tables) for target in RANKINGS}
-    _for_each(spark, rankings, lambda target: write_layer(rankings[target], root, BUSINESS, target))
+        facts = {ranking.fact: ranking for ranking in RANKINGS.values()}
+        counts = for_each(
+            spark, facts, lambda fact: _written_once(count_facts(facts[fact], tables), f"{fact}_counts")
+        )
+        counted = dict(zip(facts, counts))
+        rankings = {
+            target: rank_directly(target, tables, counted[ranking.fact]) for target, ranking in RANKINGS.items()
+        }
+    for_each(spark, rankings, lambda target: write_layer(rankings[target], root, BUSINESS, target))
 
 
 def layer_report(spark: SparkSession, root: str, layers: Mapping[str, Iterable[str]]) -> DataFrame:
-    """Rows of every stored table, as (layer, table, rows). The counts come from the Parquet footers."""
-    counts = [
-        read_layer(spark, root, layer, table)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), "rows")
-        for layer, tables in layers.items()
-        for table in tables
+    """Rows of every stored table, as (layer, table, rows).
+
+    One job over all tables that reads no column; a zero per table keeps empty tables in the report.
+    """
+    names = [(layer, table) for layer, tables in layers.items() for table in tables]
+    stored = for_each(spark, names, lambda name: read_layer(spark, root, *name))
+    rows = [
+        df.select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), F.lit(1).cast("long").alias("rows"))
+        for (layer, table), df in zip(names, stored)
     ]
-    return reduce(DataFrame.unionAll, counts)
+    zeros = spark.createDataFrame([(*name, 0) for name in names], "layer string, table string, rows long")
+    return reduce(DataFrame.unionAll, rows, zeros).groupBy("layer", "table").agg(F.sum("rows").alias("rows"))

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rentmill.parallel import for_each
 from rentmill.storage import layer_path
 
 
@@ -14,4 +15,5 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFr
 
 
 def load_layer(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    return {table: read_layer(spark, root, layer, table) for table in tables}
+    names = list(tables)
+    return dict(zip(names, for_each(spark, names, lambda table: read_layer(spark, root, layer, table))))
