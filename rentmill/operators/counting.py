@@ -17,8 +17,8 @@ COUNT, COPIES, SALT, HOT = "_count", "_copies", "_salt", "_hot"
 
 # A link table up to this size is joined as it is: even a third of it is one ordinary task's work.
 PLAIN_JOIN_BYTES = 2 << 30
-# A key with at least this many distinct links is spread over several tasks. At most rows / HOT_LINKS keys
-# can be that large, which bounds the broadcast list of them: 10^13 links give a million keys, a few MB.
+# A key with at least this many links is spread over several tasks. At most rows / HOT_LINKS keys can be that
+# large, which bounds the broadcast list of them: 10^13 links give a million keys, tens of MB.
 HOT_LINKS = 10_000_000
 SALTS = 64
 
@@ -39,21 +39,22 @@ def join_counts(
 ) -> DataFrame:
     """``counts`` (one row per key) inner-joined to ``links``, a row's count repeated for each link.
 
-    Counts arrive partitioned by key, which leaves adaptive execution no shuffle to split on that side. So for
-    a large link table copies are collapsed first, and the keys that still have very many links are
-    found and salted; their few counts are repeated once per salt. All other keys join unsalted.
+    Counts arrive partitioned by key, which leaves adaptive execution no shuffle to split on that side. So in
+    a large link table the keys with very many links are found (a pass over the key column alone) and
+    salted; their few counts are repeated once per salt. All other keys join unsalted. Copies of a link are
+    collapsed into one first, since copies cannot be told apart by a salt.
     """
     if planned_bytes(links) <= plain_join_bytes:
         return counts.join(links, key)
     carried = [c for c in links.columns if c != key]
-    links = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
+    pairs = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
     if not carried:
-        return counts.join(links, key).withColumn(COUNT, F.col(COUNT) * F.col(COPIES)).drop(COPIES)
+        return counts.join(pairs, key).select(key, (F.col(COUNT) * F.col(COPIES)).alias(COUNT))
     hot = F.broadcast(
         links.groupBy(key).agg(F.count(F.lit(1)).alias(HOT)).where(F.col(HOT) >= hot_links).select(key, F.lit(1).alias(HOT))
     )
     is_hot = F.col(HOT).isNotNull()
-    spread_links = links.join(hot, key, "left").withColumn(
+    spread_pairs = pairs.join(hot, key, "left").withColumn(
         SALT, F.when(is_hot, F.pmod(F.xxhash64(*carried), F.lit(salts)).cast("int")).otherwise(0)
     )
     repeated_counts = counts.join(hot, key, "left").withColumn(
@@ -61,7 +62,7 @@ def join_counts(
     )
     return (
         repeated_counts.drop(HOT)
-        .join(spread_links.drop(HOT), [key, SALT])
+        .join(spread_pairs.drop(HOT), [key, SALT])
         .select(*carried, (F.col(COUNT) * F.col(COPIES)).alias(COUNT))
     )
 

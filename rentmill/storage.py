@@ -44,16 +44,24 @@ def replace_folder(spark: SparkSession, incoming: str, target: str) -> None:
     place, _ = _locate(spark, target)
     outgoing, _ = _locate(spark, sibling(target, "outgoing"))
     had_content = files.exists(place)
-    if had_content and not files.rename(place, outgoing):
-        raise OSError(f"could not set aside {target}")
-    if not files.rename(new, place):
+    if had_content:
+        _rename(files, place, outgoing)
+    try:
+        _rename(files, new, place)
+    except Exception:
         if had_content:
-            files.rename(outgoing, place)
-        raise OSError(f"could not move {incoming} to {target}")
+            _rename(files, outgoing, place)
+        raise
     if had_content:
         files.delete(outgoing, True)
 
 
+def _rename(files, source, target) -> None:
+    """Some file systems report a failed rename by an exception, others by returning false."""
+    if not files.rename(source, target):
+        raise OSError(f"could not rename {source.toString()} to {target.toString()}")
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, removed when the session's JVM ends.
 

@@ -1,0 +1,94 @@
+"""CSV export and load: what survives, and what must fail."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+from pathlib import Path
+
+import pytest
+from conftest import bag
+from pyspark.sql import types as T
+
+from rentmill.schemas import SCHEMAS
+from rentmill.sinks import export_csv
+from rentmill.sources import read_csv_folder
+from rentmill.sources.csv import read_options
+
+TEXTS = [
+    'a,"b"', "line one\nline two", "dos\r\nline", "lone\rreturn", "01234", "  padded  ", "back\\slash\\", '"', '\\"',
+    "#hash", "é漢", "x" * 50_000, "'", "\\N", "null",
+]
+
+
+def test_text_survives_whole(spark, tmp_path):
+    df = spark.createDataFrame(list(enumerate(TEXTS)), "id long, text string")
+    export_csv(df, f"{tmp_path}/texts")
+    assert bag(read_csv_folder(spark, f"{tmp_path}/texts", df.schema)) == bag(df)
+
+
+def test_typed_values_survive(spark, tmp_path):
+    schema = T.StructType([
+        T.StructField("id", T.LongType()), T.StructField("at", T.TimestampNTZType()),
+        T.StructField("day", T.DateType()), T.StructField("amount", T.DecimalType(12, 2)),
+        T.StructField("active", T.BooleanType()),
+    ])
+    rows = [
+        (2**40, dt.datetime(2005, 5, 24, 22, 53, 30, 123456), dt.date(2005, 5, 24), Decimal("123456.78"), True),
+        (2, dt.datetime(2005, 5, 24, 22, 53, 30), None, Decimal("0.10"), False),
+        (None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    export_csv(df, f"{tmp_path}/typed")
+    assert bag(read_csv_folder(spark, f"{tmp_path}/typed", schema)) == bag(df)
+
+
+def test_empty_text_comes_back_as_null(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None)], "id long, text string")
+    export_csv(df, f"{tmp_path}/empty")
+    assert bag(read_csv_folder(spark, f"{tmp_path}/empty", df.schema)) == {(1, None): 1, (2, None): 1}
+
+
+def test_every_file_of_a_folder_loads_and_columns_bind_by_position(spark, tmp_path):
+    folder = tmp_path / "actor"
+    folder.mkdir()
+    (folder / "one.csv").write_bytes(b"id,first,last,at\r\n1,Ann,WOOD,2006-02-15 09:45:25\r\n")
+    (folder / "two.csv").write_bytes(b"actor_id,x,y,z\n2,\"B\nC\",\"O\"\"NEIL\",2006-02-15 09:45:25.5\n")
+    loaded = read_csv_folder(spark, str(folder), SCHEMAS["actor"])
+    assert loaded.schema.fieldNames() == ["actor_id", "first_name", "last_name", "last_update"]
+    assert bag(loaded) == {
+        (1, "Ann", "WOOD", dt.datetime(2006, 2, 15, 9, 45, 25)): 1,
+        (2, "B\nC", 'O"NEIL', dt.datetime(2006, 2, 15, 9, 45, 25, 500000)): 1,
+    }
+
+
+def test_types_are_inferred_only_without_a_schema(spark, tmp_path):
+    export_csv(spark.createDataFrame([("01234", 5)], "code string, n long"), f"{tmp_path}/codes")
+    inferred = read_csv_folder(spark, f"{tmp_path}/codes")
+    assert inferred.dtypes == [("code", "int"), ("n", "int")]
+    assert read_csv_folder(spark, f"{tmp_path}/codes", T.StructType.fromDDL("code string, n long")).first()[0] == "01234"
+
+
+def test_a_malformed_row_stops_the_load(spark, tmp_path):
+    folder = tmp_path / "bad"
+    folder.mkdir()
+    (folder / "bad.csv").write_text("film_id,category_id,last_update\n1,2,2006-02-15 09:45:25\nx,2,2006-02-15 09:45:25\n")
+    with pytest.raises(Exception, match="MALFORMED|Malformed"):
+        read_csv_folder(spark, str(folder), SCHEMAS["film_category"]).collect()
+
+
+def test_fact_tables_stay_splittable_and_files_stay_bounded(spark, tmp_path):
+    for table in ("rental", "payment", "inventory", "film_actor", "film_category"):
+        assert read_options(SCHEMAS[table])["multiLine"] is False
+    assert read_options(SCHEMAS["film"])["multiLine"] is True
+    assert read_options(None)["multiLine"] is True
+    export_csv(spark.range(100).coalesce(1), f"{tmp_path}/parts", rows_per_file=30)
+    assert len(list(Path(f"{tmp_path}/parts").glob("part-*.csv"))) == 4
+    assert read_csv_folder(spark, f"{tmp_path}/parts", T.StructType.fromDDL("id long")).count() == 100
+
+
+def test_export_replaces_an_earlier_export(spark, tmp_path):
+    for n in (5, 3):
+        export_csv(spark.range(n), f"{tmp_path}/numbers")
+    assert read_csv_folder(spark, f"{tmp_path}/numbers", T.StructType.fromDDL("id long")).count() == 3
+    assert [path.name for path in tmp_path.iterdir()] == ["numbers"]
