@@ -35,7 +35,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 RATING_SQL = """
-    SELECT film.rating, count(*) AS rentals, count(DISTINCT inventory.store_id) AS stores
+    SELECT film.rating, count(*) AS rentals
     FROM rental
     JOIN inventory ON inventory.inventory_id = rental.inventory_id
     JOIN film ON film.film_id = inventory.film_id
@@ -320,7 +320,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "filter_returned": oracle.over_shop("SELECT * FROM f_rental WHERE return_date IS NOT NULL"),
         "sql_surface": oracle.over_shop(
-            "SELECT f.rating, count(*) AS rentals, count(DISTINCT i.store_id) AS stores "
+            "SELECT f.rating, count(*) AS rentals "
             "FROM f_rental AS r, f_inventory AS i, f_film AS f WHERE r.inventory_id = i.inventory_id "
             "AND i.film_id = f.film_id AND r.return_date IS NOT NULL GROUP BY f.rating"
         ),

@@ -1,14 +1,17 @@
 """Counting along a chain of joins without building the joined rows.
 
 A ranking joins facts to ever coarser dimensions and counts at the end. Inner joins and counts commute: the
-facts can be counted per key first and the counts carried through each join, summed again after every hop.
-The first count combines on the map side, so a key that owns a third of the facts costs one row per map
-task, and every later hop moves one row per key instead of one per fact.
+facts can be counted per key first and the counts carried through each join, summed again before the next.
+Sums combine on the map side, so a key that owns a third of the facts costs one row per map task, and
+every shuffle moves one row per key instead of one per fact.
+
+Summing before a join is free where the join shuffles on that key anyway, and worth it where the join fans
+out. Before a dimension small enough to be broadcast it would only add a shuffle, so there it is left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,23 +31,29 @@ def planned_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def broadcast_bytes(df: DataFrame) -> int:
+    """The size up to which the planner broadcasts a side of a join; negative when it never does."""
+    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
 def join_counts(
     counts: DataFrame,
     links: DataFrame,
     key: str,
     *,
+    links_bytes: int | None = None,
     plain_join_bytes: int = PLAIN_JOIN_BYTES,
     hot_links: int = HOT_LINKS,
     salts: int = SALTS,
 ) -> DataFrame:
-    """``counts`` (one row per key) inner-joined to ``links``, a row's count repeated for each link.
+    """``counts`` inner-joined to ``links``, a row's count repeated for each link.
 
     Counts arrive partitioned by key, which leaves adaptive execution no shuffle to split on that side. So in
     a large link table the keys with very many links are found (a pass over the key column alone) and
     salted; their few counts are repeated once per salt. All other keys join unsalted. Copies of a link are
     collapsed into one first, since copies cannot be told apart by a salt.
     """
-    if planned_bytes(links) <= plain_join_bytes:
+    if (planned_bytes(links) if links_bytes is None else links_bytes) <= plain_join_bytes:
         return counts.join(links, key)
     carried = [c for c in links.columns if c != key]
     pairs = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
@@ -67,9 +76,13 @@ def join_counts(
     )
 
 
-def count_by(fact: DataFrame, key: str, counted: str = "rental_id") -> DataFrame:
-    """Rows with a non-null ``counted`` per value of ``key``."""
-    return fact.groupBy(key).agg(F.count(counted).alias(COUNT))
+def counted_rows(fact: DataFrame, key: str, counted: str = "rental_id") -> DataFrame:
+    """Every row of ``fact`` with its key, counting one if ``counted`` is not null and zero if it is."""
+    return fact.select(key, F.col(counted).isNotNull().cast("long").alias(COUNT))
+
+
+def sum_counts(counts: DataFrame, key: str) -> DataFrame:
+    return counts.groupBy(key).agg(F.sum(COUNT).alias(COUNT))
 
 
 def carry_counts(
@@ -77,14 +90,19 @@ def carry_counts(
     key: str,
     tables: Mapping[str, DataFrame],
     hops: Sequence[tuple[str, str]],
+    fan_out: Collection[str] = (),
     **join_settings: int,
 ) -> DataFrame:
     """The counts of ``key`` per value of the last hop's column.
 
-    Each hop ``(table, column)`` joins on the column reached so far and moves on to ``column``.
+    Each hop ``(table, column)`` joins on the column reached so far and moves on to ``column``. ``fan_out``
+    names the tables that match many rows per key.
     """
     for table, column in hops:
         links = tables[table].select(*dict.fromkeys((key, column)))
-        counts = join_counts(counts, links, key, **join_settings).groupBy(column).agg(F.sum(COUNT).alias(COUNT))
+        size = planned_bytes(links)
+        if table in fan_out or size > broadcast_bytes(links):
+            counts = sum_counts(counts, key)
+        counts = join_counts(counts, links, key, links_bytes=size, **join_settings)
         key = column
-    return counts
+    return sum_counts(counts, key)

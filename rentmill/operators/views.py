@@ -17,7 +17,8 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 @contextmanager
 def named_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
     """Register views for the length of a block, then put back whatever had those names before."""
-    temporary = {view.name for view in spark.catalog.listTables() if view.isTemporary}
+    same_names = spark.catalog.listTables(pattern="|".join(tables)) if tables else []
+    temporary = {view.name for view in same_names if view.isTemporary}
     hidden = {name: spark.table(name) for name in tables if name.lower() in temporary}
     register_views(tables)
     try:

@@ -11,8 +11,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmill.operators.counting import COUNT, carry_counts, count_by
+from rentmill.operators.counting import COUNT, carry_counts, counted_rows, sum_counts
 from rentmill.operators.ranking import TOTAL, order_by_total, rank_by_count
+from rentmill.schemas import BRIDGES
 
 
 @dataclass(frozen=True)
@@ -56,7 +57,11 @@ def rank(target: str, stage: DataFrame, limit: int | None = None, tie_break: boo
 
 def count_facts(ranking: Ranking, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rentals (or payments) per key of the fact table, where the ranking's route starts."""
-    return count_by(tables[ranking.fact], ranking.fact_key)
+    return sum_counts(_facts(ranking, tables), ranking.fact_key)
+
+
+def _facts(ranking: Ranking, tables: Mapping[str, DataFrame]) -> DataFrame:
+    return counted_rows(tables[ranking.fact], ranking.fact_key)
 
 
 def rank_directly(
@@ -72,7 +77,7 @@ def rank_directly(
     ``counts`` takes the result of :func:`count_facts` where a caller has stored it.
     """
     ranking = RANKINGS[target]
-    counts = count_facts(ranking, tables) if counts is None else counts
-    counts = carry_counts(counts, ranking.fact_key, tables, ranking.hops, **join_settings)
+    counts = _facts(ranking, tables) if counts is None else counts
+    counts = carry_counts(counts, ranking.fact_key, tables, ranking.hops, BRIDGES, **join_settings)
     totals = counts.select(F.col(ranking.key).alias(ranking.name), F.col(COUNT).alias(TOTAL))
     return order_by_total(totals, ranking.name, limit, tie_break)

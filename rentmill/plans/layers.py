@@ -12,11 +12,12 @@ from rentmill.parallel import for_each
 from rentmill.plans.business import RANKINGS, count_facts, rank, rank_directly
 from rentmill.plans.staging import RENTED_COPIES, STAGES, rented_copies
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
+from rentmill.session import fit_to_input
 from rentmill.sinks.csv import export_csv
 from rentmill.sinks.layers import write_layer
 from rentmill.sources.csv import read_csv_folder
 from rentmill.sources.layers import load_layer, read_layer
-from rentmill.storage import scratch_folder
+from rentmill.storage import layer_path, scratch_folder
 
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
@@ -85,6 +86,7 @@ def build_staging(spark: SparkSession, root: str) -> None:
     Four of them start from the join of rentals to inventory, the largest shuffle of all. It is
     written once and read four times.
     """
+    fit_to_input(spark, layer_path(root, ACCESS, ""))
     tables = load_layer(spark, root, ACCESS, TABLES)
     tables[RENTED_COPIES] = _written_once(rented_copies(tables), RENTED_COPIES)
     for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
@@ -95,6 +97,7 @@ def build_business(spark: SparkSession, root: str, source: str = STAGING) -> Non
 
     Without staging each fact table is read once, to count it per key; all rankings go on from the counts.
     """
+    fit_to_input(spark, layer_path(root, source, ""))
     if source == STAGING:
         stages = load_layer(spark, root, STAGING, RANKINGS)
         rankings = {target: rank(target, stages[target]) for target in RANKINGS}

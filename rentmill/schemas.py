@@ -53,6 +53,8 @@ SCHEMAS: dict[str, T.StructType] = {
 }
 
 TABLES = tuple(SCHEMAS)
+# Tables that link many rows to one film.
+BRIDGES = ("film_actor", "film_category")
 
 RAW, QUALITY, ACCESS, STAGING, BUSINESS = LAYERS = ("raw", "quality", "access", "staging", "business")
 

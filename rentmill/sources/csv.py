@@ -18,18 +18,21 @@ DIALECT = {
 }
 
 
-def read_options(schema: T.StructType | None) -> dict[str, object]:
+def read_options(schema: T.StructType | None, line_breaks: bool | None = None) -> dict[str, object]:
     """Reader options for a table.
 
     Only text can hold a line break, and a file that may hold one cannot be split between tasks. The fact
-    tables have no text column, so their files stay splittable whatever their size. A malformed row stops
-    the load instead of turning into nulls.
+    tables have no text column, so their files stay splittable whatever their size; ``line_breaks=False`` says the
+    same of a table whose text is known to have none. A malformed row stops the load instead of turning into nulls.
     """
-    may_hold_line_breaks = schema is None or any(isinstance(f.dataType, T.StringType) for f in schema.fields)
-    return DIALECT | {"multiLine": may_hold_line_breaks, "mode": "FAILFAST"}
+    if line_breaks is None:
+        line_breaks = schema is None or any(isinstance(f.dataType, T.StringType) for f in schema.fields)
+    return DIALECT | {"multiLine": line_breaks, "mode": "FAILFAST"}
 
 
-def read_csv_folder(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_csv_folder(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool | None = None
+) -> DataFrame:
     """All CSV files under ``path``. Columns bind by position; types are inferred only without a schema."""
-    reader = spark.read.options(**read_options(schema))
+    reader = spark.read.options(**read_options(schema, line_breaks))
     return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)

@@ -82,6 +82,7 @@ def test_fact_tables_stay_splittable_and_files_stay_bounded(spark, tmp_path):
         assert read_options(SCHEMAS[table])["multiLine"] is False
     assert read_options(SCHEMAS["film"])["multiLine"] is True
     assert read_options(None)["multiLine"] is True
+    assert read_options(SCHEMAS["film"], line_breaks=False)["multiLine"] is False
     export_csv(spark.range(100).coalesce(1), f"{tmp_path}/parts", rows_per_file=30)
     assert len(list(Path(f"{tmp_path}/parts").glob("part-*.csv"))) == 4
     assert read_csv_folder(spark, f"{tmp_path}/parts", T.StructType.fromDDL("id long")).count() == 100

@@ -25,13 +25,21 @@ def initial_plan(df) -> str:
 def test_direct_rankings_combine_before_the_first_shuffle_and_reuse_its_partitioning(spark, setting):
     setting(spark__sql__autoBroadcastJoinThreshold=-1)
     shape = initial_plan(rank_directly("Top_Film", ShopTables(spark, SF_DIR)))
-    assert "partial_count(rental_id" in shape
+    assert "partial_sum(_count" in shape
     # Per hop one exchange for the counts and one for the links; none is repeated for the join.
     assert shape.count("Exchange hashpartitioning(inventory_id") == 2
     assert shape.count("Exchange hashpartitioning(film_id") == 2
     assert "CartesianProduct" not in shape and "NestedLoop" not in shape
 
 
+def test_small_dimensions_add_no_shuffle(spark):
+    shape = initial_plan(rank_directly("Top_Film", ShopTables(spark, SF_DIR)))
+    assert shape.count("BroadcastHashJoin") == 2
+    assert shape.count("Exchange hashpartitioning") == 1
+    fanned = initial_plan(rank_directly("Top_Actor", ShopTables(spark, SF_DIR)))
+    assert "Exchange hashpartitioning(film_id" in fanned
+
+
 def test_scans_read_only_the_columns_of_the_query(spark):
     shape = plan(weekly_returned(ShopTables(spark, SF_DIR)["rental"]))
     assert "ReadSchema: struct<l_returnflag:string,l_shipdate:timestamp_ntz>" in shape
