@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where the join's partitioning would have served the next aggregation.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 SHUFFLE_BYTES = 256 << 20
@@ -39,10 +41,11 @@ def fit_to_input(spark: SparkSession, path: str) -> None:
     """Raise (never lower) the shuffle width and split size so that partitions of a large input fit in memory.
 
     Adaptive execution merges the partitions that turn out small, so a width chosen from the whole
-    input is only an upper bound.
+    input is only an upper bound. An input that needs widening also gets its hot keys split throughout.
     """
     size = folder_bytes(spark, path)
     if reducers_for(size) > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(reducers_for(size)))
+        spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     if size > LARGE_INPUT:
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(LARGE_SPLIT))

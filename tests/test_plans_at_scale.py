@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
 from rentmill.fixtures.tables import ShopTables
-from rentmill.plans.business import rank_directly
+from rentmill.plans.business import rank, rank_directly
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import weekly_returned
 from rentmill.session import MOST_REDUCERS, fit_to_input, reducers_for
@@ -46,15 +47,34 @@ def test_scans_read_only_the_columns_of_the_query(spark):
     assert "partial_count" in shape
 
 
-def test_a_hot_copy_is_split_in_staging_joins(spark, setting, tmp_path):
-    """A third of all rentals are of one copy: adaptive execution splits that partition of the join."""
+@pytest.fixture
+def small_is_large(setting):
+    """Broadcast nothing, and call a partition of 20 kB skewed."""
     setting(
         spark__sql__autoBroadcastJoinThreshold=-1,
         spark__sql__adaptive__autoBroadcastJoinThreshold=-1,
         spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
         spark__sql__adaptive__skewJoin__skewedPartitionFactor=2,
         spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+        spark__sql__adaptive__coalescePartitions__minPartitionSize="20k",
     )
+
+
+def test_a_hot_store_is_split_before_it_is_counted(spark, small_is_large):
+    """The join is on the column that is counted next, which by itself would keep the hot store in one task."""
+    tables = ShopTables(spark, SF_DIR).all()
+    stores = [row.store_id for row in tables["store"].collect()]
+    hot = F.when(F.col("inventory_id") % 3 == 0, F.lit(stores[0])).otherwise(F.col("store_id"))
+    tables["inventory"] = tables["inventory"].withColumn("store_id", hot)
+    tables["rental"] = tables["rental"].repartition(8, "rental_id")
+    ranking = rank("Top_Store", STAGES["Top_Store"](tables))
+    expected = {tuple(row) for row in rank_directly("Top_Store", tables).collect()}
+    assert {tuple(row) for row in ranking.collect()} == expected
+    assert "skew=true" in plan(ranking)
+
+
+def test_a_hot_copy_is_split_in_staging_joins(spark, small_is_large):
+    """A third of all rentals are of one copy: adaptive execution splits that partition of the join."""
     tables = ShopTables(spark, SF_DIR).all()
     hot = F.when(F.col("rental_id") % 3 == 0, F.lit(6)).otherwise(F.col("inventory_id"))
     # Several map tasks, since a skewed partition is split along them.
