@@ -229,11 +229,11 @@ def layer_business_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _business_rows(spark, root)
 
 
-def pipeline_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"))
 
 
-def pipeline_to_access(spark: SparkSession, sf_dir: str) -> DataFrame:
+def layers_to_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"), upto=ACCESS)
 
 
@@ -288,8 +288,8 @@ def queries() -> dict[str, Query]:
     plain = (
         scan_csv, csv_roundtrip, scan_layer, write_overwrite, write_append, query_to_table, promote_identity,
         promote_address, filter_returned, sql_surface, week_trunc, count_nonnull, preview_top2, land_and_load,
-        layer_quality, layer_access, layer_staging, layer_business, layer_business_direct, pipeline_end_to_end,
-        pipeline_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive,
+        layer_quality, layer_access, layer_staging, layer_business, layer_business_direct, layers_end_to_end,
+        layers_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive,
     )
     return named | {query.__name__: query for query in plain}
 
@@ -337,8 +337,8 @@ def oracle_sql() -> dict[str, str]:
         "layer_staging": oracle.report((STAGING,)),
         "layer_business": business,
         "layer_business_direct": business,
-        "pipeline_end_to_end": oracle.report((RAW, QUALITY, ACCESS, STAGING, BUSINESS)),
-        "pipeline_to_access": oracle.report((RAW, QUALITY, ACCESS)),
+        "layers_end_to_end": oracle.report((RAW, QUALITY, ACCESS, STAGING, BUSINESS)),
+        "layers_to_access": oracle.report((RAW, QUALITY, ACCESS)),
         "append_weekly": oracle.over_shop(
             f"SELECT week, 2 * total AS total FROM ({oracle.WEEKLY}) AS w"
         ),

@@ -35,6 +35,7 @@ def _of_payments(key: str, name: str, *hops: tuple[str, str]) -> Ranking:
     return Ranking(key, name, "payment", "customer_id", hops)
 
 
+# The rankings' names, grouping columns and output names.
 RANKINGS: dict[str, Ranking] = {
     "Top_Actor": _of_rentals(
         "last_name", "last_name", ("inventory", "film_id"), ("film_actor", "actor_id"), ("actor", "last_name")

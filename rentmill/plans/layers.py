@@ -23,9 +23,12 @@ Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
 
 
+# The address columns kept from the quality layer on. The second address line goes.
+ADDRESS_COLUMNS = ("address_id", "address", "district", "city_id", "postal_code", "phone", "last_update")
+
+
 def quality_address(address: DataFrame) -> DataFrame:
-    """The address columns kept from the quality layer on; the second address line goes."""
-    return address.select("address_id", "address", "district", "city_id", "postal_code", "phone", "last_update")
+    return address.select(*ADDRESS_COLUMNS)
 
 
 QUALITY_RULES: Rules = {"address": quality_address}
@@ -50,6 +53,7 @@ def land_tables(spark: SparkSession, source: Source, landing: str, tables: Itera
 
 def load_raw(spark: SparkSession, landing: str, root: str, tables: Iterable[str] = TABLES) -> None:
     """Load every CSV folder into the raw layer under its declared schema."""
+    fit_to_input(spark, landing)
     store_tables(
         spark, lambda table: read_csv_folder(spark, f"{landing}/{table}", SCHEMAS[table]), root, RAW, tables
     )

@@ -16,6 +16,7 @@ def _table(**columns: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
+# The tables' names, columns and column order.
 SCHEMAS: dict[str, T.StructType] = {
     "actor": _table(actor_id=LONG, first_name=TEXT, last_name=TEXT, last_update=STAMP),
     "address": _table(

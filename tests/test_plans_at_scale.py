@@ -99,6 +99,6 @@ def test_shuffles_are_sized_to_the_input(spark, setting):
     assert reducers_for(0) == 0
     assert reducers_for((256 << 20) + 1) == 2
     assert reducers_for(100 << 40) == MOST_REDUCERS
-    setting(spark__sql__shuffle__partitions=8)
+    setting(spark__sql__shuffle__partitions=3)
     fit_to_input(spark, SF_DIR)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
