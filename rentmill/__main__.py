@@ -34,6 +34,7 @@ def arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--partitions", type=int, default=8, help="parallel reads per database table")
     parser.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="JDBC property")
     parser.add_argument("--upto", default="business", help="last layer of an all run")
+    parser.add_argument("--source", default="staging", choices=("staging", "access"), help="input of business")
     parser.add_argument("--files", help="folder of rental CSV files (weekly, ingest)")
     parser.add_argument("--checkpoint", help="record of the files loaded so far (ingest)")
     parser.add_argument("--archive", help="folder that loaded files move to (ingest)")
@@ -60,7 +61,7 @@ def main(argv: Sequence[str], spark: SparkSession | None = None, source: Source
         "quality": lambda: raw_to_quality(spark, root),
         "access": lambda: quality_to_access(spark, root),
         "staging": lambda: build_staging(spark, root),
-        "business": lambda: build_business(spark, root),
+        "business": lambda: build_business(spark, root, options.source),
         "all": lambda: run_pipeline(spark, source, root, options.upto).show(100, truncate=False),
         "weekly": lambda: append_and_summarise(spark, options.files, root),
         "ingest": ingest,

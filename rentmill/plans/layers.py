@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from contextlib import ExitStack
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from rentmill.sinks.csv import export_csv
 from rentmill.sinks.layers import write_layer
 from rentmill.sources.csv import read_csv_folder
 from rentmill.sources.layers import load_layer, read_layer
-from rentmill.storage import layer_path, scratch_folder
+from rentmill.storage import layer_path, written_once
 
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
@@ -76,14 +77,6 @@ def quality_to_access(spark: SparkSession, root: str, rules: Rules | None = None
     promote(spark, root, QUALITY, ACCESS, rules or {})
 
 
-def _written_once(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in shared scratch space, so that several jobs read it instead of computing it again."""
-    spark = df.sparkSession
-    path = f"{scratch_folder(spark, 'shared')}/{name}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def build_staging(spark: SparkSession, root: str) -> None:
     """Write the six staging tables.
 
@@ -92,8 +85,9 @@ def build_staging(spark: SparkSession, root: str) -> None:
     """
     fit_to_input(spark, layer_path(root, ACCESS, ""))
     tables = load_layer(spark, root, ACCESS, TABLES)
-    tables[RENTED_COPIES] = _written_once(rented_copies(tables), RENTED_COPIES)
-    for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
+    with written_once(rented_copies(tables), RENTED_COPIES) as copies:
+        tables[RENTED_COPIES] = copies
+        for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
 
 
 def build_business(spark: SparkSession, root: str, source: str = STAGING) -> None:
@@ -102,20 +96,22 @@ def build_business(spark: SparkSession, root: str, source: str = STAGING) -> Non
     Without staging each fact table is read once, to count it per key; all rankings go on from the counts.
     """
     fit_to_input(spark, layer_path(root, source, ""))
+
+    def store(rankings: Mapping[str, DataFrame]) -> None:
+        for_each(spark, rankings, lambda target: write_layer(rankings[target], root, BUSINESS, target))
+
     if source == STAGING:
         stages = load_layer(spark, root, STAGING, RANKINGS)
-        rankings = {target: rank(target, stages[target]) for target in RANKINGS}
-    else:
-        tables = load_layer(spark, root, source, TABLES)
-        facts = {ranking.fact: ranking for ranking in RANKINGS.values()}
-        counts = for_each(
-            spark, facts, lambda fact: _written_once(count_facts(facts[fact], tables), f"{fact}_counts")
-        )
-        counted = dict(zip(facts, counts))
-        rankings = {
-            target: rank_directly(target, tables, counted[ranking.fact]) for target, ranking in RANKINGS.items()
-        }
-    for_each(spark, rankings, lambda target: write_layer(rankings[target], root, BUSINESS, target))
+        store({target: rank(target, stages[target]) for target in RANKINGS})
+        return
+    tables = load_layer(spark, root, source, TABLES)
+    with ExitStack() as shared:
+        counts: dict[str, DataFrame] = {}
+        for ranking in RANKINGS.values():
+            if ranking.fact not in counts:
+                counted = written_once(count_facts(ranking, tables), f"{ranking.fact}_counts")
+                counts[ranking.fact] = shared.enter_context(counted)
+        store({target: rank_directly(target, tables, counts[r.fact]) for target, r in RANKINGS.items()})
 
 
 def layer_report(spark: SparkSession, root: str, layers: Mapping[str, Iterable[str]]) -> DataFrame:

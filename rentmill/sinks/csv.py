@@ -14,6 +14,8 @@ ROWS_PER_FILE = 2_000_000
 
 def export_csv(df: DataFrame, path: str, *, rows_per_file: int = ROWS_PER_FILE) -> None:
     """Replace the folder ``path`` with CSV part files of ``df``, written in parallel."""
+    if len(df.columns) == 1 and df.schema[0].nullable:
+        raise ValueError("a lone null is an empty line, which CSV readers skip: export at least two columns")
     incoming = sibling(path, "incoming")
     (
         df.write.options(**DIALECT)

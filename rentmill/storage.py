@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def layer_path(root: str, layer: str, table: str) -> str:
@@ -78,3 +80,19 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     files.mkdirs(located)
     files.deleteOnExit(located)
     return path
+
+
+@contextmanager
+def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a table in scratch space, for several jobs to read instead of computing it again.
+
+    The table goes when the block ends, so everything built on it must be stored by then.
+    """
+    spark = df.sparkSession
+    folder = scratch_folder(spark, name)
+    try:
+        df.write.parquet(f"{folder}/{name}")
+        yield spark.read.parquet(f"{folder}/{name}")
+    finally:
+        located, files = _locate(spark, folder)
+        files.delete(located, True)

@@ -88,6 +88,11 @@ def test_fact_tables_stay_splittable_and_files_stay_bounded(spark, tmp_path):
     assert read_csv_folder(spark, f"{tmp_path}/parts", T.StructType.fromDDL("id long")).count() == 100
 
 
+def test_a_table_that_csv_cannot_hold_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="two columns"):
+        export_csv(spark.createDataFrame([(None,)], "n long"), f"{tmp_path}/lone")
+
+
 def test_export_replaces_an_earlier_export(spark, tmp_path):
     for n in (5, 3):
         export_csv(spark.range(n), f"{tmp_path}/numbers")

@@ -93,6 +93,13 @@ def test_scratch_space_lies_in_the_folder_the_session_names(spark):
     assert not named or first.startswith(f"{named.rstrip('/')}/")
 
 
+def test_a_shared_table_goes_when_its_block_ends(spark):
+    with storage.written_once(spark.range(3), "numbers") as numbers:
+        (file, *_) = numbers.inputFiles()
+        assert numbers.count() == 3 and storage.folder_exists(spark, file)
+    assert not storage.folder_exists(spark, file)
+
+
 class Cluster:
     """A session on a cluster that names no shared folder."""
 

@@ -6,6 +6,7 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
+from rentmill import session
 from rentmill.fixtures.tables import ShopTables
 from rentmill.plans.business import rank, rank_directly
 from rentmill.plans.staging import STAGES
@@ -95,10 +96,17 @@ def test_large_links_broadcast_nothing_but_the_hot_keys(spark, setting):
     assert shape.count("BroadcastExchange") == 6
 
 
-def test_shuffles_are_sized_to_the_input(spark, setting):
+def test_shuffles_are_sized_to_the_input(spark, setting, monkeypatch):
     assert reducers_for(0) == 0
     assert reducers_for((256 << 20) + 1) == 2
     assert reducers_for(100 << 40) == MOST_REDUCERS
     setting(spark__sql__shuffle__partitions=3)
     fit_to_input(spark, SF_DIR)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    setting(spark__sql__adaptive__forceOptimizeSkewedJoin="false", spark__sql__files__maxPartitionBytes=128 << 20)
+    monkeypatch.setattr(session, "SHUFFLE_BYTES", 100_000)
+    monkeypatch.setattr(session, "LARGE_INPUT", 1_000_000)
+    fit_to_input(spark, SF_DIR)
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 30
+    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(session.LARGE_SPLIT)
