@@ -16,6 +16,8 @@ from collections.abc import Collection, Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rentmill.operators.sizes import broadcast_bytes, planned_bytes
+
 COUNT, COPIES, SALT, HOT = "_count", "_copies", "_salt", "_hot"
 
 # A link table up to this size is joined as it is: even a third of it is one ordinary task's work.
@@ -26,16 +28,6 @@ HOT_LINKS = 10_000_000
 SALTS = 64
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate, read from the plan without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_bytes(df: DataFrame) -> int:
-    """The size up to which the planner broadcasts a side of a join; negative when it never does."""
-    return df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-
-
 def join_counts(
     counts: DataFrame,
     links: DataFrame,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rentmill.parallel import for_each
 from rentmill.plans.business import RANKINGS, count_facts, rank, rank_directly
-from rentmill.plans.staging import RENTED_COPIES, STAGES, rented_copies
+from rentmill.plans.staging import RENTED_FILMS, STAGES, rented_films
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
 from rentmill.session import fit_to_input
 from rentmill.sinks.csv import export_csv
@@ -80,13 +80,12 @@ def quality_to_access(spark: SparkSession, root: str, rules: Rules | None = None
 def build_staging(spark: SparkSession, root: str) -> None:
     """Write the six staging tables.
 
-    Four of them start from the join of rentals to inventory, the largest shuffle of all. It is
-    written once and read four times.
+    Two of them start from the join of rentals to the films of their copies, which is written once and read twice.
     """
     fit_to_input(spark, layer_path(root, ACCESS, ""))
     tables = load_layer(spark, root, ACCESS, TABLES)
-    with written_once(rented_copies(tables), RENTED_COPIES) as copies:
-        tables[RENTED_COPIES] = copies
+    with written_once(rented_films(tables), RENTED_FILMS) as films:
+        tables[RENTED_FILMS] = films
         for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
 
 

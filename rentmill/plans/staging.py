@@ -1,8 +1,10 @@
 """Staging tables: facts joined to the dimension they will be ranked by, one row per joined match.
 
 Every join is inner on one key. Rows with null or dangling keys drop out and duplicates multiply; nothing is
-de-duplicated. Both inputs of each join are plain shuffles (or broadcasts, when the planner finds a side
-small), so adaptive execution can split a key that owns a large share of the rows.
+de-duplicated.
+
+Both inputs of each join are plain shuffles (or broadcasts, when the planner finds a side small), so adaptive
+execution can split a key that owns a large share of the rows.
 """
 
 from __future__ import annotations
@@ -11,35 +13,36 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
+from rentmill.operators.joins import join_through
+
 Tables = Mapping[str, DataFrame]
 
-# Not a source table: rentals with the film and store of the rented copy, shared by four stages.
-RENTED_COPIES = "rented_copies"
+# Not a source table: rentals with the film they are of, shared by two stages.
+RENTED_FILMS = "rented_films"
 
 
-def rented_copies(t: Tables) -> DataFrame:
+def rented_films(t: Tables) -> DataFrame:
     rental = t["rental"].select("inventory_id", "rental_id", "customer_id")
-    copies = t["inventory"].select("inventory_id", "film_id", "store_id")
-    return rental.join(copies, "inventory_id").drop("inventory_id")
+    return rental.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id").drop("inventory_id")
 
 
-def _copies(t: Tables) -> DataFrame:
+def _rented_films(t: Tables) -> DataFrame:
     """The stored join if a caller supplies it, else the join itself."""
-    return t[RENTED_COPIES] if RENTED_COPIES in t else rented_copies(t)
+    return t[RENTED_FILMS] if RENTED_FILMS in t else rented_films(t)
 
 
 def stage_actor(t: Tables) -> DataFrame:
     """A rental appears once for every actor of its film."""
     cast = t["film_actor"].select("film_id", "actor_id")
     actors = t["actor"].select("actor_id", "last_name")
-    joined = _copies(t).join(cast, "film_id").join(actors, "actor_id")
+    joined = join_through(_rented_films(t), (cast, "film_id"), (actors, "actor_id"))
     return joined.select("last_name", "rental_id", "customer_id")
 
 
 def stage_category(t: Tables) -> DataFrame:
     genres = t["film_category"].select("film_id", "category_id")
     names = t["category"].select("category_id", "name")
-    joined = _copies(t).join(genres, "film_id").join(names, "category_id")
+    joined = join_through(_rented_films(t), (genres, "film_id"), (names, "category_id"))
     return joined.select("name", "rental_id", "customer_id")
 
 
@@ -56,18 +59,24 @@ def stage_city(t: Tables) -> DataFrame:
     home = t["customer"].select("customer_id", "address_id")
     address = t["address"].select("address_id", "city_id")
     city = t["city"].select("city_id", "city")
-    joined = payment.join(home, "customer_id").join(address, "address_id").join(city, "city_id")
+    joined = join_through(payment, (home, "customer_id"), (address, "address_id"), (city, "city_id"))
     return joined.select("city", "rental_id", "amount")
 
 
 def stage_film(t: Tables) -> DataFrame:
+    rental = t["rental"].select("inventory_id", "rental_id")
+    copies = t["inventory"].select("inventory_id", "film_id")
     film = t["film"].select("film_id", "title", "release_year", "rating")
-    return _copies(t).join(film, "film_id").select("title", "release_year", "rating", "rental_id")
+    joined = join_through(rental, (copies, "inventory_id"), (film, "film_id"))
+    return joined.select("title", "release_year", "rating", "rental_id")
 
 
 def stage_store(t: Tables) -> DataFrame:
-    """The join only keeps rentals whose store exists."""
-    return _copies(t).join(t["store"].select("store_id"), "store_id").select("store_id", "rental_id")
+    """The join to the stores only keeps rentals whose store exists."""
+    rental = t["rental"].select("inventory_id", "rental_id")
+    copies = t["inventory"].select("inventory_id", "store_id")
+    joined = join_through(rental, (copies, "inventory_id"), (t["store"].select("store_id"), "store_id"))
+    return joined.select("store_id", "rental_id")
 
 
 STAGES: dict[str, Callable[[Tables], DataFrame]] = {

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rentmill import session
 from rentmill.fixtures.tables import ShopTables
-from rentmill.plans.business import rank, rank_directly
+from rentmill.plans.business import rank_directly
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import weekly_returned
 from rentmill.session import MOST_REDUCERS, fit_to_input, reducers_for
@@ -61,17 +61,16 @@ def small_is_large(setting):
     )
 
 
-def test_a_hot_store_is_split_before_it_is_counted(spark, small_is_large):
-    """The join is on the column that is counted next, which by itself would keep the hot store in one task."""
-    tables = ShopTables(spark, SF_DIR).all()
-    stores = [row.store_id for row in tables["store"].collect()]
-    hot = F.when(F.col("inventory_id") % 3 == 0, F.lit(stores[0])).otherwise(F.col("store_id"))
-    tables["inventory"] = tables["inventory"].withColumn("store_id", hot)
-    tables["rental"] = tables["rental"].repartition(8, "rental_id")
-    ranking = rank("Top_Store", STAGES["Top_Store"](tables))
-    expected = {tuple(row) for row in rank_directly("Top_Store", tables).collect()}
-    assert {tuple(row) for row in ranking.collect()} == expected
-    assert "skew=true" in plan(ranking)
+def test_staging_moves_the_facts_once_and_never_the_multiplied_rows(spark, setting):
+    tables = ShopTables(spark, SF_DIR)
+    assert "Exchange hashpartitioning" not in initial_plan(STAGES["Top_Film"](tables))
+    setting(spark__sql__autoBroadcastJoinThreshold=-1)
+    for target, key in (("Top_Film", "inventory_id"), ("Top_Store", "inventory_id"), ("Top_City", "customer_id")):
+        last_join = initial_plan(STAGES[target](tables)).split("SortMergeJoin")[1]
+        assert last_join.startswith(f" [{key}")
+    shape = initial_plan(STAGES["Top_Actor"](tables))
+    joins = [part.split("]")[0] for part in shape.split("SortMergeJoin [")[1:]]
+    assert [join.split("#")[0] for join in joins] == ["film_id", "inventory_id", "actor_id"]
 
 
 def test_a_hot_copy_is_split_in_staging_joins(spark, small_is_large):
@@ -103,10 +102,9 @@ def test_shuffles_are_sized_to_the_input(spark, setting, monkeypatch):
     setting(spark__sql__shuffle__partitions=3)
     fit_to_input(spark, SF_DIR)
     assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
-    setting(spark__sql__adaptive__forceOptimizeSkewedJoin="false", spark__sql__files__maxPartitionBytes=128 << 20)
+    setting(spark__sql__files__maxPartitionBytes=128 << 20)
     monkeypatch.setattr(session, "SHUFFLE_BYTES", 100_000)
     monkeypatch.setattr(session, "LARGE_INPUT", 1_000_000)
     fit_to_input(spark, SF_DIR)
     assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 30
-    assert spark.conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(session.LARGE_SPLIT)
