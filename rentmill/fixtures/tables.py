@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rentmill.parallel import for_each
 from rentmill.schemas import SCHEMAS, TABLES
 from rentmill.session import fit_to_input
 
@@ -139,4 +140,4 @@ class ShopTables(dict):
         return self[table]
 
     def all(self) -> dict[str, DataFrame]:
-        return {table: self[table] for table in TABLES}
+        return dict(zip(TABLES, for_each(self.spark, TABLES, self.__getitem__)))
