@@ -30,6 +30,13 @@ from rentmill.sources import load_layer, read_csv_folder, read_layer
 from rentmill.storage import scratch_folder
 from rentmill.streaming import ingest_new_files, read_ingested
 
+try:
+    from rentmill.llm import queries as llm
+except ModuleNotFoundError as missing:  # the subpackage may be left out; any other failure is an error
+    if missing.name not in ("rentmill.llm", "corpus_pipeline"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -281,6 +288,14 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return shop_queries() | (llm.QUERIES if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return shop_sql() | (llm.SQL if llm else {})
+
+
+def shop_queries() -> dict[str, Query]:
     named: dict[str, Query] = {target.lower(): _ranked(target) for target in RANKINGS}
     named |= {f"{target.lower()}_from_stage": _ranked_from_stage(target) for target in RANKINGS}
     named |= {f"stage_{target.lower()}": _staged(target) for target in STAGES}
@@ -294,7 +309,7 @@ def queries() -> dict[str, Query]:
     return named | {query.__name__: query for query in plain}
 
 
-def oracle_sql() -> dict[str, str]:
+def shop_sql() -> dict[str, str]:
     sql = {target.lower(): oracle.ranking(target) for target in RANKINGS}
     sql |= {f"{target.lower()}_from_stage": oracle.ranking(target) for target in RANKINGS}
     sql |= {f"stage_{target.lower()}": oracle.stage(target) for target in STAGES}

@@ -12,7 +12,7 @@ from conftest import DATA
 import __spark_entry__ as driver
 
 SF_DIR = os.environ.get("TEST_SF_DIR", f"{DATA}/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver.shop_queries(), driver.shop_sql()
 
 
 @pytest.fixture(scope="module")
