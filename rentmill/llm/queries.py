@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, mixing
-from rentmill.llm.tables import read_table
+from rentmill.llm import chat, exact_dedup, language_id, mixing, secrets, toxicity
+from rentmill.llm.tables import held_out, read_table
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,7 +39,41 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op8_chat, op9_mixing, op10_exact_dedup)}
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    kept_back = held_out("doc_id", 5, 0)
+    model = language_id.fit(docs.where(~kept_back))
+    return language_id.predict(docs, model).select("doc_id", kept_back.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+TOXIC_FROM = 0.3
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    kept_back = held_out("doc_id", 4, 2)
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels").where(~kept_back))
+    return toxicity.score(docs, model).select(
+        "doc_id", kept_back.alias("held_out"), "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted")
+    )
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    base = F.filter("spans", lambda s: s["kind"].isin([rule.kind for rule in secrets.BASE_RULES]))
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(rule.kind) for rule in secrets.BASE_RULES]
+    return secrets.find_secrets(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans")
+    )
+
+
+QUERIES = {q.__name__: q for q in (op2_language_id, op5_toxicity, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
 
 SQL = {
     "op10_exact_dedup": r"""

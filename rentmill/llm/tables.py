@@ -32,6 +32,13 @@ def text_of(column: str = "text"):
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def learned_row(doc_id: str, modulus: int, held_out: int):
-    """Whether a row is held out of training, by the CRC-32 of its id written in decimal; a null id is held out."""
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == held_out, F.lit(True))
+def held_out(doc_id: str, modulus: int, remainder: int):
+    """Whether a row is kept from training, by the CRC-32 of its id written in decimal; a null id is."""
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % modulus == remainder, F.lit(True))
+
+
+def bounded_sample(rows: DataFrame, key: str, bound: int, count: int) -> DataFrame:
+    """About ``bound`` of the ``count`` rows, chosen by a hash of the key, or all if they are fewer."""
+    if count <= bound:
+        return rows
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int(bound / count * (1 << 40)))
