@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, language_id, mixing, secrets, toxicity
+from rentmill.llm import chat, exact_dedup, language_id, mixing, nearest, packing, secrets, toxicity
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -73,7 +73,16 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_language_id, op5_toxicity, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+QUERIES = {q.__name__: q for q in (op2_language_id, op3_packing, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
 
 SQL = {
     "op10_exact_dedup": r"""
@@ -87,6 +96,16 @@ SQL = {
         )
         SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, d.text_sha256
         FROM d JOIN g ON d.text_sha256 = g.text_sha256""",
+    "op6_nearest": """
+        WITH v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings
+            WHERE len([e FOR e IN embedding IF e IS NULL OR NOT isfinite(e)]) = 0
+              AND len([e FOR e IN embedding IF e <> 0]) > 0
+        ), d AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum([(q.x[i] - c.x[i]) * (q.x[i] - c.x[i]) FOR i IN range(1, len(q.x) + 1)])) AS score
+            FROM v AS q JOIN v AS c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+        ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
     "op8_chat": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
