@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, language_id, mixing, nearest, packing, secrets, toxicity
+from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, secrets, toxicity
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -39,6 +39,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read_table(spark, sf_dir, "documents"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     kept_back = held_out("doc_id", 5, 0)
@@ -82,7 +86,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
-QUERIES = {q.__name__: q for q in (op2_language_id, op3_packing, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_jaccard, op2_language_id, op3_packing, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
 
 SQL = {
     "op10_exact_dedup": r"""
