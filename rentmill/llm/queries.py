@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, secrets, toxicity
+from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, repeats, secrets, toxicity
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -53,6 +53,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 TOXIC_FROM = 0.3
 
 
+def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     kept_back = held_out("doc_id", 4, 2)
@@ -86,7 +90,7 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
-QUERIES = {q.__name__: q for q in (op1_jaccard, op2_language_id, op3_packing, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
+QUERIES = {q.__name__: q for q in (op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
 
 SQL = {
     "op10_exact_dedup": r"""
