@@ -98,11 +98,10 @@ def copy_groups(docs: DataFrame, *, most_cells: int = MOST_CELLS) -> DataFrame:
 
 def drop_copies(docs: DataFrame, *, most_cells: int = MOST_CELLS) -> DataFrame:
     """``docs`` with one row per text, all columns kept; rows without a possible copy are not shuffled."""
-    spark, names = docs.sparkSession, docs.columns
     digests = stored(docs.select(normalised_digest().alias("sha")), "digests")
     words, cells = repeated_cells(digests, "sha", digests.count(), most_cells)
     words = stored(words, "filter")
-    whole = docs.select(F.struct(*names).alias("row"), normalised_digest().alias("sha"))
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), normalised_digest().alias("sha"))
     flagged = flag_possible_copies(whole, "sha", words, cells, "maybe")
     order = F.struct(
         -F.char_length(F.coalesce(F.col("row.text"), F.lit(""))), F.col("row.doc_id").isNull(), F.col("row.doc_id")

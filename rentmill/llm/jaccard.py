@@ -1,8 +1,9 @@
 """Jaccard join of word shingle sets: a size-aware heavy-light join, and the components of its links.
 
 Texts with the same set are one class, named by a hash of the set; only classes are compared. Two sets of
-similarity ``s`` or more share a shingle among their first ``n - ceil(s n) + 1`` in any common order, and two shingles among
-one more. The order is by how often a cell of a fixed count sketch was hit, so passages that many documents share come
+similarity ``s`` or more share ``c`` shingles among the first ``n - ceil(s n) + c`` of each in any common order. ``c`` is
+two, or a twentieth of the set if that is more, so a class that is in fewer lists than its ``c`` has no link and
+a passage that is common to long documents does not make them candidates. The order is by how often a cell of a fixed count sketch was hit, so passages that many documents share come
 last and hardly ever decide; any order gives the same links, so the sketch only sets the cost.
 
 * Heavy sets are found by scanning inverted lists: every class posts its prefix shingles, and a list with two classes or more
@@ -44,6 +45,7 @@ BLOCK_BYTES = 2 << 20
 BLOCK_SHINGLES = 1 << 17
 MOST_MATCHES = 1 << 22
 ROWS_PER_POSTING = 2
+PREFIX_SHARE = 20
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -98,6 +100,16 @@ def prefix_length(n: int, percent: int, common: int) -> int:
     return min(n, n - -(-percent * n // 100) + common)
 
 
+def shared_shingles(n: int) -> int:
+    """How many prefix shingles linked sets share: the ``c`` of a set of ``n``."""
+    return max(2, n // PREFIX_SHARE)
+
+
+def _needed(percent: int):
+    """The ``c`` of the smallest set that can be linked to one of ``n``, as a column."""
+    return F.expr(f"greatest(2L, (({percent} * n + 99) div 100) div {PREFIX_SHARE})")
+
+
 def _postings(docs: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
     """(sig, node, hub) of prefix shingles. A hub is given where the block alone makes a list."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
@@ -107,8 +119,9 @@ def _postings(docs: DataFrame, sketch: np.ndarray, percent: int) -> DataFrame:
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
             sigs, nodes = [], {}
             for s in shingle_sets(*utf8_bytes(block.column("text"))):
-                if len(s) and (node := set_id(s)) not in nodes:
-                    count = prefix_length(len(s), percent, 2)
+                # A set that one shingle more would already make too different has no links.
+                if len(s) * 100 >= percent * (len(s) + 1) and (node := set_id(s)) not in nodes:
+                    count = prefix_length(len(s), percent, shared_shingles(len(s)))
                     order = np.argsort(often[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)], kind="stable")[:count]
                     nodes[node] = count
                     sigs.append(s[order])
@@ -166,6 +179,15 @@ def _lists(postings: DataFrame) -> DataFrame:
     return postings.repartition(place).sortWithinPartitions("sig", "node").mapInArrow(listed, "sig long, node long, hub long")
 
 
+def _often_listed(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The lists without the classes that are in too few of them to have a link."""
+    placed = lists.select("sig", "node").distinct()
+    often = placed.groupBy("node").agg(F.count(F.lit(1)).alias("m")).join(sizes, "node").where(F.col("m") >= _needed(percent))
+    kept = stored(placed.join(often.select("node"), "node"), "placed")
+    hubs = kept.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
+    return kept.join(hubs.select("sig", "hub"), "sig").select("sig", "node", "hub")
+
+
 def _light_boundary(lists: DataFrame, sizes: DataFrame) -> int:
     """Classes with fewer shingles than this are light."""
     per_class = lists.select("sig", "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("m")).join(sizes, "node")
@@ -265,7 +287,7 @@ def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent:
 
 
 def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the classes that ``nodes`` (node, doc_id) names, made from one document each."""
+    """(node, n, shingles) of the classes that ``nodes`` (node, doc_id) names; a doc_id in several rows may give one twice."""
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
@@ -276,8 +298,8 @@ def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                 ["node", "n", "shingles"],
             )
 
-    made = docs.select("doc_id", "text").join(nodes, "doc_id").select("node", "text").mapInArrow(rebuild, "node long, n long, shingles binary")
-    return made.dropDuplicates(["node"])
+    made = docs.select("doc_id", "text").join(nodes, "doc_id").select("node", "text")
+    return made.mapInArrow(rebuild, "node long, n long, shingles binary")
 
 
 def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -288,6 +310,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketch = _sketch(rows.where("slice IS NOT NULL").select("slice", "counts"))
     classes = stored(documents.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")), "classes")
     lists = stored(_lists(_postings(numbered, sketch, percent)), "lists")
+    lists = stored(_often_listed(lists, classes.select("node", "n"), percent), "lists")
     lists = stored(candidate_lists(lists, classes.select("node", "n")), "candidates")
     active = stored(lists.select("node").distinct(), "active")
     named = classes.where("doc_id IS NOT NULL").join(active, "node").select("node", "doc_id")

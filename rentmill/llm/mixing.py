@@ -148,7 +148,8 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
 
 
 def take_copies(docs: DataFrame, most: int = MOST) -> DataFrame:
-    """``docs`` with every row as often as the mix takes it."""
-    copies = mix(docs, most).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    joined = docs.join(copies, docs["doc_id"].eqNullSafe(copies["doc_id"])).drop(copies["doc_id"])
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_copies", "_copy")
+    """``docs`` with every row as often as the mix takes it; rows that share a doc_id as often as the first of them."""
+    copies = mix(docs, most).groupBy("doc_id").agg(F.max("copies").alias("copies")).where("copies > 0")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+    joined = whole.join(copies, F.col("row.doc_id").eqNullSafe(copies["doc_id"]))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
