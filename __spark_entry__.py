@@ -31,11 +31,12 @@ from rentmill.storage import scratch_folder
 from rentmill.streaming import ingest_new_files, read_ingested
 
 try:
+    import corpus_pipeline
     from rentmill.llm import queries as llm
 except ModuleNotFoundError as missing:  # the subpackage may be left out; any other failure is an error
     if missing.name not in ("rentmill.llm", "corpus_pipeline"):
         raise
-    llm = None
+    corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -288,7 +289,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return shop_queries() | (llm.QUERIES if llm else {})
+    return shop_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
