@@ -5,41 +5,41 @@ equal. Every 50-byte window holds an anchor, its ``GRAM``-byte string with the s
 equal anchors at the same place. So
 
 1. every document gives the hashes of its anchors, and a fixed bitmap keeps those seen in two documents or more;
-2. documents without such an anchor are finished; each other anchor sends its surroundings, the bytes of all windows
-   around it, to the shard of its hash;
-3. a shard sorts all suffixes of its surroundings (Larsson and Sadakane's refinement), takes common prefixes of neighbours
-   (Kasai), and gives each run of windows with 50 bytes in common the smallest doc_id it was seen in. Anchors with more surroundings
-   than a shard holds come in the order of doc_id over several shards, and the sorted windows of one shard are looked up
-   by binary search in those of the shards before;
+2. each such anchor sends its surroundings, the bytes of all windows around it, to the shard of its hash. A task that saw
+   equal surroundings (a 64-bit hash) in an earlier document before removes them at once and sends nothing;
+3. a shard sorts all suffixes of its differing surroundings (Larsson and Sadakane's refinement), takes common prefixes of
+   neighbours (Kasai), and gives each run of windows with 50 bytes in common the smallest doc_id it was seen in. Anchors with more
+   surroundings than a shard holds come in the order of doc_id over several shards, and the sorted windows of one shard are
+   looked up by binary search in those of the shards before;
 4. the bytes to remove meet their text again, which gives the digests.
 
-Surroundings that are equal within a block of documents are combined before the shuffle. The bitmap is a filter only: beyond its size
-more surroundings travel and the result is the same. Null texts are empty. A null doc_id counts as later than all
-others; rows that share a doc_id do not remove each other's text.
+The bitmap is a filter only: beyond its size more surroundings travel and the result is the same. Null texts are empty. A null
+doc_id counts as later than all others; rows that share a doc_id do not remove each other's text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.shingles import VALUES, _powers, mixed
 from rentmill.llm.suffixes import common_prefixes, suffix_order
-from rentmill.llm.tables import stored
+from rentmill.llm.tables import stored, text_of
 
 WINDOW = 50
 GRAM = 20
 REACH = WINDOW - GRAM
 AROUND = 2 * WINDOW - GRAM
 BLOCK_BYTES = 2 << 20
-SHARD_BYTES = 1 << 20
+SHARD_ROWS = 1 << 14
 BITMAP_BITS = 27
 SLICE_BITS = 10
 BUCKET_ANCHORS = 1 << 19
@@ -54,41 +54,46 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(done[: len(values) - width + 1], done[width - size : len(values) - size + 1]) if size < width else done
 
 
-def anchors(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the anchors of all texts; equal smallest hashes in one window are all anchors."""
+def anchors(flat: np.ndarray, starts: np.ndarray, sums: bool = False) -> tuple[np.ndarray, ...]:
+    """Places and hashes of the anchors of all texts; equal smallest hashes in one window are all anchors.
+
+    With ``sums`` also what hashes of any stretch are made from.
+    """
     if len(flat) < WINDOW:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (3 if sums else 1))
     up, down = _powers(max(16, int(len(flat)).bit_length()))
-    sums = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(VALUES[flat] * up[: len(flat)], out=sums[1:])
-    grams = mixed((sums[GRAM:] - sums[:-GRAM]) * down[: len(flat) - GRAM + 1]) | np.uint64(1)
+    total = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(VALUES[flat] * up[: len(flat)], out=total[1:])
+    grams = mixed((total[GRAM:] - total[:-GRAM]) * down[: len(flat) - GRAM + 1]) | np.uint64(1)
     lowest = _sliding(grams, REACH + 1, np.minimum)
     ends = np.repeat(starts[1:], np.diff(starts))[: len(lowest)]
     lowest[np.arange(len(lowest)) + WINDOW > ends] = 0
     reached = np.concatenate([np.zeros(REACH, np.uint64), lowest, np.zeros(REACH, np.uint64)])
     places = np.flatnonzero(_sliding(reached, REACH + 1, np.maximum) == grams)
-    return places, grams[places]
+    return (places, grams[places], total, down) if sums else (places, grams[places])
 
 
-def _hash_counts(docs: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, hashes): per block the anchor hashes by range, twice where two of its documents have one."""
+def _hash_counts(docs: DataFrame, bits: int) -> DataFrame:
+    """(bucket, hashes): per block its anchor hashes by their leading ``bits``, twice where two of its documents have one.
+
+    Of a hash the bucket and the 32 bits after it are kept, which suffices for a filter.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = np.uint64(-(-(1 << 64) // buckets))
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
             flat, starts = utf8_bytes(block.column("text"))
             places, hashes = anchors(flat, starts)
             if not len(places):
                 continue
             owner = np.searchsorted(starts, places, side="right")
-            order = np.lexsort((owner, hashes))
-            hashes, owner = hashes[order], owner[order]
+            order = np.argsort(hashes, kind="stable")
+            hashes, owner = hashes[order] >> np.uint64(32 - bits), owner[order]
             new = np.r_[True, hashes[1:] != hashes[:-1]]
             again = np.r_[False, ~new[1:] & (owner[1:] != owner[:-1])]
             kept = np.sort(np.concatenate([hashes[new], np.unique(hashes[again])]))
-            bucket = (kept // width).astype(np.int64)
+            bucket = (kept >> np.uint64(32)).astype(np.int64)
             first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            blobs = [part.tobytes() for part in np.split(kept, first[1:])]
+            blobs = [part.tobytes() for part in np.split(kept.astype(np.uint32), first[1:])]
             yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array(blobs, pa.binary())], ["bucket", "hashes"])
 
     return docs.select("text").mapInArrow(gather, "bucket long, hashes binary")
@@ -97,7 +102,7 @@ def _hash_counts(docs: DataFrame, buckets: int) -> DataFrame:
 def repeated_anchors(docs: DataFrame) -> np.ndarray:
     """A bitmap over the leading ``BITMAP_BITS`` bits of the anchor hashes that two documents share."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(64, -(-size // (BUCKET_ANCHORS * (REACH + 2) // 2)))
+    bits = min(32, max(6, int(size // (BUCKET_ANCHORS * (REACH + 2) // 2)).bit_length()))
 
     def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -105,7 +110,8 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
 
         def finish() -> Iterator[pa.RecordBatch]:
             every = np.sort(np.concatenate(held))
-            cells = np.unique(every[1:][every[1:] == every[:-1]] >> np.uint64(64 - BITMAP_BITS)).astype(np.int64)
+            whole = (np.uint64(current) << np.uint64(32)) | np.unique(every[1:][every[1:] == every[:-1]])
+            cells = np.unique(whole >> np.uint64(bits + 32 - BITMAP_BITS)).astype(np.int64)
             if len(cells):
                 part = cells >> (BITMAP_BITS - SLICE_BITS)
                 first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
@@ -118,7 +124,7 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
                     yield from finish()
                     held = []
                 current = bucket
-                held.append(np.frombuffer(hashes, np.uint64))
+                held.append(np.frombuffer(hashes, np.uint32))
         if held:
             yield from finish()
 
@@ -132,7 +138,7 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
             packed = [np.packbits(part).tobytes() for part in bits.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int64()), pa.array(packed, pa.binary())], ["slice", "bits"])
 
-    counted = _hash_counts(docs, buckets).repartition("bucket").sortWithinPartitions("bucket")
+    counted = _hash_counts(docs, bits).repartition("bucket").sortWithinPartitions("bucket")
     cells = counted.mapInArrow(repeated, "slice long, cells binary")
     bitmap = np.zeros((1 << SLICE_BITS, 1 << (BITMAP_BITS - SLICE_BITS - 3)), np.uint8)
     for row in cells.repartition("slice").mapInArrow(drawn, "slice long, bits binary").collect():
@@ -140,71 +146,89 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
     return bitmap.ravel()
 
 
-PARTS = "kind int, row long, doc long, hash long, place int, left int, around binary, start int, stop int, text binary, n_bytes long, sha string"
-FINISHED, SURROUNDINGS, SPAN, TEXT = range(4)
+class _Seen:
+    """Surroundings a task has seen, with their smallest doc_id, as sorted runs of growing size."""
 
+    def __init__(self):
+        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
-def _parts(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Rows of four kinds: finished documents, surroundings of anchors, spans found within a block, unfinished texts."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
-    fields = [("kind", pa.int32()), ("row", pa.int64()), ("doc", pa.int64()), ("hash", pa.int64()), ("place", pa.int32()), ("left", pa.int32()),
-              ("around", pa.binary()), ("start", pa.int32()), ("stop", pa.int32()), ("text", pa.binary()), ("n_bytes", pa.int64()), ("sha", pa.string())]
+    def least(self, keys: np.ndarray) -> np.ndarray:
+        found = np.full(len(keys), LAST)
+        for known, docs in self.runs:
+            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
+            found = np.where(known[at] == keys, np.minimum(found, docs[at]), found)
+        return found
+
+    def add(self, keys: np.ndarray, docs: np.ndarray) -> None:
+        while self.runs and len(self.runs[-1][0]) <= 2 * len(keys):
+            known, earlier = self.runs.pop()
+            keys, docs = np.concatenate([known, keys]), np.concatenate([earlier, docs])
+            order = np.argsort(keys, kind="stable")
+            keys, docs = keys[order], docs[order]
+            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+            keys, docs = keys[first], np.minimum.reduceat(docs, first)
+        self.runs.append((keys, docs))
+
+
+def _joined(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Stretches that overlap or touch within an owner as one; ``low`` and ``high`` rise from owner to owner."""
+    order = np.lexsort((low, owner))
+    owner, low, high = owner[order], low[order], high[order]
+    far = np.maximum.accumulate(high)
+    first = np.flatnonzero(np.r_[True, (low[1:] > far[:-1]) | (owner[1:] != owner[:-1])])
+    return owner[first], low[first], far[np.r_[first[1:] - 1, len(far) - 1]]
+
+
+SENT = "doc long, variant long, start int, stop int, hash long, around binary"
 
-    def part(kind: int, rows: int, **columns) -> pa.RecordBatch:
-        columns["kind"] = np.full(rows, kind, np.int32)
-        arrays = [columns[n] if isinstance(columns.get(n), pa.Array) else pa.array(columns[n], t) if n in columns else pa.nulls(rows, t) for n, t in fields]
-        return pa.RecordBatch.from_arrays(arrays, [n for n, _ in fields])
+
+def _sent(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
+    """Surroundings of repeated anchors (with hash and bytes), and stretches already known to be removed (without)."""
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    names = ["doc", "variant", "start", "stop", "hash", "around"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, next_row = shared.value, TaskContext.get().partitionId() << 40
+        bits, seen = shared.value, _Seen()
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
             flat, starts = utf8_bytes(block.column("text"))
-            own = block.column("doc_id").cast(pa.int64())
-            order_id = own.fill_null(LAST).to_numpy()
-            rows = next_row + np.arange(block.num_rows)
-            next_row += block.num_rows
-            places, hashes = anchors(flat, starts)
+            places, hashes, sums, down = anchors(flat, starts, sums=True)
             cells = hashes >> np.uint64(64 - BITMAP_BITS)
-            hit = (seen[(cells >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & 1
+            hit = (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & 1
             places, hashes = places[hit == 1], hashes[hit == 1]
-            owner = np.searchsorted(starts, places, side="right") - 1
-            touched = np.zeros(block.num_rows, bool)
-            touched[owner] = True
-            data = flat.tobytes()
-            texts = [data[a:b] for a, b in zip(starts[:-1], starts[1:])]
-            quiet, busy = np.flatnonzero(~touched), np.flatnonzero(touched)
-            if len(quiet):
-                yield part(FINISHED, len(quiet), row=rows[quiet], doc=own.take(pa.array(quiet)), n_bytes=np.diff(starts)[quiet],
-                           sha=[hashlib.sha256(texts[k]).hexdigest() for k in quiet])
-            if not len(busy):
+            if not len(places):
                 continue
-            yield part(TEXT, len(busy), row=rows[busy], doc=own.take(pa.array(busy)), text=[texts[k] for k in busy])
-            low = np.maximum(places - REACH, starts[owner])
-            high = np.minimum(places + WINDOW, starts[owner + 1])
-            cut = np.minimum(low[:, None] + np.arange(AROUND), len(flat) - 1)
-            inside = np.arange(AROUND) < (high - low)[:, None]
-            around = np.where(inside, flat[cut], 0).astype(np.uint8)
-            named = np.ascontiguousarray(np.hstack([around, (high - low).astype(np.uint8)[:, None]])).view(f"V{AROUND + 1}").ravel()
-            _, same = np.unique(named, return_inverse=True)
-            docs_of = order_id[owner]
-            order = np.lexsort((docs_of, same))
-            first = np.r_[True, same[order][1:] != same[order][:-1]]
-            least = docs_of[order][first][np.cumsum(first) - 1]
-            covered = np.zeros(len(order), bool)
-            covered[order] = docs_of[order] > least
-            if covered.any():
-                base = starts[owner[covered]]
-                yield part(SPAN, int(covered.sum()), row=rows[owner[covered]], start=low[covered] - base, stop=high[covered] - base)
-            sent = np.flatnonzero(~covered)
-            lengths = (high - low)[sent]
-            blob = pa.BinaryArray.from_buffers(
-                pa.binary(), len(sent),
-                [None, pa.py_buffer(np.r_[0, np.cumsum(lengths)].astype(np.int32).tobytes()), pa.py_buffer(around[sent][inside[sent]].tobytes())],
+            owner = np.searchsorted(starts, places, side="right") - 1
+            doc = block.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
+            data, variant = flat.tobytes(), np.zeros(block.num_rows, np.int64)
+            for k in np.unique(owner):
+                variant[k] = zlib.crc32(data[starts[k] : starts[k + 1]])
+            low, high = np.maximum(places - REACH, starts[owner]), np.minimum(places + WINDOW, starts[owner + 1])
+            key = mixed((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64)) ^ hashes
+            order = np.lexsort((doc[owner], key))
+            first = np.r_[True, key[order][1:] != key[order][:-1]]
+            keys, docs_of = key[order][first], doc[owner][order][first]
+            least = np.zeros(len(key), np.int64)
+            least[order] = np.minimum(docs_of, seen.least(keys))[np.cumsum(first) - 1]
+            seen.add(keys, docs_of)
+            gone = doc[owner] > least
+            if gone.any():
+                of, begin, end = _joined(owner[gone], low[gone], high[gone])
+                nothing = pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(doc[of]), pa.array(variant[of]), pa.array(begin - starts[of], pa.int32()), pa.array(end - starts[of], pa.int32()), *nothing], names
+                )
+            sent = np.flatnonzero(~gone)
+            of, lengths = owner[sent], (high - low)[sent]
+            cut = low[sent][:, None] + np.arange(AROUND)
+            inside = np.arange(AROUND) < lengths[:, None]
+            offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
+            around = pa.BinaryArray.from_buffers(pa.binary(), len(sent), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat[cut[inside]].tobytes())])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(doc[of]), pa.array(variant[of]), pa.array(low[sent] - starts[of], pa.int32()), pa.array(high[sent] - starts[of], pa.int32()),
+                 pa.array(hashes[sent].view(np.int64)), around], names
             )
-            yield part(SURROUNDINGS, len(sent), row=rows[owner[sent]], doc=docs_of[sent], hash=hashes[sent].view(np.int64),
-                       place=(low[sent] - starts[owner[sent]]).astype(np.int32), around=blob)
 
-    return docs.select("doc_id", "text").mapInArrow(send, PARTS)
+    return docs.select("doc_id", "text").mapInArrow(send, SENT)
 
 
 def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None):
@@ -232,23 +256,42 @@ def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: t
     return windows, np.repeat(least, sizes), (content, least)
 
 
-def _shard_spans(hashes, rows, docs, places, arounds, known):
-    """Spans to remove in the rows of one shard, and its windows in order."""
+def _shard_spans(hashes, rows, places, arounds, known, more: bool):
+    """What to remove in the rows (doc, variant) of one shard, and its windows in order.
+
+    ``known``: windows of the shards before for an anchor that began there; ``more``: the anchor goes on after this shard.
+    """
+    docs = rows[:, 0]
     kinds: dict[bytes, int] = {}
     kind = np.array([kinds.setdefault(a, len(kinds)) for a in arounds], np.int64)
     lengths = np.array([len(a) for a in kinds], np.int64)
     least = np.full(len(kinds), LAST)
     np.minimum.at(least, kind, docs)
-    windows, earliest, table = _earliest(np.frombuffer(b"".join(kinds), np.uint8), lengths, least, known)
-    begin = np.r_[0, np.cumsum(lengths)]
-    of = np.searchsorted(begin, windows, side="right") - 1
-    seen = np.full((len(kinds), REACH + 1), LAST)
-    seen[of, windows - begin[of]] = earliest
-    gone = seen[kind] < docs[:, None]
-    found = np.flatnonzero(gone.any(axis=1))
-    low = gone[found].argmax(axis=1)
-    high = REACH - gone[found][:, ::-1].argmax(axis=1)
-    return (rows[found], places[found] + low, places[found] + high + WINDOW), table
+    # Surroundings that are the only ones of their anchor repeat as a whole or not at all.
+    _, first = np.unique(kind, return_index=True)
+    _, anchor, each = np.unique(hashes[first], return_inverse=True, return_counts=True)
+    alone = (each[anchor] == 1) & (known is None) & (not more)
+    whole = docs > least[kind]
+    found = [(rows[whole], places[whole], places[whole] + lengths[kind[whole]])]
+    table = (np.zeros(0, f"S{WINDOW}"), np.zeros(0, np.int64))
+    if not alone.all():
+        several = np.flatnonzero(~alone)
+        number = np.full(len(kinds), -1)
+        number[several] = np.arange(len(several))
+        texts = list(kinds)
+        joined = np.frombuffer(b"".join(texts[k] for k in several), np.uint8)
+        windows, earliest, table = _earliest(joined, lengths[several], least[several], known)
+        begin = np.r_[0, np.cumsum(lengths[several])]
+        of = np.searchsorted(begin, windows, side="right") - 1
+        seen = np.full((len(several), REACH + 1), LAST)
+        seen[of, windows - begin[of]] = earliest
+        open_rows = np.flatnonzero(~whole & ~alone[kind])
+        gone = seen[number[kind[open_rows]]] < docs[open_rows][:, None]
+        some = gone.any(axis=1)
+        open_rows, gone = open_rows[some], gone[some]
+        high = REACH - gone[:, ::-1].argmax(axis=1) + WINDOW
+        found.append((rows[open_rows], places[open_rows] + gone.argmax(axis=1), places[open_rows] + high))
+    return [np.concatenate([f[k] for f in found]) for k in range(3)], table
 
 
 def _merge_windows(known, table):
@@ -262,72 +305,66 @@ def _merge_windows(known, table):
     return content[first], np.minimum.reduceat(least, first)
 
 
-def _spans(surroundings: DataFrame) -> DataFrame:
-    """(row, start, stop) of what repeats earlier documents."""
+def _spans(sent: DataFrame) -> DataFrame:
+    """(doc, variant, start, stop) of what repeats earlier documents."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size, known, known_hash = 0, None, None
-
-        def flush(until: int | None):
-            """Search what is held; ``until`` is the hash that goes on in the next shard, if any."""
-            nonlocal held, size, known, known_hash
-            columns = [np.concatenate([h[k] for h in held]) for k in range(4)]
-            arounds = [a for h in held for a in h[4]]
-            held, size = [], 0
-            spans, table = [], None
-            hashes = columns[0]
-            cut = int(np.searchsorted(hashes == (hashes[-1] if until is None else until), True)) if until is not None else len(hashes)
-            if known_hash is not None:  # the rows that go on with an anchor of the shard before
-                same = int(np.count_nonzero(hashes == known_hash))
-                if same:
-                    found, table = _shard_spans(*(c[:same] for c in columns), arounds[:same], known)
-                    spans.append(found)
-                    known = _merge_windows(known, table) if until == known_hash else None
-                start = same
+        held: list[pa.RecordBatch] = []
+        known, known_hash = None, None  # windows of an anchor whose rows fill several shards
+
+        def shard(rows: pa.RecordBatch, goes_on: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal known, known_hash
+            hashes = rows.column("hash").to_numpy()
+            carried = int(np.count_nonzero(hashes == known_hash)) if known is not None else 0
+            for part, earlier in ((slice(0, carried), known), (slice(carried, len(hashes)), None)):
+                if part.start == part.stop:
+                    continue
+                own = rows.slice(part.start, part.stop - part.start)
+                found, table = _shard_spans(
+                    hashes[part], np.column_stack([own.column("doc").to_numpy(), own.column("variant").to_numpy()]),
+                    own.column("start").to_numpy().astype(np.int64), own.column("around").to_pylist(), earlier, goes_on,
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found[0][:, 0]), pa.array(found[0][:, 1]), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())],
+                    ["doc", "variant", "start", "stop"],
+                )
+            if goes_on:
+                known, known_hash = _merge_windows(known if carried else None, table), hashes[-1]
             else:
-                start = 0
-            if start < len(hashes):
-                found, table = _shard_spans(*(c[start:] for c in columns), arounds[start:], None)
-                spans.append(found)
-                if until is not None:
-                    tail = max(cut, start)
-                    _, known = _shard_spans(*(c[tail:] for c in columns), arounds[tail:], None)
-            known_hash = until
-            if until is None:
                 known = None
-            rows, low, high = (np.concatenate([s[k] for s in spans]) for k in range(3))
-            return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["row", "start", "stop"])
 
         for batch in batches:
-            hashes = batch.column("hash").to_numpy()
-            sizes = pa.compute.binary_length(batch.column("around")).to_numpy()
-            at = 0
-            while at < len(hashes):
-                room = SHARD_BYTES - size
-                stop = max(at + 1, int(np.searchsorted(np.cumsum(sizes[at:]), room, side="right")) + at)
-                stop = min(stop, len(hashes))
-                piece = slice(at, stop)
-                held.append((hashes[piece], batch.column("row").to_numpy()[piece], batch.column("doc").to_numpy()[piece],
-                             batch.column("place").to_numpy()[piece].astype(np.int64), batch.column("around").slice(at, stop - at).to_pylist()))
-                size += int(sizes[piece].sum())
-                at = stop
-                if size >= SHARD_BYTES - AROUND:
-                    yield flush(int(hashes[stop - 1]))
+            done = batch.filter(pc.is_null(batch.column("hash")))
+            if done.num_rows:
+                yield done.select(["doc", "variant", "start", "stop"])
+            batch = batch.filter(pc.is_valid(batch.column("hash")))
+            for at in range(0, batch.num_rows, SHARD_ROWS):
+                held.append(batch.slice(at, SHARD_ROWS))
+                if sum(h.num_rows for h in held) < SHARD_ROWS:
+                    continue
+                rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                hashes = rows.column("hash").to_numpy()
+                own = int(np.searchsorted(hashes, hashes[-1]))  # the last anchor may go on
+                if own:
+                    yield from shard(rows.slice(0, own), False)
+                    held = [rows.slice(own)]
+                else:
+                    yield from shard(rows, True)
+                    held = []
         if held:
-            yield flush(None)
+            yield from shard(pa.Table.from_batches(held).combine_chunks().to_batches()[0], False)
 
-    columns = surroundings.select("hash", "row", "doc", "place", "around")
-    return columns.repartition("hash").sortWithinPartitions("hash", "doc").mapInArrow(search, "row long, start int, stop int")
+    place = F.when(F.col("hash").isNull(), F.xxhash64("doc")).otherwise(F.col("hash"))
+    return sent.repartition(place).sortWithinPartitions("hash", "doc").mapInArrow(search, "doc long, variant long, start int, stop int")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (null where all of the text stays) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = stored(_parts(docs, repeated_anchors(docs)), "parts")
-    spans = _spans(parts.where(F.col("kind") == SURROUNDINGS)).unionByName(parts.where(F.col("kind") == SPAN).select("row", "start", "stop"))
-    by_row = spans.groupBy("row").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    texts = parts.where(F.col("kind") == TEXT).select("row", "doc", "text").join(by_row, "row", "left")
+    spans = _spans(_sent(docs, repeated_anchors(docs)))
+    spans = stored(spans.groupBy("doc", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    named = docs.select(F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.crc32(text_of()).alias("variant"))
+    texts = named.join(spans, ["doc", "variant"], "left").select("doc_id", text_of().cast("binary").alias("text"), "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,12 +384,6 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 kept = b"".join([*kept, text[at:]])
                 made.append((len(text), removed, runs, hashlib.sha256(kept).hexdigest(), kept if removed else None))
             columns = [pa.array([m[k] for m in made], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-
-    changed = texts.select("doc", "text", "spans").mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-    zero = F.lit(0).cast("long")
-    finished = parts.where(F.col("kind") == FINISHED).select(
-        F.col("doc").alias("doc_id"), "n_bytes", zero.alias("n_removed"), zero.alias("n_spans"), F.col("sha").alias("kept_sha256"),
-        F.lit(None).cast("binary").alias("kept"),
-    )
-    return finished.unionByName(changed).withColumn("doc_id", F.col("doc_id").cast(kind))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return texts.mapInArrow(cut, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
