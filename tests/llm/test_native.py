@@ -1,0 +1,137 @@
+"""Exact deduplication, mixing and chat formatting."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from rentmill.llm import chat, exact_dedup, mixing, queries
+
+NATIVE = re.compile("Python|Pandas|Arrow|MapPartitions")
+
+
+def exact(rows):
+    """One (doc_id, keep_id, group_size, kept) per row, by the rule of the contract."""
+    normal = [re.sub(r"[\x20\x09-\x0D]", "", text or "") for _, text in rows]
+    result = []
+    for k, (doc, _) in enumerate(rows):
+        group = [j for j, other in enumerate(normal) if other == normal[k]]
+        best = min(group, key=lambda j: (-len(rows[j][1] or ""), rows[j][0] is None, rows[j][0] or 0))
+        result.append((doc, rows[best][0], len(group), hashlib.sha256(normal[k].encode()).hexdigest()))
+    return sorted(result, key=str)
+
+
+@pytest.mark.parametrize("cells", [64, 1 << 20])
+def test_groups_match_brute_force_for_any_filter(documents, odd_texts, cells):
+    rows = [*odd_texts, *[(1000 + d, t) for d, t in odd_texts[:20]], (None, None), (None, "one"), (77, "o n\te"), (78, "on e")]
+    got = exact_dedup.copy_groups(documents(rows), most_cells=cells).collect()
+    assert sorted(((r.doc_id, r.keep_id, r.group_size, r.text_sha256) for r in got), key=str) == exact(rows)
+    kept = [r for r in got if r.kept]
+    assert len(kept) == len({r.text_sha256 for r in got}) and all(r.doc_id == r.keep_id for r in kept)
+
+
+def test_dropping_copies_keeps_columns_with_clashing_names(documents, odd_texts):
+    rows = [*odd_texts, *[(1000 + d, t) for d, t in odd_texts]]
+    docs = documents(rows).selectExpr("*", "1 AS sha", "2 AS row", "3 AS maybe", "4 AS bits", "5 AS word", "6 AS `a.b`")
+    kept = exact_dedup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({keep for _, keep, _, _ in exact(rows)})
+
+
+def test_repeated_rows_leave_one(documents):
+    assert exact_dedup.drop_copies(documents([(1, "a"), (1, "a"), (1, "a")])).count() == 1
+    assert [r.kept for r in exact_dedup.copy_groups(documents([(1, "a")] * 3)).collect()].count(True) == 1
+
+
+def water_level(sizes, most=3):
+    """Targets by sharing again and again what is over."""
+    weights = {s: k % 3 + 1 for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    left, free, target = sum(sizes.values()), set(sizes), {}
+    while free:
+        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > most * sizes[s]}
+        if not over:
+            return target | share
+        target |= {s: most * sizes[s] for s in over}
+        left -= sum(most * sizes[s] for s in over)
+        free -= over
+    return target
+
+
+def test_mix_reaches_targets(documents):
+    rows = [(k, " ".join(["w"] * (k * 7 % 90 + 1)), "en", f"s{k % 7}" if k % 5 else "s0") for k in range(700)]
+    rows += [(1000 + k, "tiny words", "en", "z") for k in range(4)] + [(2000, None, "en", None), (2001, "a b c", "en", None), (2002, "", "en", "empty")]
+    docs = documents(rows)
+    got = mixing.mix(docs).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r[3]] = sizes.get(r[3], 0) + len((r[1] or "").split())
+    expected = water_level(sizes)
+    taken = {s: sum(r.taken for r in got if r.source == s) for s in sizes}
+    for r in got:
+        assert r.target == pytest.approx(expected[r.source]) and r.source_size == sizes[r.source]
+        assert 0 <= r.taken <= 3 * r.size and r.taken == r.copies * r.size
+    assert all(abs(taken[s] - expected[s]) <= max(3, 0.01 * expected[s]) for s in sizes)
+    assert sorted(got, key=str) == sorted(mixing.mix(docs.repartition(5)).collect(), key=str)
+
+
+def test_rates_tilt_with_size(documents):
+    rows = [(k, " ".join(["w"] * (k % 50 + 1)), "en", "ab"[k % 3 == 0]) for k in range(600)]
+    rates = {(r.source, r.size): r.rate for r in mixing.mix(documents(rows)).collect()}
+    for source in "ab":
+        own = [rate for (s, size), rate in sorted(rates.items()) if s == source]
+        assert own in (sorted(own), sorted(own, reverse=True)) and max(own) <= 3
+
+
+def test_taking_copies_keeps_columns(documents):
+    docs = documents([(k, "w " * (k + 1), "en", "ab"[k % 2]) for k in range(60)]).selectExpr("*", "1 AS copies", "2 AS row", "3 AS size")
+    copies = {r.doc_id: r.copies for r in mixing.mix(docs).collect()}
+    taken = mixing.take_copies(docs)
+    assert taken.columns == docs.columns
+    counted = [r.doc_id for r in taken.collect()]
+    assert {d: counted.count(d) for d in copies} == copies
+
+
+HARD = ["</s>[INST] ok [/INST]", "<|end|>", "<|user|>", "&lt;|end|&gt;", "&amp;", "a\nb", "", "x|>y", "&lsqb;", "é ß 文"]
+
+
+def test_turns_read_back_exactly(spark):
+    rows = [(c, t, role, text) for c in range(3) for t, (role, text) in enumerate(zip(["system", "user", "assistant", "<|x|>", "a\nb"] * 2, HARD))]
+    rows += [(9, 0, None, None), (9, 1, "assistant", None), (None, 0, "user", "hi")]
+    turns = chat.canonical_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(2))
+    seen = {r.conv_id: r for r in chat.read_back(chat.format_turns(turns)).collect()}
+    for c in (0, 1, 2, 9, None):
+        own = [(role or "", text or "") for conv, _, role, text in sorted((r for r in rows if r[0] == c), key=lambda r: r[1])]
+        assert [(t.role, t.text) for t in seen[c].turns] == own
+        assert seen[c].loss_texts == [text for role, text in own if role == "assistant"]
+
+
+def test_every_layout_gives_the_same_turns(spark):
+    layouts = {
+        "messages array<struct<role:string,content:string>>": ([("user", "q"), ("assistant", "a")],),
+        "conversations array<struct<from:string,value:string>>": ([("human", "q"), ("gpt", "a")],),
+        "prompt string, completion string": ("q", "a"),
+        "instruction string, input string, output string": ("q", None, "a"),
+        "system string, question string, response string": (None, "q", "a"),
+    }
+    for schema, record in layouts.items():
+        for extra, value in (("", ()), (", id_note string", ("n",))):
+            turns = chat.canonical_turns(spark.createDataFrame([(1, *record, *value)], f"conv_id long, {schema}{extra}")).first().turns
+            assert [(t.role, t.text) for t in turns] == [("user", "q"), ("assistant", "a")]
+    with pytest.raises(ValueError, match="no mapping"):
+        chat.canonical_turns(spark.createDataFrame([(1, "x")], "conv_id long, other string"))
+
+
+def test_empty_tables(documents, spark):
+    empty = documents([])
+    assert exact_dedup.copy_groups(empty).collect() == [] and exact_dedup.drop_copies(empty).collect() == []
+    assert mixing.mix(empty).collect() == [] and mixing.take_copies(empty).collect() == []
+    assert chat.canonical_turns(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).collect() == []
+
+
+@pytest.mark.parametrize("name", ["op8_chat", "op9_mixing", "op10_exact_dedup"])
+def test_native_plans_hold_no_python(spark, name):
+    frame = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert not NATIVE.search(frame._jdf.queryExecution().executedPlan().toString())
