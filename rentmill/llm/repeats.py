@@ -5,16 +5,20 @@ equal. Every 50-byte window holds an anchor, its ``GRAM``-byte string with the s
 equal anchors at the same place. So
 
 1. every document gives the hashes of its anchors, and a fixed bitmap keeps those seen in two documents or more;
-2. each such anchor sends its surroundings, the bytes of all windows around it, to the shard of its hash. A task that saw
-   equal surroundings (a 64-bit hash) in an earlier document before removes them at once and sends nothing;
-3. a shard sorts all suffixes of its differing surroundings (Larsson and Sadakane's refinement), takes common prefixes of
-   neighbours (Kasai), and gives each run of windows with 50 bytes in common the smallest doc_id it was seen in. Anchors with more
-   surroundings than a shard holds come in the order of doc_id over several shards, and the sorted windows of one shard are
-   looked up by binary search in those of the shards before;
-4. the bytes to remove meet their text again, which gives the digests.
-
-The bitmap is a filter only: beyond its size more surroundings travel and the result is the same. Null texts are empty. A null
-doc_id counts as later than all others; rows that share a doc_id do not remove each other's text.
+2. each of these gives a fingerprint of its surroundings, the bytes of all windows around it. Fingerprints are sorted by anchor,
+   which tells the first document of each kind of surroundings and the anchors that have several kinds; two more
+   bitmaps keep these;
+3. surroundings that are not the first of their kind are removed at once. First ones go to the shard of their anchor, with their
+   bytes if the anchor has several kinds, and so do those that the bitmap takes for first ones by mistake;
+4. a shard sorts all suffixes of differing surroundings (Larsson and Sadakane's refinement), takes common prefixes of neighbours
+   (Kasai), and gives each run of equal windows the smallest doc_id it was seen in. Anchors with more surroundings
+   than a shard holds come in the order of doc_id over several shards, and the sorted windows of one shard are looked up
+   by binary search in those of the shards before;
+5. the bytes to remove meet their text again, which gives the digests.
+
+In surroundings the anchor itself stands as its 64-bit hash; windows are equal when the hashes and the bytes around them are.
+The bitmaps are filters of a fixed size: beyond it more surroundings travel and the result is the same. Null texts are
+empty. A null doc_id counts as later than all others; rows that share a doc_id do not remove each other's text.
 """
 
 from __future__ import annotations
@@ -35,9 +39,11 @@ from rentmill.llm.suffixes import common_prefixes, suffix_order
 from rentmill.llm.tables import stored, text_of
 
 WINDOW = 50
-GRAM = 20
+GRAM = 26
 REACH = WINDOW - GRAM
-AROUND = 2 * WINDOW - GRAM
+# A window, and all windows around an anchor, with the anchor's eight-byte hash in its place.
+SHORT = REACH + 8
+AROUND = 2 * REACH + 8
 BLOCK_BYTES = 2 << 20
 SHARD_ROWS = 1 << 14
 BITMAP_BITS = 27
@@ -110,13 +116,9 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
 
         def finish() -> Iterator[pa.RecordBatch]:
             every = np.sort(np.concatenate(held))
-            whole = (np.uint64(current) << np.uint64(32)) | np.unique(every[1:][every[1:] == every[:-1]])
-            cells = np.unique(whole >> np.uint64(bits + 32 - BITMAP_BITS)).astype(np.int64)
-            if len(cells):
-                part = cells >> (BITMAP_BITS - SLICE_BITS)
-                first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-                blobs = [p.astype(np.int32).tobytes() for p in np.split(cells, first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(part[first], pa.int64()), pa.array(blobs, pa.binary())], ["slice", "cells"])
+            whole = (np.uint64(current) << np.uint64(32)) | every[1:][every[1:] == every[:-1]]
+            if len(whole):
+                yield _cell_rows(0, (whole >> np.uint64(bits + 32 - BITMAP_BITS)).astype(np.int64))
 
         for batch in batches:
             for bucket, hashes in zip(batch.column("bucket").to_pylist(), batch.column("hashes").to_pylist()):
@@ -128,46 +130,112 @@ def repeated_anchors(docs: DataFrame) -> np.ndarray:
         if held:
             yield from finish()
 
+    counted = _hash_counts(docs, bits).repartition("bucket").sortWithinPartitions("bucket")
+    return _bitmaps(counted.mapInArrow(repeated, CELLS), 1)[0]
+
+
+CELLS = "bitmap int, slice long, cells binary"
+
+
+def _cell_rows(bitmap: int, cells: np.ndarray) -> pa.RecordBatch:
+    """Distinct cells of a bitmap by slice."""
+    cells = np.unique(cells)
+    part = cells >> (BITMAP_BITS - SLICE_BITS)
+    first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+    blobs = [p.astype(np.int32).tobytes() for p in np.split(cells, first[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), bitmap, np.int32)), pa.array(part[first]), pa.array(blobs, pa.binary())], ["bitmap", "slice", "cells"])
+
+
+def _bitmaps(cells: DataFrame, count: int) -> list[np.ndarray]:
+    """Bitmaps with the given cells set, put together slice by slice in tasks."""
+
     def drawn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits: dict[int, np.ndarray] = {}
+        bits: dict[tuple[int, int], np.ndarray] = {}
         for batch in batches:
-            for number, cells in zip(batch.column("slice").to_pylist(), batch.column("cells").to_pylist()):
-                part = bits.setdefault(number, np.zeros(1 << (BITMAP_BITS - SLICE_BITS), bool))
-                part[np.frombuffer(cells, np.int32) & (len(part) - 1)] = True
+            for *name, blob in zip(*(batch.column(c).to_pylist() for c in ("bitmap", "slice", "cells"))):
+                part = bits.setdefault(tuple(name), np.zeros(1 << (BITMAP_BITS - SLICE_BITS), bool))
+                part[np.frombuffer(blob, np.int32) & (len(part) - 1)] = True
         if bits:
             packed = [np.packbits(part).tobytes() for part in bits.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(bits), pa.int64()), pa.array(packed, pa.binary())], ["slice", "bits"])
+            columns = [pa.array([n[0] for n in bits], pa.int32()), pa.array([n[1] for n in bits], pa.int64()), pa.array(packed, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["bitmap", "slice", "cells"])
 
-    counted = _hash_counts(docs, bits).repartition("bucket").sortWithinPartitions("bucket")
-    cells = counted.mapInArrow(repeated, "slice long, cells binary")
-    bitmap = np.zeros((1 << SLICE_BITS, 1 << (BITMAP_BITS - SLICE_BITS - 3)), np.uint8)
-    for row in cells.repartition("slice").mapInArrow(drawn, "slice long, bits binary").collect():
-        bitmap[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap.ravel()
+    made = np.zeros((count, 1 << SLICE_BITS, 1 << (BITMAP_BITS - SLICE_BITS - 3)), np.uint8)
+    for row in cells.repartition("bitmap", "slice").mapInArrow(drawn, CELLS).collect():
+        made[row["bitmap"], row["slice"]] = np.frombuffer(row["cells"], np.uint8)
+    return [bitmap.ravel() for bitmap in made]
+
+
+def _is_set(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the cell of the leading bits of each hash is set."""
+    cells = hashes >> np.uint64(64 - BITMAP_BITS)
+    return (bitmap[(cells >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & 1 == 1
 
 
-class _Seen:
-    """Surroundings a task has seen, with their smallest doc_id, as sorted runs of growing size."""
+def _pair_hash(kinds: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    return mixed(kinds ^ mixed(docs.view(np.uint64)))
 
-    def __init__(self):
-        self.runs: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def least(self, keys: np.ndarray) -> np.ndarray:
-        found = np.full(len(keys), LAST)
-        for known, docs in self.runs:
-            at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            found = np.where(known[at] == keys, np.minimum(found, docs[at]), found)
-        return found
+class _Surroundings:
+    """The repeated anchors of a block: place, hash, text, reach and a fingerprint of what is around."""
 
-    def add(self, keys: np.ndarray, docs: np.ndarray) -> None:
-        while self.runs and len(self.runs[-1][0]) <= 2 * len(keys):
-            known, earlier = self.runs.pop()
-            keys, docs = np.concatenate([known, keys]), np.concatenate([earlier, docs])
-            order = np.argsort(keys, kind="stable")
-            keys, docs = keys[order], docs[order]
-            first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
-            keys, docs = keys[first], np.minimum.reduceat(docs, first)
-        self.runs.append((keys, docs))
+    def __init__(self, block: pa.RecordBatch, repeated: np.ndarray):
+        self.flat, self.starts = utf8_bytes(block.column("text"))
+        places, hashes, sums, down = anchors(self.flat, self.starts, sums=True)
+        hit = _is_set(repeated, hashes)
+        self.places, self.hashes = places[hit], hashes[hit]
+        self.owner = np.searchsorted(self.starts, self.places, side="right") - 1
+        self.low = np.maximum(self.places - REACH, self.starts[self.owner])
+        self.high = np.minimum(self.places + WINDOW, self.starts[self.owner + 1])
+        self.docs_of = block.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
+        self.docs = self.docs_of[self.owner]
+        if len(self.places):
+            whole = (sums[self.high] - sums[self.low]) * down[self.low]
+            self.kinds = mixed(whole + (self.high - self.low).astype(np.uint64)) ^ self.hashes
+
+
+def _first_kinds(docs: DataFrame, repeated: np.ndarray) -> list[np.ndarray]:
+    """Two bitmaps: pairs of surroundings and their first document, and anchors with several kinds of surroundings."""
+    shared = docs.sparkSession.sparkContext.broadcast(repeated)
+
+    def fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
+            found = _Surroundings(block, shared.value)
+            if len(found.places):
+                order = np.lexsort((found.docs, found.kinds))
+                order = order[np.r_[True, found.kinds[order][1:] != found.kinds[order][:-1]]]
+                anchor = (found.hashes[order] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(found.kinds[order].view(np.int64)), pa.array(found.docs[order])], ["anchor", "kind", "doc"])
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held, size = None, ([], []), 0
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            for bitmap, cells in enumerate(held):
+                if cells:
+                    yield _cell_rows(bitmap, np.concatenate(cells))
+            held = ([], [])
+
+        for batch in batches:
+            anchor, kind, doc = (batch.column(c).to_numpy() for c in ("anchor", "kind", "doc"))
+            if not len(anchor):
+                continue
+            same_anchor = np.r_[last is not None and last[0] == anchor[0], anchor[1:] == anchor[:-1]]
+            new = ~same_anchor | np.r_[last is None or last[1] != kind[0], kind[1:] != kind[:-1]]
+            last = (anchor[-1], kind[-1])
+            pairs = _pair_hash(kind[new].view(np.uint64), doc[new]) >> np.uint64(64 - BITMAP_BITS)
+            several = anchor[new & same_anchor].view(np.uint32) >> np.uint32(32 - BITMAP_BITS)
+            held[0].append(pairs.astype(np.int64))
+            held[1].append(np.unique(several).astype(np.int64))
+            size += len(pairs)
+            if size >= 1 << 20:
+                yield from emptied()
+                size = 0
+        yield from emptied()
+
+    sorted_kinds = docs.select("doc_id", "text").mapInArrow(fingerprints, "anchor int, kind long, doc long").repartition("anchor").sortWithinPartitions("anchor", "kind", "doc")
+    return _bitmaps(sorted_kinds.mapInArrow(firsts, CELLS), 2)
 
 
 def _joined(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,51 +250,45 @@ def _joined(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
 SENT = "doc long, variant long, start int, stop int, hash long, around binary"
 
 
-def _sent(docs: DataFrame, bitmap: np.ndarray) -> DataFrame:
-    """Surroundings of repeated anchors (with hash and bytes), and stretches already known to be removed (without)."""
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def _sent(docs: DataFrame) -> DataFrame:
+    """Surroundings for the shards (with hash and bytes), and stretches already known to be removed (without)."""
+    repeated = repeated_anchors(docs)
+    shared = docs.sparkSession.sparkContext.broadcast((repeated, *_first_kinds(docs, repeated)))
     names = ["doc", "variant", "start", "stop", "hash", "around"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = shared.value, _Seen()
+        repeated, first_pairs, several_kinds = shared.value
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
-            flat, starts = utf8_bytes(block.column("text"))
-            places, hashes, sums, down = anchors(flat, starts, sums=True)
-            cells = hashes >> np.uint64(64 - BITMAP_BITS)
-            hit = (bits[(cells >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (cells & np.uint64(7)).astype(np.uint8))) & 1
-            places, hashes = places[hit == 1], hashes[hit == 1]
-            if not len(places):
+            found = _Surroundings(block, repeated)
+            if not len(found.places):
                 continue
-            owner = np.searchsorted(starts, places, side="right") - 1
-            doc = block.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
+            flat, starts, owner = found.flat, found.starts, found.owner
             data, variant = flat.tobytes(), np.zeros(block.num_rows, np.int64)
             for k in np.unique(owner):
                 variant[k] = zlib.crc32(data[starts[k] : starts[k + 1]])
-            low, high = np.maximum(places - REACH, starts[owner]), np.minimum(places + WINDOW, starts[owner + 1])
-            key = mixed((sums[high] - sums[low]) * down[low] + (high - low).astype(np.uint64)) ^ hashes
-            order = np.lexsort((doc[owner], key))
-            first = np.r_[True, key[order][1:] != key[order][:-1]]
-            keys, docs_of = key[order][first], doc[owner][order][first]
-            least = np.zeros(len(key), np.int64)
-            least[order] = np.minimum(docs_of, seen.least(keys))[np.cumsum(first) - 1]
-            seen.add(keys, docs_of)
-            gone = doc[owner] > least
-            if gone.any():
-                of, begin, end = _joined(owner[gone], low[gone], high[gone])
-                nothing = pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.binary())
+            first = _is_set(first_pairs, _pair_hash(found.kinds, found.docs))
+            if not first.all():
+                of, begin, end = _joined(owner[~first], found.low[~first], found.high[~first])
+                columns = [pa.array(found.docs_of[of]), pa.array(variant[of]), pa.array(begin - starts[of], pa.int32()), pa.array(end - starts[of], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.binary())], names)
+            several = _is_set(several_kinds, found.hashes)
+            for chosen, whole in ((np.flatnonzero(first & several), True), (np.flatnonzero(first & ~several), False)):
+                if not len(chosen):
+                    continue
+                of, low, high, place = owner[chosen], found.low[chosen], found.high[chosen], found.places[chosen]
+                if whole:
+                    near = place[:, None] + np.r_[np.arange(-REACH, 0), np.zeros(8, np.int64), np.arange(GRAM, WINDOW)]
+                    inside = (near >= low[:, None]) & (near < high[:, None])
+                    around = flat[np.clip(near, 0, len(flat) - 1)]
+                    around[:, REACH : REACH + 8] = found.hashes[chosen].view(np.uint8).reshape(-1, 8)
+                else:
+                    inside, around = np.ones((len(chosen), 8), bool), found.kinds[chosen].view(np.uint8).reshape(-1, 8)
+                offsets = np.r_[0, np.cumsum(inside.sum(axis=1))].astype(np.int32)
+                blob = pa.BinaryArray.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(around[inside].tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc[of]), pa.array(variant[of]), pa.array(begin - starts[of], pa.int32()), pa.array(end - starts[of], pa.int32()), *nothing], names
+                    [pa.array(found.docs_of[of]), pa.array(variant[of]), pa.array(low - starts[of], pa.int32()), pa.array(high - starts[of], pa.int32()),
+                     pa.array(found.hashes[chosen].view(np.int64)), blob], names
                 )
-            sent = np.flatnonzero(~gone)
-            of, lengths = owner[sent], (high - low)[sent]
-            cut = low[sent][:, None] + np.arange(AROUND)
-            inside = np.arange(AROUND) < lengths[:, None]
-            offsets = np.r_[0, np.cumsum(lengths)].astype(np.int32)
-            around = pa.BinaryArray.from_buffers(pa.binary(), len(sent), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(flat[cut[inside]].tobytes())])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(doc[of]), pa.array(variant[of]), pa.array(low[sent] - starts[of], pa.int32()), pa.array(high[sent] - starts[of], pa.int32()),
-                 pa.array(hashes[sent].view(np.int64)), around], names
-            )
 
     return docs.select("doc_id", "text").mapInArrow(send, SENT)
 
@@ -237,18 +299,18 @@ def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: t
     ``known`` holds the windows of earlier shards and their smallest docs, in order.
     """
     order = suffix_order(texts)
-    shared = common_prefixes(texts, order, WINDOW)
+    shared = common_prefixes(texts, order, SHORT)
     ends = np.cumsum(lengths)
     text_of = np.repeat(np.arange(len(lengths)), lengths)
-    whole = order + WINDOW <= ends[text_of[order]]
+    whole = order + SHORT <= ends[text_of[order]]
     # Windows that run over the end of their text are left out; the smallest common prefix in between still holds.
-    runs = np.cumsum(shared < WINDOW)[whole]
+    runs = np.cumsum(shared < SHORT)[whole]
     windows = order[whole]
     if not len(windows):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), (np.zeros(0, f"V{WINDOW}"), np.zeros(0, np.int64))
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), (np.zeros(0, f"S{SHORT}"), np.zeros(0, np.int64))
     first = np.flatnonzero(np.r_[True, runs[1:] != runs[:-1]])
     least = np.minimum.reduceat(docs[text_of[windows]], first)
-    content = np.ascontiguousarray(texts[windows[first][:, None] + np.arange(WINDOW)]).view(f"S{WINDOW}").ravel()
+    content = np.ascontiguousarray(texts[windows[first][:, None] + np.arange(SHORT)]).view(f"S{SHORT}").ravel()
     if known is not None and len(known[0]):
         at = np.minimum(np.searchsorted(known[0], content), len(known[0]) - 1)
         least = np.where(known[0][at] == content, np.minimum(least, known[1][at]), least)
@@ -256,7 +318,7 @@ def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: t
     return windows, np.repeat(least, sizes), (content, least)
 
 
-def _shard_spans(hashes, rows, places, arounds, known, more: bool):
+def _shard_spans(hashes, rows, places, stops, arounds, known, more: bool):
     """What to remove in the rows (doc, variant) of one shard, and its windows in order.
 
     ``known``: windows of the shards before for an anchor that began there; ``more``: the anchor goes on after this shard.
@@ -272,8 +334,8 @@ def _shard_spans(hashes, rows, places, arounds, known, more: bool):
     _, anchor, each = np.unique(hashes[first], return_inverse=True, return_counts=True)
     alone = (each[anchor] == 1) & (known is None) & (not more)
     whole = docs > least[kind]
-    found = [(rows[whole], places[whole], places[whole] + lengths[kind[whole]])]
-    table = (np.zeros(0, f"S{WINDOW}"), np.zeros(0, np.int64))
+    found = [(rows[whole], places[whole], stops[whole])]
+    table = (np.zeros(0, f"S{SHORT}"), np.zeros(0, np.int64))
     if not alone.all():
         several = np.flatnonzero(~alone)
         number = np.full(len(kinds), -1)
@@ -322,7 +384,7 @@ def _spans(sent: DataFrame) -> DataFrame:
                 own = rows.slice(part.start, part.stop - part.start)
                 found, table = _shard_spans(
                     hashes[part], np.column_stack([own.column("doc").to_numpy(), own.column("variant").to_numpy()]),
-                    own.column("start").to_numpy().astype(np.int64), own.column("around").to_pylist(), earlier, goes_on,
+                    *(own.column(c).to_numpy().astype(np.int64) for c in ("start", "stop")), own.column("around").to_pylist(), earlier, goes_on,
                 )
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found[0][:, 0]), pa.array(found[0][:, 1]), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())],
@@ -361,7 +423,7 @@ def _spans(sent: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (null where all of the text stays) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    spans = _spans(_sent(docs, repeated_anchors(docs)))
+    spans = _spans(_sent(docs))
     spans = stored(spans.groupBy("doc", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
     named = docs.select(F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.crc32(text_of()).alias("variant"))
     texts = named.join(spans, ["doc", "variant"], "left").select("doc_id", text_of().cast("binary").alias("text"), "spans")
