@@ -76,7 +76,9 @@ def anchors(flat: np.ndarray, starts: np.ndarray, sums: bool = False) -> tuple[n
     lowest[np.arange(len(lowest)) + WINDOW > ends] = 0
     reached = np.concatenate([np.zeros(REACH, np.uint64), lowest, np.zeros(REACH, np.uint64)])
     places = np.flatnonzero(_sliding(reached, REACH + 1, np.maximum) == grams)
-    return (places, grams[places], total, down) if sums else (places, grams[places])
+    # The smallest hashes are anything but evenly spread; mixed again they are.
+    hashes = mixed(grams[places])
+    return (places, hashes, total, down) if sums else (places, hashes)
 
 
 def _hash_counts(docs: DataFrame, bits: int) -> DataFrame:
