@@ -7,6 +7,7 @@ read back.
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,17 +19,19 @@ from rentmill.functions import register_functions, week_start
 from rentmill.operators import preview, run_sql
 from rentmill.plans.business import RANKINGS, rank, rank_directly
 from rentmill.plans.layers import (
-    QUALITY_RULES, build_business, build_staging, land_tables, layer_report, load_raw, project, quality_to_access,
-    raw_to_quality, store_tables,
+    QUALITY_RULES, build_business, build_staging, land_tables, layer_report, load_raw, project, promote,
+    quality_to_access, raw_to_quality, store_tables,
 )
 from rentmill.plans.pipeline import run_pipeline
 from rentmill.plans.staging import STAGES
-from rentmill.plans.weekly import append_and_summarise, returned, weekly_returned
+from rentmill.plans.weekly import APPENDED, append_and_summarise, returned, summary_of, weekly_returned
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
 from rentmill.sinks import export_csv, query_to_layer, write_layer
 from rentmill.sources import load_layer, read_csv_folder, read_layer
+from rentmill.sources.csv import read_options, restore_empty
 from rentmill.storage import scratch_folder
 from rentmill.streaming import ingest_new_files, read_ingested
+from rentmill.streaming.ingest import INGESTED
 
 try:
     import corpus_pipeline
@@ -50,6 +53,19 @@ RATING_SQL = """
     WHERE rental.return_date IS NOT NULL
     GROUP BY film.rating
 """
+NESTED_SQL = """
+    SELECT best.city, best.payments FROM (
+        SELECT city.city, count(home.rental_id) AS payments
+        FROM (
+            SELECT paid.rental_id, address.city_id
+            FROM (SELECT payment.rental_id, customer.address_id
+                  FROM payment JOIN customer ON payment.customer_id = customer.customer_id) AS paid
+            JOIN address ON paid.address_id = address.address_id
+        ) AS home
+        JOIN city ON home.city_id = city.city_id
+        GROUP BY city.city
+    ) AS best WHERE best.payments > 0
+"""
 WEEKLY_SQL = """
     SELECT week_start(rental_date) AS week, count(*) AS total
     FROM rental WHERE return_date IS NOT NULL GROUP BY 1
@@ -122,6 +138,11 @@ def sql_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_sql(spark, RATING_SQL, ShopTables(spark, sf_dir).all())
 
 
+def sql_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Joins written as subqueries three deep."""
+    return run_sql(spark, NESTED_SQL, ShopTables(spark, sf_dir).all())
+
+
 def week_trunc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ShopTables(spark, sf_dir)["rental"].select("rental_id", week_start("rental_date").alias("week"))
 
@@ -139,16 +160,21 @@ def preview_top2(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- staging, rankings, weekly summary -------------------------------------------------------------------------
 
 
-def _staged(target: str) -> Query:
+def _staged(target: str, **settings) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = STAGES[target](ShopTables(spark, sf_dir))
+        rows = STAGES[target](ShopTables(spark, sf_dir), **settings)
         return rows.withColumn("amount", F.col("amount").cast("double")) if "amount" in rows.columns else rows
 
     return query
 
 
-def _ranked(target: str) -> Query:
-    return lambda spark, sf_dir: rank_directly(target, ShopTables(spark, sf_dir))
+def _ranked(target: str, **settings) -> Query:
+    return lambda spark, sf_dir: rank_directly(target, ShopTables(spark, sf_dir), **settings)
+
+
+# Settings that take the paths meant for large tables: link tables checked for hot keys, and nothing called small.
+SALTED = {"plain_join_bytes": 0, "hot_links": 3}
+SHUFFLED = {"broadcast_limit": -1}
 
 
 def _ranked_from_stage(target: str) -> Query:
@@ -198,10 +224,48 @@ def layer_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layer_report(spark, root, {ACCESS: TABLES})
 
 
+def _from_access(table: str) -> Query:
+    """The stored rows of a table that was landed, loaded and promoted twice."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, source = scratch_folder(spark, "access"), _source(spark, sf_dir)
+        land_tables(spark, source, f"{root}/landing", [table])
+        load_raw(spark, f"{root}/landing", root, [table])
+        promote(spark, root, RAW, QUALITY, QUALITY_RULES, [table])
+        promote(spark, root, QUALITY, ACCESS, {}, [table])
+        rows = read_layer(spark, root, ACCESS, table)
+        money = [f.name for f in rows.schema.fields if f.dataType.typeName() == "decimal"]
+        return rows.withColumns({name: F.col(name).cast("double") for name in money})
+
+    return query
+
+
+def land_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A text array and bytes, as a database gives them, through CSV into the raw layer."""
+    root, shop = scratch_folder(spark, "types"), ShopTables(spark, sf_dir)
+    given = {
+        "film": shop["film"].withColumn("special_features", F.expr("array(rating, 'a, b', NULL, '', 'plain')")),
+        "staff": shop["staff"].withColumn("picture", F.encode("username", "UTF-8")).withColumn("email", F.lit("")),
+    }
+    land_tables(spark, given.__getitem__, f"{root}/landing", given)
+    load_raw(spark, f"{root}/landing", root, given)
+    film, staff = (read_layer(spark, root, RAW, table) for table in given)
+    return film.select(F.lit("film").alias("of"), F.col("film_id").alias("id"), F.col("special_features").alias("text"), F.lit(None).cast("string").alias("email")).unionAll(
+        staff.select(F.lit("staff"), "staff_id", "picture", "email")
+    )
+
+
 def layer_staging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stored rows of two staging tables, and the number of rows of all six."""
     root = _with_access(spark, sf_dir, "staging")
     build_staging(spark, root)
-    return layer_report(spark, root, {STAGING: tuple(STAGES)})
+    customer, store = (read_layer(spark, root, STAGING, t) for t in ("Top_Customer", "Top_Store"))
+    report = layer_report(spark, root, {STAGING: tuple(STAGES)})
+    return customer.select(
+        F.lit("Top_Customer").alias("stage"), "last_name", "store_id", "rental_id", F.col("amount").cast("double").alias("amount")
+    ).unionAll(
+        store.select(F.lit("Top_Store"), F.lit(None), "store_id", "rental_id", F.lit(None))
+    ).unionAll(report.select(F.lit("rows"), "table", F.lit(None), "rows", F.lit(None)))
 
 
 def _business_rows(spark: SparkSession, root: str) -> DataFrame:
@@ -272,12 +336,62 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_layer(spark, _ingested(spark, sf_dir, "ingest"), BUSINESS, "weekly_returned")
+    return read_layer(spark, _ingested(spark, sf_dir, "ingest"), BUSINESS, summary_of(INGESTED))
+
+
+def _in_drops(spark: SparkSession, sf_dir: str, root: str, settings: list[dict]) -> None:
+    """All rentals in as many drops as there are settings, an ingest run with them after each."""
+    rental = ShopTables(spark, sf_dir)["rental"]
+    for number, own in enumerate(settings):
+        export_csv(rental.where(F.col("rental_id") % len(settings) == number), f"{root}/drops/{number}")
+        run = ingest_new_files(spark, f"{root}/drops/*", root, SCHEMAS["rental"], f"{root}/checkpoint", **own)
+        run.awaitTermination()
 
 
 def ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    archive = f"{scratch_folder(spark, 'archive')}/loaded"
-    return read_ingested(spark, _ingested(spark, sf_dir, "ingest", archive_dir=archive))
+    """Rentals by where their file is after three drops: a file moves in the run after the one that loaded it."""
+    root = scratch_folder(spark, "archive")
+    _in_drops(spark, sf_dir, root, [{"archive_dir": f"{root}/loaded"}] * 3)
+
+    def rows(place: str, folder: str) -> DataFrame:
+        reader = spark.read.schema(SCHEMAS["rental"]).options(**read_options(SCHEMAS["rental"]), recursiveFileLookup=True)
+        return restore_empty(reader.csv(folder)).select(F.lit(place).alias("place"), "rental_id", "inventory_id")
+
+    return rows("archive", f"{root}/loaded").unionAll(rows("folder", f"{root}/drops"))
+
+
+def ingest_summary_catches_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary after a run without one and a run with one."""
+    root = scratch_folder(spark, "late-summary")
+    _in_drops(spark, sf_dir, root, [{"summarise": False}, {"summarise": True}])
+    return read_layer(spark, root, BUSINESS, summary_of(INGESTED))
+
+
+def ingest_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summaries of two tables that are ingested side by side."""
+    root, rental = scratch_folder(spark, "two"), ShopTables(spark, sf_dir)["rental"]
+    parts = {"one": rental, "two": rental.where("staff_id % 5 = 0")}
+    for table, rows in parts.items():
+        export_csv(rows, f"{root}/landing/{table}")
+        run = ingest_new_files(spark, f"{root}/landing/{table}", root, SCHEMAS["rental"], f"{root}/checkpoint-{table}", table=table)
+        run.awaitTermination()
+    return _union(
+        read_layer(spark, root, BUSINESS, summary_of(table)).select(F.lit(table).alias("table"), "week", "total") for table in parts
+    )
+
+
+def weekly_beside_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An append beside the main pipeline: the summary, and the rentals that the next promotion finds."""
+    root, rental = scratch_folder(spark, "beside"), ShopTables(spark, sf_dir)["rental"]
+    export_csv(rental, f"{root}/landing/rental")
+    load_raw(spark, f"{root}/landing", root, ["rental"])
+    append_and_summarise(spark, f"{root}/landing/rental", root)
+    promote(spark, root, RAW, QUALITY, QUALITY_RULES, ["rental"])
+    promoted = read_layer(spark, root, QUALITY, "rental").agg(F.count(F.lit(1)).alias("total"))
+    summary = read_layer(spark, root, BUSINESS, summary_of(APPENDED))
+    return summary.select(F.lit("summary").alias("of"), "week", "total").unionAll(
+        promoted.select(F.lit("promoted"), F.lit(None).cast("date"), "total")
+    )
 
 
 # --- contract --------------------------------------------------------------------------------------------------
@@ -289,23 +403,41 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return shop_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+    named = shop_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+    return {name: _with_scratch(query) for name, query in named.items()}
 
 
 def oracle_sql() -> dict[str, str]:
     return shop_sql() | (llm.SQL if llm else {})
 
 
+def _with_scratch(query: Query) -> Query:
+    """``query`` with a folder for scratch tables, on this machine only where the session is local and names none."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        context = spark.sparkContext
+        named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+        if not named and context.master.startswith("local") and "cluster" not in context.master:
+            context.setCheckpointDir(tempfile.mkdtemp(prefix="rentmill-"))
+        return query(spark, sf_dir)
+
+    return run
+
+
 def shop_queries() -> dict[str, Query]:
     named: dict[str, Query] = {target.lower(): _ranked(target) for target in RANKINGS}
     named |= {f"{target.lower()}_from_stage": _ranked_from_stage(target) for target in RANKINGS}
     named |= {f"stage_{target.lower()}": _staged(target) for target in STAGES}
+    named |= {f"stage_{t.lower()}_shuffled": _staged(t, **SHUFFLED) for t in ("Top_Actor", "Top_City")}
+    named |= {f"{t.lower()}_salted": _ranked(t, **SALTED) for t in ("Top_Actor", "Top_Category")}
+    named |= {f"access_{table}": _from_access(table) for table in ("film", "address", "staff")}
     named["weekly_returned"] = weekly
     plain = (
         scan_csv, csv_roundtrip, scan_layer, write_overwrite, write_append, query_to_table, promote_identity,
         promote_address, filter_returned, sql_surface, week_trunc, count_nonnull, preview_top2, land_and_load,
         layer_quality, layer_access, layer_staging, layer_business, layer_business_direct, layers_end_to_end,
-        layers_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive,
+        layers_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive, ingest_two_tables,
+        ingest_summary_catches_up, weekly_beside_pipeline, land_types, sql_nested,
     )
     return named | {query.__name__: query for query in plain}
 
@@ -314,6 +446,8 @@ def shop_sql() -> dict[str, str]:
     sql = {target.lower(): oracle.ranking(target) for target in RANKINGS}
     sql |= {f"{target.lower()}_from_stage": oracle.ranking(target) for target in RANKINGS}
     sql |= {f"stage_{target.lower()}": oracle.stage(target) for target in STAGES}
+    sql |= {f"stage_{t.lower()}_shuffled": oracle.stage(t) for t in ("Top_Actor", "Top_City")}
+    sql |= {f"{t.lower()}_salted": oracle.ranking(t) for t in ("Top_Actor", "Top_Category")}
     rentals, weekly_counts = oracle.whole_table("rental"), oracle.over_shop(oracle.WEEKLY)
     business = oracle.over_shop(
         "\nUNION ALL\n".join(
@@ -350,7 +484,30 @@ def shop_sql() -> dict[str, str]:
         "land_and_load": oracle.report((RAW,)),
         "layer_quality": oracle.report((QUALITY,)),
         "layer_access": oracle.report((ACCESS,)),
-        "layer_staging": oracle.report((STAGING,)),
+        "layer_staging": oracle.over_shop(
+            "SELECT 'Top_Customer' AS stage, last_name, store_id, rental_id, CAST(amount AS DOUBLE) AS amount "
+            f"FROM ({oracle.STAGED['Top_Customer']}) AS a "
+            f"UNION ALL SELECT 'Top_Store', NULL, store_id, rental_id, NULL FROM ({oracle.STAGED['Top_Store']}) AS b "
+            + " ".join(
+                f"UNION ALL SELECT 'rows', '{target}', NULL, count(*), NULL FROM ({oracle.STAGED[target]}) AS c"
+                for target in STAGES
+            )
+        ),
+        "access_film": oracle.over_shop(
+            "SELECT * REPLACE (CAST(rental_rate AS DOUBLE) AS rental_rate, CAST(replacement_cost AS DOUBLE) AS replacement_cost) "
+            "FROM f_film"
+        ),
+        "access_address": oracle.over_shop("SELECT * EXCLUDE (address2) FROM f_address"),
+        "access_staff": oracle.whole_table("staff"),
+        "land_types": oracle.over_shop(
+            """SELECT 'film' AS of, film_id AS id, '{' || rating || ',"a, b",NULL,"",plain}' AS text, NULL AS email """
+            r"FROM f_film UNION ALL SELECT 'staff', staff_id, '\x' || lower(hex(username)), '' FROM f_staff"
+        ),
+        "sql_nested": oracle.over_shop(
+            "SELECT c.city, count(p.rental_id) AS payments FROM f_payment AS p, f_customer AS k, f_address AS a, f_city AS c "
+            "WHERE p.customer_id = k.customer_id AND k.address_id = a.address_id AND a.city_id = c.city_id "
+            "GROUP BY c.city HAVING count(p.rental_id) > 0"
+        ),
         "layer_business": business,
         "layer_business_direct": business,
         "layers_end_to_end": oracle.report((RAW, QUALITY, ACCESS, STAGING, BUSINESS)),
@@ -360,5 +517,16 @@ def shop_sql() -> dict[str, str]:
         ),
         "ingest_incremental": rentals,
         "ingest_weekly": weekly_counts,
-        "ingest_archive": rentals,
+        "ingest_archive": oracle.over_shop(
+            "SELECT CASE WHEN rental_id % 3 < 2 THEN 'archive' ELSE 'folder' END AS place, rental_id, inventory_id FROM f_rental"
+        ),
+        "ingest_summary_catches_up": weekly_counts,
+        "ingest_two_tables": oracle.over_shop(
+            f"SELECT 'one' AS \"table\", week, total FROM ({oracle.WEEKLY}) AS a UNION ALL SELECT 'two', week, total FROM "
+            f"({oracle.WEEKLY.replace('FROM f_rental', 'FROM (SELECT * FROM f_rental WHERE staff_id % 5 = 0) AS f')}) AS b"
+        ),
+        "weekly_beside_pipeline": oracle.over_shop(
+            f"SELECT 'summary' AS of, week, total FROM ({oracle.WEEKLY}) AS a "
+            "UNION ALL SELECT 'promoted', NULL, count(*) FROM f_rental"
+        ),
     }

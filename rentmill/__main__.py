@@ -16,13 +16,15 @@ from rentmill.plans.layers import (
     Source, build_business, build_staging, land_tables, load_raw, quality_to_access, raw_to_quality,
 )
 from rentmill.plans.pipeline import run_pipeline
-from rentmill.plans.weekly import append_and_summarise
+from rentmill.plans.weekly import APPENDED, append_and_summarise
 from rentmill.schemas import SCHEMAS
 from rentmill.session import build_session
 from rentmill.sources import jdbc_source
 from rentmill.streaming import ingest_new_files
+from rentmill.streaming.ingest import ANY_AGE, INGESTED
 
 STEPS = ("land", "load", "quality", "access", "staging", "business", "all", "weekly", "ingest")
+NEEDED = {"weekly": ("files",), "ingest": ("files", "checkpoint")}
 
 
 def arguments(argv: Sequence[str]) -> argparse.Namespace:
@@ -33,12 +35,27 @@ def arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--url", help="JDBC address of the source database (land, all)")
     parser.add_argument("--partitions", type=int, default=8, help="parallel reads per database table")
     parser.add_argument("--property", action="append", default=[], metavar="NAME=VALUE", help="JDBC property")
+    parser.add_argument("--properties-file", help="file of NAME=VALUE lines, for what other users must not see")
     parser.add_argument("--upto", default="business", help="last layer of an all run")
     parser.add_argument("--source", default="staging", choices=("staging", "access"), help="input of business")
     parser.add_argument("--files", help="folder of rental CSV files (weekly, ingest)")
     parser.add_argument("--checkpoint", help="record of the files loaded so far (ingest)")
     parser.add_argument("--archive", help="folder that loaded files move to (ingest)")
-    return parser.parse_args(argv)
+    parser.add_argument("--table", help="raw table that weekly or ingest adds to; its summary is named after it")
+    parser.add_argument("--max-file-age", default=ANY_AGE, help="how long ingest remembers file names (ingest)")
+    options = parser.parse_args(argv)
+    for name in NEEDED.get(options.step, ()):
+        if getattr(options, name) is None:
+            parser.error(f"{options.step} needs --{name}")
+    return options
+
+
+def jdbc_properties(options: argparse.Namespace) -> dict[str, str]:
+    lines = list(options.property)
+    if options.properties_file:
+        with open(options.properties_file) as file:
+            lines += [line.strip() for line in file if line.strip() and not line.startswith("#")]
+    return dict(line.split("=", 1) for line in lines)
 
 
 def main(argv: Sequence[str], spark: SparkSession | None = None, source: Source | None = None) -> None:
@@ -46,12 +63,14 @@ def main(argv: Sequence[str], spark: SparkSession | None = None, source: Source
     spark = spark or build_session(f"rentmill-{options.step}")
     root, landing = options.root, options.landing or f"{options.root}/landing"
     if source is None and options.step in ("land", "all"):
-        properties = dict(entry.split("=", 1) for entry in options.property)
-        source = jdbc_source(spark, options.url, partitions=options.partitions, properties=properties)
+        if options.url is None:
+            raise SystemExit(f"{options.step} needs --url")
+        source = jdbc_source(spark, options.url, partitions=options.partitions, properties=jdbc_properties(options))
 
     def ingest() -> None:
         query = ingest_new_files(
-            spark, options.files, root, SCHEMAS["rental"], options.checkpoint, archive_dir=options.archive
+            spark, options.files, root, SCHEMAS["rental"], options.checkpoint, archive_dir=options.archive,
+            table=options.table or INGESTED, max_file_age=options.max_file_age,
         )
         query.awaitTermination()
 
@@ -63,7 +82,7 @@ def main(argv: Sequence[str], spark: SparkSession | None = None, source: Source
         "staging": lambda: build_staging(spark, root),
         "business": lambda: build_business(spark, root, options.source),
         "all": lambda: run_pipeline(spark, source, root, options.upto).show(100, truncate=False),
-        "weekly": lambda: append_and_summarise(spark, options.files, root),
+        "weekly": lambda: append_and_summarise(spark, options.files, root, options.table or APPENDED),
         "ingest": ingest,
     }
     steps[options.step]()

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rentmill.parallel import for_each
 from rentmill.schemas import SCHEMAS, TABLES
-from rentmill.session import fit_to_input
 
 UPDATED = "TIMESTAMP_NTZ '2006-02-15 09:45:25.123456'"
 
@@ -133,7 +132,6 @@ class ShopTables(dict):
     def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark, self.sf_dir = spark, sf_dir
-        fit_to_input(spark, sf_dir)
 
     def __missing__(self, table: str) -> DataFrame:
         self[table] = derive(self.spark, self.sf_dir, table)

@@ -25,7 +25,6 @@ PLAIN_JOIN_BYTES = 2 << 30
 # A key with at least this many links is spread over several tasks. At most rows / HOT_LINKS keys can be that
 # large, which bounds the broadcast list of them: 10^13 links give a million keys, tens of MB.
 HOT_LINKS = 10_000_000
-SALTS = 64
 
 
 def join_counts(
@@ -36,13 +35,12 @@ def join_counts(
     links_bytes: int | None = None,
     plain_join_bytes: int = PLAIN_JOIN_BYTES,
     hot_links: int = HOT_LINKS,
-    salts: int = SALTS,
 ) -> DataFrame:
     """``counts`` inner-joined to ``links``, a row's count repeated for each link.
 
     Counts arrive partitioned by key, which leaves adaptive execution no shuffle to split on that side. So in
-    a large link table the keys with very many links are found (a pass over the key column alone) and
-    salted; their few counts are repeated once per salt. All other keys join unsalted. Copies of a link are
+    a large link table the keys with ``hot_links`` links or more are found (a pass over the key column alone) and get a
+    salt per ``hot_links`` links; their few counts are repeated once per salt. All other keys join unsalted. Copies of a link are
     collapsed into one first, since copies cannot be told apart by a salt.
     """
     if (planned_bytes(links) if links_bytes is None else links_bytes) <= plain_join_bytes:
@@ -51,15 +49,15 @@ def join_counts(
     pairs = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
     if not carried:
         return counts.join(pairs, key).select(key, (F.col(COUNT) * F.col(COPIES)).alias(COUNT))
-    hot = F.broadcast(
-        links.groupBy(key).agg(F.count(F.lit(1)).alias(HOT)).where(F.col(HOT) >= hot_links).select(key, F.lit(1).alias(HOT))
-    )
+    # At most rows / hot_links keys; the planner broadcasts them if they are few, whatever the caller's hot_links.
+    hot = links.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / hot_links).alias(HOT), F.count(F.lit(1)).alias(COUNT + HOT))
+    hot = hot.where(F.col(COUNT + HOT) >= hot_links).drop(COUNT + HOT)
     is_hot = F.col(HOT).isNotNull()
     spread_pairs = pairs.join(hot, key, "left").withColumn(
-        SALT, F.when(is_hot, F.pmod(F.xxhash64(*carried), F.lit(salts)).cast("int")).otherwise(0)
+        SALT, F.when(is_hot, F.pmod(F.xxhash64(*carried), F.col(HOT))).otherwise(0)
     )
     repeated_counts = counts.join(hot, key, "left").withColumn(
-        SALT, F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0))))
+        SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(HOT), F.lit(1).cast("long")) - 1))
     )
     return (
         repeated_counts.drop(HOT)

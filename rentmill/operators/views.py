@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_NAMES = RLock()
+
+
 def register_views(tables: Mapping[str, DataFrame]) -> None:
     """Make every table addressable by name for the rest of the session."""
     for name, df in tables.items():
@@ -16,7 +20,15 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
 
 @contextmanager
 def named_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
-    """Register views for the length of a block, then put back whatever had those names before."""
+    """Register views for the length of a block, then put back whatever had those names before.
+
+    One block at a time per process: names are shared by all threads of a session.
+    """
+    with _NAMES:
+        yield from _swapped(spark, tables)
+
+
+def _swapped(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
     same_names = spark.catalog.listTables(pattern="|".join(tables)) if tables else []
     temporary = {view.name for view in same_names if view.isTemporary}
     hidden = {name: spark.table(name) for name in tables if name.lower() in temporary}

@@ -13,12 +13,12 @@ from rentmill.parallel import for_each
 from rentmill.plans.business import RANKINGS, count_facts, rank, rank_directly
 from rentmill.plans.staging import RENTED_FILMS, STAGES, rented_films
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
-from rentmill.session import fit_to_input
 from rentmill.sinks.csv import export_csv
 from rentmill.sinks.layers import write_layer
 from rentmill.sources.csv import read_csv_folder
+from rentmill.sources.types import as_declared
 from rentmill.sources.layers import load_layer, read_layer
-from rentmill.storage import layer_path, written_once
+from rentmill.storage import written_once
 
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
@@ -48,13 +48,12 @@ def store_tables(
 
 
 def land_tables(spark: SparkSession, source: Source, landing: str, tables: Iterable[str] = TABLES) -> None:
-    """Export every source table to a CSV folder of its own."""
-    for_each(spark, tables, lambda table: export_csv(source(table), f"{landing}/{table}"))
+    """Export every source table, in its declared types, to a CSV folder of its own."""
+    for_each(spark, tables, lambda table: export_csv(as_declared(source(table), SCHEMAS[table]), f"{landing}/{table}"))
 
 
 def load_raw(spark: SparkSession, landing: str, root: str, tables: Iterable[str] = TABLES) -> None:
     """Load every CSV folder into the raw layer under its declared schema."""
-    fit_to_input(spark, landing)
     store_tables(
         spark, lambda table: read_csv_folder(spark, f"{landing}/{table}", SCHEMAS[table]), root, RAW, tables
     )
@@ -82,8 +81,7 @@ def build_staging(spark: SparkSession, root: str) -> None:
 
     Two of them start from the join of rentals to the films of their copies, which is written once and read twice.
     """
-    fit_to_input(spark, layer_path(root, ACCESS, ""))
-    tables = load_layer(spark, root, ACCESS, TABLES)
+    tables = load_layer(spark, root, ACCESS, TABLES, SCHEMAS)
     with written_once(rented_films(tables), RENTED_FILMS) as films:
         tables[RENTED_FILMS] = films
         for_each(spark, STAGES, lambda target: write_layer(STAGES[target](tables), root, STAGING, target))
@@ -94,8 +92,6 @@ def build_business(spark: SparkSession, root: str, source: str = STAGING) -> Non
 
     Without staging each fact table is read once, to count it per key; all rankings go on from the counts.
     """
-    fit_to_input(spark, layer_path(root, source, ""))
-
     def store(rankings: Mapping[str, DataFrame]) -> None:
         for_each(spark, rankings, lambda target: write_layer(rankings[target], root, BUSINESS, target))
 
@@ -103,13 +99,14 @@ def build_business(spark: SparkSession, root: str, source: str = STAGING) -> Non
         stages = load_layer(spark, root, STAGING, RANKINGS)
         store({target: rank(target, stages[target]) for target in RANKINGS})
         return
-    tables = load_layer(spark, root, source, TABLES)
+    tables = load_layer(spark, root, source, TABLES, SCHEMAS)
+    routes = {ranking.fact: ranking for ranking in RANKINGS.values()}
     with ExitStack() as shared:
-        counts: dict[str, DataFrame] = {}
-        for ranking in RANKINGS.values():
-            if ranking.fact not in counts:
-                counted = written_once(count_facts(ranking, tables), f"{ranking.fact}_counts")
-                counts[ranking.fact] = shared.enter_context(counted)
+
+        def counted(fact: str) -> DataFrame:
+            return shared.enter_context(written_once(count_facts(routes[fact], tables), f"{fact}_counts"))
+
+        counts = dict(zip(routes, for_each(spark, routes, counted)))
         store({target: rank_directly(target, tables, counts[r.fact]) for target, r in RANKINGS.items()})
 
 

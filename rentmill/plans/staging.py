@@ -31,55 +31,55 @@ def _rented_films(t: Tables) -> DataFrame:
     return t[RENTED_FILMS] if RENTED_FILMS in t else rented_films(t)
 
 
-def stage_actor(t: Tables) -> DataFrame:
+def stage_actor(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     """A rental appears once for every actor of its film."""
     cast = t["film_actor"].select("film_id", "actor_id")
     actors = t["actor"].select("actor_id", "last_name")
-    joined = join_through(_rented_films(t), (cast, "film_id"), (actors, "actor_id"))
+    joined = join_through(_rented_films(t), (cast, "film_id"), (actors, "actor_id"), broadcast_limit=broadcast_limit)
     return joined.select("last_name", "rental_id", "customer_id")
 
 
-def stage_category(t: Tables) -> DataFrame:
+def stage_category(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     genres = t["film_category"].select("film_id", "category_id")
     names = t["category"].select("category_id", "name")
-    joined = join_through(_rented_films(t), (genres, "film_id"), (names, "category_id"))
+    joined = join_through(_rented_films(t), (genres, "film_id"), (names, "category_id"), broadcast_limit=broadcast_limit)
     return joined.select("name", "rental_id", "customer_id")
 
 
-def stage_customer(t: Tables) -> DataFrame:
+def stage_customer(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     """Payments, not rentals; ``store_id`` is the customer's home store."""
     payment = t["payment"].select("customer_id", "rental_id", "amount")
     payer = t["customer"].select("customer_id", "last_name", "store_id")
-    return payment.join(payer, "customer_id").select("last_name", "store_id", "rental_id", "amount")
+    return join_through(payment, (payer, "customer_id"), broadcast_limit=broadcast_limit).select("last_name", "store_id", "rental_id", "amount")
 
 
-def stage_city(t: Tables) -> DataFrame:
+def stage_city(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     """Payments by the city of the payer's address."""
     payment = t["payment"].select("customer_id", "rental_id", "amount")
     home = t["customer"].select("customer_id", "address_id")
     address = t["address"].select("address_id", "city_id")
     city = t["city"].select("city_id", "city")
-    joined = join_through(payment, (home, "customer_id"), (address, "address_id"), (city, "city_id"))
+    joined = join_through(payment, (home, "customer_id"), (address, "address_id"), (city, "city_id"), broadcast_limit=broadcast_limit)
     return joined.select("city", "rental_id", "amount")
 
 
-def stage_film(t: Tables) -> DataFrame:
+def stage_film(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     rental = t["rental"].select("inventory_id", "rental_id")
     copies = t["inventory"].select("inventory_id", "film_id")
     film = t["film"].select("film_id", "title", "release_year", "rating")
-    joined = join_through(rental, (copies, "inventory_id"), (film, "film_id"))
+    joined = join_through(rental, (copies, "inventory_id"), (film, "film_id"), broadcast_limit=broadcast_limit)
     return joined.select("title", "release_year", "rating", "rental_id")
 
 
-def stage_store(t: Tables) -> DataFrame:
+def stage_store(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     """The join to the stores only keeps rentals whose store exists."""
     rental = t["rental"].select("inventory_id", "rental_id")
     copies = t["inventory"].select("inventory_id", "store_id")
-    joined = join_through(rental, (copies, "inventory_id"), (t["store"].select("store_id"), "store_id"))
+    joined = join_through(rental, (copies, "inventory_id"), (t["store"].select("store_id"), "store_id"), broadcast_limit=broadcast_limit)
     return joined.select("store_id", "rental_id")
 
 
-STAGES: dict[str, Callable[[Tables], DataFrame]] = {
+STAGES: dict[str, Callable[..., DataFrame]] = {
     "Top_Actor": stage_actor,
     "Top_Category": stage_category,
     "Top_Customer": stage_customer,

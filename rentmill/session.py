@@ -1,10 +1,15 @@
-"""Session settings, and sizing of shuffles to the input."""
+"""Session settings. No library call changes them later, so queries of one session do not disturb each other."""
 
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from rentmill.storage import folder_bytes
+# A shuffle starts with this many partitions and adaptive execution merges them up to the advisory size, so one value
+# serves small and large inputs. Raise it where a single shuffle carries more than INITIAL_PARTITIONS times what one
+# task should hold: 20,000 for shuffles of about 5 TB at 256 MB a task.
+INITIAL_PARTITIONS = 4_000
+ADVISORY_BYTES = 128 << 20
+SPLIT_BYTES = 256 << 20
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -13,36 +18,29 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-SHUFFLE_BYTES = 256 << 20
-# More reducers than this cost more in shuffle index files than they save; partitions beyond it spill.
-MOST_REDUCERS = 20_000
-LARGE_INPUT = 10 << 40
-LARGE_SPLIT = 512 << 20
 
+def build_session(
+    app: str = "rentmill",
+    master: str | None = None,
+    *,
+    initial_partitions: int = INITIAL_PARTITIONS,
+    advisory_bytes: int = ADVISORY_BYTES,
+    split_bytes: int = SPLIT_BYTES,
+    **settings: str,
+) -> SparkSession:
+    """A session with the settings above; ``settings`` keys use ``__`` for the dots of a Spark option.
 
-def build_session(app: str = "rentmill", master: str | None = None, **settings: str) -> SparkSession:
-    """A session with the settings above; ``settings`` keys use ``__`` for the dots of a Spark option."""
+    ``spark.checkpoint.dir`` has to name a folder that the driver and all executors share; scratch tables go there.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    options = SETTINGS | {name.replace("__", "."): value for name, value in settings.items()}
+    sizes = {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(initial_partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(advisory_bytes),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }
+    options = SETTINGS | sizes | {name.replace("__", "."): value for name, value in settings.items()}
     for name, value in options.items():
         builder = builder.config(name, value)
     return builder.getOrCreate()
-
-
-def reducers_for(input_bytes: int) -> int:
-    return min(MOST_REDUCERS, -(-input_bytes // SHUFFLE_BYTES))
-
-
-def fit_to_input(spark: SparkSession, path: str) -> None:
-    """Raise (never lower) the shuffle width and split size so that partitions of a large input fit in memory.
-
-    Adaptive execution merges the partitions that turn out small, so a width chosen from the whole
-    input is only an upper bound.
-    """
-    size = folder_bytes(spark, path)
-    if reducers_for(size) > int(spark.conf.get("spark.sql.shuffle.partitions")):
-        spark.conf.set("spark.sql.shuffle.partitions", str(reducers_for(size)))
-    if size > LARGE_INPUT:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(LARGE_SPLIT))

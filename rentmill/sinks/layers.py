@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rentmill.operators.views import run_sql
 from rentmill.sources.layers import read_layer
-from rentmill.storage import folder_exists, layer_path, replace_folder, sibling
+from rentmill.storage import folder_exists, layer_path, recover_folder, replace_folder, sibling
 
 
 def write_layer(
@@ -16,11 +16,11 @@ def write_layer(
 ) -> None:
     """Store ``df`` as ``table`` of ``layer``, creating it if needed.
 
-    ``overwrite`` writes beside the table and swaps, so readers never see half a table and ``df`` may itself
-    read the table it replaces. ``append`` adds rows, again on every rerun, and refuses other columns.
+    ``overwrite`` writes beside the table and swaps, so ``df`` may itself read the table it replaces. ``append`` adds rows, again on every rerun, and refuses other columns.
     """
     spark, target = df.sparkSession, layer_path(root, layer, table)
     if mode == "append":
+        recover_folder(spark, target)
         if folder_exists(spark, target):
             _require_same_columns(df, read_layer(spark, root, layer, table), target)
         df.write.mode("append").partitionBy(*partition_by).parquet(target)

@@ -1,14 +1,17 @@
 """CSV folders: one dialect for reading, writing and streaming.
 
 The dialect is the common one: a header row, quotes doubled inside quoted text, line breaks allowed in
-quoted text. An empty field is null, so an empty string comes back as null.
+quoted text. An empty field is null and a quoted empty field is the empty string.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# What the reader puts for a quoted empty field. A text that is this one control character would be read as empty.
+EMPTY = "\x01"
 DIALECT = {
     "header": True,
     "quote": '"',
@@ -27,7 +30,18 @@ def read_options(schema: T.StructType | None, line_breaks: bool | None = None) -
     """
     if line_breaks is None:
         line_breaks = schema is None or any(isinstance(f.dataType, T.StringType) for f in schema.fields)
-    return DIALECT | {"multiLine": line_breaks, "mode": "FAILFAST"}
+    return DIALECT | {"multiLine": line_breaks, "mode": "FAILFAST", "emptyValue": EMPTY}
+
+
+def restore_empty(df: DataFrame) -> DataFrame:
+    """Quoted empty fields, which the reader marks, as empty strings."""
+    return df.select(
+        *(
+            F.when(F.col(f"`{f.name}`") == EMPTY, "").otherwise(F.col(f"`{f.name}`")).alias(f.name)
+            if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+            for f in df.schema.fields
+        )
+    )
 
 
 def read_csv_folder(
@@ -35,4 +49,4 @@ def read_csv_folder(
 ) -> DataFrame:
     """All CSV files under ``path``. Columns bind by position; types are inferred only without a schema."""
     reader = spark.read.options(**read_options(schema, line_breaks))
-    return (reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path)
+    return restore_empty((reader.schema(schema) if schema else reader.option("inferSchema", True)).csv(path))

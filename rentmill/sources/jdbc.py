@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rentmill.schemas import SPLIT_KEYS
 
-FETCH_ROWS = 10_000
+# Times without a zone stay without one, whatever the zone of the JVM. A caller's properties replace these.
+DEFAULTS = {"fetchsize": 10_000, "preferTimestampNTZ": True}
 
 
 def read_jdbc_table(
@@ -27,7 +28,8 @@ def read_jdbc_table(
     outside ``bounds`` or with a null key still arrive, in the outer ranges. Missing bounds are asked of
     the database in a query that returns one row.
     """
-    source = spark.read.format("jdbc").options(url=url, fetchsize=FETCH_ROWS, **(properties or {}))
+    options = DEFAULTS | {"url": url} | dict(properties or {})
+    source = spark.read.format("jdbc").options(**options)
     if key is None or partitions <= 1:
         return source.option("dbtable", table).load()
     if bounds is None:
@@ -37,7 +39,7 @@ def read_jdbc_table(
         bounds = (lowest, highest)
     return (
         spark.read.format("jdbc")
-        .options(url=url, fetchsize=FETCH_ROWS, dbtable=table, **(properties or {}))
+        .options(**options, dbtable=table)
         .options(partitionColumn=key, lowerBound=bounds[0], upperBound=bounds[1], numPartitions=partitions)
         .load()
     )

@@ -2,18 +2,25 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from rentmill.parallel import for_each
-from rentmill.storage import layer_path
+from rentmill.storage import layer_path, readable_folder
 
 
-def read_layer(spark: SparkSession, root: str, layer: str, table: str) -> DataFrame:
-    return spark.read.parquet(layer_path(root, layer, table))
+def read_layer(
+    spark: SparkSession, root: str, layer: str, table: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A stored table. With a declared ``schema`` no file is opened to infer one."""
+    path = readable_folder(spark, layer_path(root, layer, table))
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
-def load_layer(spark: SparkSession, root: str, layer: str, tables: Iterable[str]) -> dict[str, DataFrame]:
-    names = list(tables)
-    return dict(zip(names, for_each(spark, names, lambda table: read_layer(spark, root, layer, table))))
+def load_layer(
+    spark: SparkSession, root: str, layer: str, tables: Iterable[str], schemas: Mapping[str, T.StructType] | None = None
+) -> dict[str, DataFrame]:
+    names, known = list(tables), schemas or {}
+    return dict(zip(names, for_each(spark, names, lambda t: read_layer(spark, root, layer, t, known.get(t)))))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -25,9 +24,10 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(located)
 
 
-def folder_bytes(spark: SparkSession, path: str) -> int:
-    located, files = _locate(spark, path)
-    return files.getContentSummary(located).getLength()
+def folder_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Names below ``path`` that match ``pattern``; none if there is no such folder."""
+    located, files = _locate(spark, f"{path}/{pattern}")
+    return sorted(status.getPath().getName() for status in files.globStatus(located) or [])
 
 
 def sibling(path: str, role: str) -> str:
@@ -39,42 +39,72 @@ def sibling(path: str, role: str) -> str:
 def replace_folder(spark: SparkSession, incoming: str, target: str) -> None:
     """Put the finished folder ``incoming`` in the place of ``target``.
 
-    The old content stays complete until the new content is complete; if the second rename fails the
-    first is undone. Renames are atomic on HDFS and local disks; object stores copy.
+    The old content is set aside by one rename and the new content takes its place by another. Between the two the target does
+    not exist, but the old content is complete beside it: readers are sent there (:func:`readable_folder`), and
+    whoever writes next puts it back first (:func:`recover_folder`), so a process that dies at any point loses nothing. A
+    rename never lands inside an existing folder: of two writers at once, one fails and its folder stays aside.
     """
-    new, files = _locate(spark, incoming)
-    place, _ = _locate(spark, target)
-    outgoing, _ = _locate(spark, sibling(target, "outgoing"))
-    had_content = files.exists(place)
-    if had_content:
-        _rename(files, place, outgoing)
+    recover_folder(spark, target)
+    aside = None
+    if folder_exists(spark, target):
+        aside = sibling(target, "outgoing")
+        _rename(spark, target, aside)
     try:
-        _rename(files, new, place)
-    except Exception:
-        if had_content:
-            _rename(files, outgoing, place)
+        _rename(spark, incoming, target)
+    except BaseException:
+        if aside:
+            recover_folder(spark, target)
         raise
-    if had_content:
-        files.delete(outgoing, True)
+    if aside:
+        drop_folder(spark, aside)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    located, files = _locate(spark, path)
+    files.delete(located, True)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    """A rename that fails if the target exists."""
+    jvm = spark._jvm
+    old, new = (jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).getUri(), spark._jsc.hadoopConfiguration()
+    )
+    plainly = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    context.rename(old, new, plainly)
+
+
+def _set_aside(spark: SparkSession, path: str) -> str | None:
+    """The newest old content of ``path`` that an interrupted swap left beside it."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    pattern, files = _locate(spark, f"{parent}/_outgoing-{name}-" + "[0-9a-f]" * 32)
+    found = files.globStatus(pattern)
+    newest = max(found or [], key=lambda status: status.getModificationTime(), default=None)
+    return newest.getPath().toString() if newest else None
+
+
+def recover_folder(spark: SparkSession, path: str) -> None:
+    """Put back the content of ``path`` if a swap was interrupted after it had been set aside."""
+    if not folder_exists(spark, path) and (aside := _set_aside(spark, path)):
+        _rename(spark, aside, path)
 
 
-def _rename(files, source, target) -> None:
-    """Some file systems report a failed rename by an exception, others by returning false."""
-    if not files.rename(source, target):
-        raise OSError(f"could not rename {source.toString()} to {target.toString()}")
+def readable_folder(spark: SparkSession, path: str) -> str:
+    """``path``, or the place of its content while a swap is under way or after one was interrupted."""
+    if folder_exists(spark, path):
+        return path
+    return _set_aside(spark, path) or path
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, removed when the session's JVM ends.
 
-    It lies under ``spark.checkpoint.dir`` (or the checkpoint folder set on the context). Only a
-    local session may do without one, since its driver and executors share one disk.
+    It lies under ``spark.checkpoint.dir``, or the checkpoint folder set on the context.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
     path = f"{base.rstrip('/')}/rentmill-{label}-{uuid.uuid4().hex}"
     located, files = _locate(spark, path)
     files.mkdirs(located)
@@ -94,5 +124,4 @@ def written_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.parquet(f"{folder}/{name}")
         yield spark.read.parquet(f"{folder}/{name}")
     finally:
-        located, files = _locate(spark, folder)
-        files.delete(located, True)
+        drop_folder(spark, folder)

@@ -3,20 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from rentmill.plans.weekly import SUMMARY, weekly_returned
-from rentmill.schemas import BUSINESS, RAW
-from rentmill.sinks.layers import write_layer
-from rentmill.sources.csv import read_options
-from rentmill.sources.layers import read_layer
-from rentmill.storage import layer_path
+from rentmill.plans.weekly import batch_path, read_batches, refresh_summary
+from rentmill.sources.csv import read_options, restore_empty
 
-WEEKS = "weekly_returned_by_batch"
-# The file source forgets, and then skips, files older than this against the newest; a late file must still load.
-LATEST_FILE_AGE = "36500d"
+INGESTED = "rental_ingest"
+# The file source forgets, and then skips, files older than this against the newest. This default forgets nothing.
+ANY_AGE = "36500d"
 
 
 def ingest_new_files(
@@ -27,21 +22,23 @@ def ingest_new_files(
     checkpoint: str,
     archive_dir: str | None = None,
     *,
-    table: str = "rental_ingest",
+    table: str = INGESTED,
     summarise: bool = True,
     max_files_per_batch: int | None = None,
+    max_file_age: str = ANY_AGE,
 ) -> StreamingQuery:
     """Append the files of ``in_dir`` that ``checkpoint`` has not seen yet, then stop.
 
     Each batch goes to a folder named after the query and the batch, written with overwrite: a batch that is
-    run again after a failure replaces its first attempt. With ``summarise`` the batch's own weekly
-    counts are stored the same way and the summary is rebuilt from those, so a refresh reads the
-    new rows and a few hundred counts per batch, never the whole history.
+    run again after a failure replaces its first attempt. With ``summarise`` the summary of ``table`` is refreshed
+    (:func:`rentmill.plans.weekly.refresh_summary`), which also counts batches stored without it.
 
     With ``archive_dir`` the file source moves loaded files there during a later run that finds new files.
-    A file name already loaded is not loaded again, whatever it holds.
+    A file name already loaded is not loaded again, whatever it holds. The source remembers the names of files no older
+    than ``max_file_age`` (against the newest file). A folder that receives files for years should be archived and have an
+    age longer than any file is late: then both the folder and what the driver remembers stay bounded.
     """
-    reader = spark.readStream.schema(schema).options(**read_options(schema)).option("maxFileAge", LATEST_FILE_AGE)
+    reader = spark.readStream.schema(schema).options(**read_options(schema)).option("maxFileAge", max_file_age)
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_batch:
@@ -51,17 +48,12 @@ def ingest_new_files(
         session = batch.sparkSession
         # A new checkpoint numbers its batches from 0 again; the query's id keeps them apart.
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        folder = f"query_id={query_id}/batch_id={batch_id}"
-        stored = f"{layer_path(root, RAW, table)}/{folder}"
-        batch.write.mode("overwrite").parquet(stored)
+        batch.write.mode("overwrite").parquet(batch_path(root, table, query_id, batch_id))
         if summarise:
-            weeks = weekly_returned(session.read.parquet(stored))
-            weeks.write.mode("overwrite").parquet(f"{layer_path(root, RAW, WEEKS)}/{folder}")
-            refreshed = read_layer(session, root, RAW, WEEKS).groupBy("week").agg(F.sum("total").alias("total"))
-            write_layer(refreshed, root, BUSINESS, SUMMARY)
+            refresh_summary(session, root, table, query_id, batch_id)
 
     return (
-        reader.csv(in_dir)
+        restore_empty(reader.csv(in_dir))
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -69,6 +61,6 @@ def ingest_new_files(
     )
 
 
-def read_ingested(spark: SparkSession, root: str, table: str = "rental_ingest") -> DataFrame:
+def read_ingested(spark: SparkSession, root: str, table: str = INGESTED) -> DataFrame:
     """All rows loaded so far, without the folders' bookkeeping columns."""
-    return read_layer(spark, root, RAW, table).drop("query_id", "batch_id")
+    return read_batches(spark, root, table)

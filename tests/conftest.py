@@ -15,10 +15,12 @@ DATA = "/root/testdata"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
+        initial_partitions=4,
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
         spark__sql__shuffle__partitions="4",
         spark__driver__memory="8g",
         spark__ui__enabled="false",

@@ -41,7 +41,7 @@ class Reader:
 def test_a_plain_scan_reads_the_table(capsys):
     reader = Reader()
     read_jdbc_table(reader, "jdbc:x", "rental", properties={"user": "u"})
-    assert reader.scans == [{"url": "jdbc:x", "fetchsize": 10_000, "user": "u", "dbtable": "rental"}]
+    assert reader.scans == [{"url": "jdbc:x", "fetchsize": 10_000, "preferTimestampNTZ": True, "user": "u", "dbtable": "rental"}]
 
 
 def test_a_split_scan_asks_for_its_bounds_first():
@@ -72,3 +72,9 @@ def test_a_source_splits_each_table_on_its_key(table, key):
     reader = Reader()
     jdbc_source(reader, "jdbc:x", partitions=3)(table)
     assert reader.scans[-1]["partitionColumn"] == SPLIT_KEYS[table] == key
+
+
+def test_a_callers_properties_replace_the_defaults():
+    reader = Reader()
+    read_jdbc_table(reader, "jdbc:x", "rental", key="rental_id", partitions=2, properties={"fetchsize": "5"})
+    assert {scan["fetchsize"] for scan in reader.scans} == {"5"}

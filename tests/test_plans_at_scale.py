@@ -6,12 +6,14 @@ import pytest
 from conftest import DATA
 from pyspark.sql import functions as F
 
-from rentmill import session
+import __spark_entry__ as driver
 from rentmill.fixtures.tables import ShopTables
 from rentmill.plans.business import rank_directly
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import weekly_returned
-from rentmill.session import MOST_REDUCERS, fit_to_input, reducers_for
+from rentmill.schemas import ACCESS, SCHEMAS, TABLES
+from rentmill.sinks import write_layer
+from rentmill.sources import load_layer
 
 SF_DIR = f"{DATA}/sf0.01"
 
@@ -86,25 +88,34 @@ def test_a_hot_copy_is_split_in_staging_joins(spark, small_is_large):
     assert len(staged) == tables["rental"].count()
 
 
-def test_large_links_broadcast_nothing_but_the_hot_keys(spark, setting):
+def test_large_links_force_no_broadcast(spark, setting):
     setting(spark__sql__autoBroadcastJoinThreshold=-1)
     tables = ShopTables(spark, SF_DIR)
     shape = initial_plan(rank_directly("Top_Actor", tables, plain_join_bytes=0, hot_links=30))
     assert "SortMergeJoin [film_id" in shape and "_salt" in shape
-    # Links and counts of each of the three hops look their key up in a list of hot keys; nothing else is broadcast.
-    assert shape.count("BroadcastExchange") == 6
-
-
-def test_shuffles_are_sized_to_the_input(spark, setting, monkeypatch):
-    assert reducers_for(0) == 0
-    assert reducers_for((256 << 20) + 1) == 2
-    assert reducers_for(100 << 40) == MOST_REDUCERS
-    setting(spark__sql__shuffle__partitions=3)
-    fit_to_input(spark, SF_DIR)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
-    setting(spark__sql__files__maxPartitionBytes=128 << 20)
-    monkeypatch.setattr(session, "SHUFFLE_BYTES", 100_000)
-    monkeypatch.setattr(session, "LARGE_INPUT", 1_000_000)
-    fit_to_input(spark, SF_DIR)
-    assert int(spark.conf.get("spark.sql.shuffle.partitions")) > 30
-    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(session.LARGE_SPLIT)
+    assert "Broadcast" not in shape
+
+
+@pytest.mark.parametrize("name", ["top_actor", "weekly_returned", "layers_to_access", "append_weekly", "ingest_weekly", "sql_nested"])
+def test_queries_leave_the_session_settings_alone(spark, name):
+    before = dict(spark.conf.getAll)
+    driver.queries()[name](spark, f"{DATA}/sf0.001").count()
+    assert dict(spark.conf.getAll) == before
+
+
+def test_shuffles_of_stored_layers_start_wide_and_are_merged(spark, setting, tmp_path):
+    """A ranking and the weekly count over stored layers: the session's width at first, few tasks once sizes are known."""
+    setting(spark__sql__adaptive__coalescePartitions__initialPartitionNum=60)
+    shop, root = ShopTables(spark, f"{DATA}/sf0.001"), str(tmp_path)
+    for table in TABLES:
+        write_layer(shop[table], root, ACCESS, table)
+    access = load_layer(spark, root, ACCESS, TABLES, SCHEMAS)
+    for result in (rank_directly("Top_City", access), weekly_returned(access["rental"])):
+        result.collect()
+        assert ", 60)" in plan(result) and "AQEShuffleRead coalesced" in plan(result)
+
+
+def test_declared_schemas_open_no_file(spark, tmp_path):
+    root = str(tmp_path)
+    write_layer(ShopTables(spark, f"{DATA}/sf0.001")["store"], root, ACCESS, "store")
+    assert load_layer(spark, root, ACCESS, ["store"], SCHEMAS)["store"].schema == SCHEMAS["store"]

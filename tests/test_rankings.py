@@ -12,7 +12,7 @@ from rentmill.operators.ranking import preview, rank_by_count
 from rentmill.plans.business import RANKINGS, rank, rank_directly
 from rentmill.plans.staging import STAGES
 
-SALTED = dict(plain_join_bytes=0, hot_links=2, salts=3)
+SALTED = dict(plain_join_bytes=0, hot_links=2)
 
 
 def both_ways(target, tables, **settings) -> Counter:

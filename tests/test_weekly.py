@@ -10,11 +10,13 @@ from conftest import bag
 from pyspark.sql import functions as F
 
 from rentmill.functions import register_functions, week_start
-from rentmill.plans.weekly import append_and_summarise, weekly_returned
+from rentmill.plans.weekly import APPENDED, append_and_summarise, read_batches, summary_of, weekly_returned
 from rentmill.schemas import BUSINESS, RAW, SCHEMAS
 from rentmill.sinks import export_csv
 from rentmill.sources import read_layer
+from rentmill.storage import folder_names, layer_path
 from rentmill.streaming import ingest_new_files, read_ingested
+from rentmill.streaming.ingest import INGESTED
 
 RENTAL = SCHEMAS["rental"]
 HEADER = ",".join(RENTAL.fieldNames())
@@ -56,7 +58,7 @@ def test_append_load_counts_a_rerun_again(spark, tmp_path):
     for times in (1, 2):
         weekly = append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))
         assert bag(weekly) == {(dt.date(2005, 5, 22), times): 1}
-        assert read_layer(spark, str(tmp_path), RAW, "rental").count() == 2 * times
+        assert read_batches(spark, str(tmp_path), APPENDED).count() == 2 * times
 
 
 @pytest.fixture
@@ -80,7 +82,7 @@ def test_each_file_is_loaded_once_over_restarts(spark, tmp_path, ingest):
         day = dt.date.fromisoformat(day)
         week = day - dt.timedelta(days=(day.weekday() + 1) % 7)
         expected[week, 2] = 1
-        assert bag(read_layer(spark, str(tmp_path), BUSINESS, "weekly_returned")) == expected
+        assert bag(read_layer(spark, str(tmp_path), BUSINESS, summary_of(INGESTED))) == expected
     loaded = read_ingested(spark, str(tmp_path))
     assert loaded.columns == RENTAL.fieldNames()
     assert sorted(row.rental_id for row in loaded.collect()) == [0, 1, 2, 10, 11, 12, 20, 21, 22]
@@ -89,7 +91,7 @@ def test_each_file_is_loaded_once_over_restarts(spark, tmp_path, ingest):
 
 
 def test_a_batch_that_failed_is_replaced_not_added(spark, tmp_path, ingest, monkeypatch):
-    from rentmill.streaming import ingest as module
+    from rentmill.plans import weekly as module
 
     drop_file(tmp_path / "in", "a.csv", rental_line(1, "2005-05-28", "2005-06-01"))
 
@@ -104,7 +106,7 @@ def test_a_batch_that_failed_is_replaced_not_added(spark, tmp_path, ingest, monk
     drop_file(tmp_path / "in", "b.csv", rental_line(2, "2005-05-28", "2005-06-01"))
     ingest()
     assert sorted(row.rental_id for row in read_ingested(spark, str(tmp_path)).collect()) == [1, 2]
-    assert bag(read_layer(spark, str(tmp_path), BUSINESS, "weekly_returned")) == {(dt.date(2005, 5, 22), 2): 1}
+    assert bag(read_layer(spark, str(tmp_path), BUSINESS, summary_of(INGESTED))) == {(dt.date(2005, 5, 22), 2): 1}
 
 
 def test_a_new_checkpoint_does_not_overwrite_earlier_batches(spark, tmp_path, ingest):
@@ -141,3 +143,38 @@ def test_ingest_equals_a_batch_load_of_an_export(spark, shop, tmp_path, ingest):
     export_csv(rental, f"{tmp_path}/in", rows_per_file=20)
     ingest(max_files_per_batch=10, summarise=False)
     assert bag(read_ingested(spark, str(tmp_path))) == bag(rental)
+
+
+def test_a_refresh_reads_a_bounded_number_of_folders(spark, tmp_path, ingest):
+    for n in range(50):
+        drop_file(tmp_path / "in", f"{n}.csv", rental_line(n, "2005-05-28", "2005-06-01"))
+    ingest(max_files_per_batch=1)
+    weeks = layer_path(str(tmp_path), RAW, f"{INGESTED}_weeks")
+    (chain,) = folder_names(spark, weeks, "query_id=*")
+    assert len(folder_names(spark, f"{weeks}/{chain}", "batch_id=*")) <= 2
+    assert bag(read_layer(spark, str(tmp_path), BUSINESS, summary_of(INGESTED))) == {(dt.date(2005, 5, 22), 50): 1}
+
+
+def test_appends_do_not_read_earlier_ones(spark, tmp_path):
+    drop_file(tmp_path / "in", "a.csv", rental_line(1, "2005-05-28", "2005-06-01"))
+    for _ in range(3):
+        append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))
+    first = layer_path(str(tmp_path), RAW, APPENDED) + "/query_id=append/batch_id=0"
+    for file in Path(first).iterdir():
+        file.unlink()
+    weekly = append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))
+    assert bag(weekly) == {(dt.date(2005, 5, 22), 4): 1}
+
+
+def test_an_append_that_died_before_its_summary_is_counted_by_the_next(spark, tmp_path, monkeypatch):
+    from rentmill.plans import weekly as module
+
+    def dies(*args):
+        raise RuntimeError("died")
+
+    drop_file(tmp_path / "in", "a.csv", rental_line(1, "2005-05-28", "2005-06-01"))
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "refresh_summary", dies)
+        with pytest.raises(RuntimeError):
+            append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))
+    assert bag(append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))) == {(dt.date(2005, 5, 22), 2): 1}
