@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.components import connected_components
 from rentmill.llm.shingles import set_id, shingle_sets
-from rentmill.llm.tables import stored
+from rentmill.llm.tables import drop_finished_shuffles, stored
 
 PERCENT = 80
 CELL_BITS = 21
@@ -310,11 +310,13 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     sketch = _sketch(rows.where("slice IS NOT NULL").select("slice", "counts"))
     classes = stored(documents.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")), "classes")
     lists = stored(_lists(_postings(numbered, sketch, percent)), "lists")
+    drop_finished_shuffles(docs.sparkSession)
     lists = stored(_often_listed(lists, classes.select("node", "n"), percent), "lists")
     lists = stored(candidate_lists(lists, classes.select("node", "n")), "candidates")
     active = stored(lists.select("node").distinct(), "active")
     named = classes.where("doc_id IS NOT NULL").join(active, "node").select("node", "doc_id")
     sets = stored(_sets_of(numbered, named), "sets")
+    drop_finished_shuffles(docs.sparkSession)
     pairs = stored(lists.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
     links = stored(_tested(pairs, sets, percent), "links")
     found = connected_components(links)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.shingles import VALUES, _powers, mixed
 from rentmill.llm.suffixes import common_prefixes, suffix_order
-from rentmill.llm.tables import stored, text_of
+from rentmill.llm.tables import drop_finished_shuffles, stored, text_of
 
 WINDOW = 50
 GRAM = 26
@@ -215,7 +215,7 @@ def _first_kinds(docs: DataFrame, repeated: np.ndarray) -> list[np.ndarray]:
         def emptied() -> Iterator[pa.RecordBatch]:
             nonlocal held
             for bitmap, cells in enumerate(held):
-                if cells:
+                if sum(map(len, cells)):
                     yield _cell_rows(bitmap, np.concatenate(cells))
             held = ([], [])
 
@@ -255,7 +255,9 @@ SENT = "doc long, variant long, start int, stop int, hash long, around binary"
 def _sent(docs: DataFrame) -> DataFrame:
     """Surroundings for the shards (with hash and bytes), and stretches already known to be removed (without)."""
     repeated = repeated_anchors(docs)
+    drop_finished_shuffles(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((repeated, *_first_kinds(docs, repeated)))
+    drop_finished_shuffles(docs.sparkSession)
     names = ["doc", "variant", "start", "stop", "hash", "around"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -427,6 +429,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     spans = _spans(_sent(docs))
     spans = stored(spans.groupBy("doc", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    drop_finished_shuffles(docs.sparkSession)
     named = docs.select(F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.crc32(text_of()).alias("variant"))
     texts = named.join(spans, ["doc", "variant"], "left").select("doc_id", text_of().cast("binary").alias("text"), "spans")
 

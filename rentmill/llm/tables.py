@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +29,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def drop_finished_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the files of shuffles whose results are stored or collected.
+
+    It does so once no object in the driver refers to them, which takes a collection of garbage there; left alone that may come
+    after several more shuffles have filled the executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_of(column: str = "text"):
     """The text, null counting as empty."""
     return F.coalesce(F.col(column), F.lit(""))
