@@ -36,7 +36,7 @@ from rentmill.streaming.ingest import INGESTED
 try:
     import corpus_pipeline
     from rentmill.llm import queries as llm
-except ModuleNotFoundError as missing:  # the subpackage may be left out; any other failure is an error
+except ImportError as missing:  # the subpackage may be left out; any other failure is an error
     if missing.name not in ("rentmill.llm", "corpus_pipeline"):
         raise
     corpus_pipeline = llm = None
