@@ -92,7 +92,88 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
 
+def _secret_sql() -> str:
+    """Places of matches from the texts between them, rule by rule."""
+    rules = [*secrets.BASE_RULES, *secrets.ADDED_RULES]
+    found = " UNION ALL ".join(
+        f"""SELECT doc_id, {order} AS rule, unnest(range(1, len(m) + 1)) AS j, m, g, between FROM (
+                SELECT doc_id, regexp_extract_all(x, '{pattern}') AS m, regexp_extract_all(x, '{pattern}', {rule.group}) AS g,
+                       string_split_regex(x, '{pattern}') AS between FROM x) AS t{order}"""
+        for order, rule in enumerate(rules)
+        for pattern in [("(?i)" if rule.any_case else "") + rule.pattern.replace("'", "''")]
+    )
+    kinds = "CASE rule " + " ".join(f"WHEN {k} THEN '{rule.kind}'" for k, rule in enumerate(rules)) + " END"
+    least = "CASE rule " + " ".join(f"WHEN {k} THEN {rule.least}" for k, rule in enumerate(rules)) + " END"
+    base = len(secrets.BASE_RULES)
+    counts = ", ".join(f"count(*) FILTER (WHERE rule = {k}) AS n_{rule.kind}" for k, rule in enumerate(secrets.BASE_RULES))
+    written = "string_agg(span, ',' ORDER BY low, rule)"
+    return f"""
+        WITH x AS (SELECT doc_id, coalesce(text, '') AS x FROM documents), f AS ({found}), p AS (
+            SELECT doc_id, rule, m[j] AS hit, g[j] AS part,
+                   list_sum([len(b) FOR b IN between[1 : j]]) + coalesce(list_sum([len(b) FOR b IN m[1 : j - 1]]), 0) AS low FROM f
+        ), s AS (
+            SELECT *, concat({kinds}, ':', CAST(low AS BIGINT), ':', CAST(low + len(hit) AS BIGINT)) AS span
+            FROM p WHERE len(part) >= {least}
+        ), a AS (
+            SELECT doc_id, {counts}, {written} FILTER (WHERE rule < {base}) AS base, {written} AS spans FROM s GROUP BY doc_id
+        )
+        SELECT x.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in secrets.BASE_RULES)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM x LEFT JOIN a ON a.doc_id = x.doc_id"""
+
+
 SQL = {
+    "op1_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), s AS (
+            SELECT doc_id, array_to_string(words[i : i + 4], ' ') AS shingle
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5) AS t
+            UNION SELECT doc_id, array_to_string(words, ' ') FROM w WHERE len(words) BETWEEN 1 AND 4
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), links AS (
+            SELECT p.a, p.b FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+                FROM s AS x JOIN s AS y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id
+            ) AS p JOIN n AS na ON na.doc_id = p.a JOIN n AS nb ON nb.doc_id = p.b
+            WHERE 100 * p.common >= 80 * (na.n + nb.n - p.common)
+        ), reached AS (
+            SELECT doc_id, doc_id AS root FROM documents
+            UNION SELECT links.b, reached.root FROM reached JOIN links ON links.a = reached.doc_id
+        )
+        SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id
+        FROM documents AS d
+        LEFT JOIN n ON n.doc_id = d.doc_id
+        JOIN (SELECT doc_id, min(root) AS component_id FROM reached GROUP BY doc_id) AS r ON r.doc_id = d.doc_id""",
+    "op4_repeats": r"""
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), w AS (
+            SELECT doc_id, i, substring(h, 2 * i + 1, 100) AS s
+            FROM (SELECT doc_id, h, unnest(range(0, CAST(length(h) / 2 - 49 AS BIGINT))) AS i FROM d WHERE length(h) >= 100) AS t
+        ), f AS (
+            SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING count(*) > 1
+        ), g AS (
+            SELECT w.doc_id, w.i, w.i - lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS gap
+            FROM w JOIN f ON f.s = w.s WHERE f.first < w.doc_id
+        ), o AS (
+            SELECT doc_id, i, sum(CASE WHEN gap <= 50 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM g
+        ), r AS (
+            SELECT doc_id, run, min(i) AS low, max(i) + 50 AS high FROM o GROUP BY doc_id, run
+        ), k AS (
+            SELECT r.doc_id, sum(r.high - r.low) AS n_removed, count(*) AS n_spans,
+                   string_agg(substring(d.h, 2 * r.before + 1, 2 * (r.low - r.before)), '' ORDER BY r.low) AS kept, max(r.high) AS last
+            FROM (SELECT *, coalesce(lag(high) OVER (PARTITION BY doc_id ORDER BY low), 0) AS before FROM r) AS r
+            JOIN d ON d.doc_id = r.doc_id GROUP BY r.doc_id
+        )
+        SELECT d.doc_id, CAST(length(d.h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(k.n_removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(k.n_spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(coalesce(k.kept || substring(d.h, 2 * k.last + 1), d.h))) AS kept_sha256
+        FROM d LEFT JOIN k ON k.doc_id = d.doc_id""",
+    "op7_secrets": _secret_sql(),
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, length(coalesce(text, '')) AS n,
