@@ -26,10 +26,10 @@ row without doc_id takes the smallest doc_id of its component, or none.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,10 +148,10 @@ def _lists(postings: DataFrame) -> DataFrame:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # signature, hub, last node, whether the hub was given out
         for batch in batches:
-            known = batch.filter(pa.compute.is_valid(batch.column("hub")))
+            known = batch.filter(pc.is_valid(batch.column("hub")))
             if known.num_rows:
                 yield known
-            new = batch.filter(pa.compute.is_null(batch.column("hub")))
+            new = batch.filter(pc.is_null(batch.column("hub")))
             sig, node = new.column("sig").to_numpy(), new.column("node").to_numpy()
             if not len(sig):
                 continue

@@ -34,6 +34,7 @@ ROUNDS = 12
 REJECT_SHARE = 0.1
 UNKNOWN = "und"
 BLOCK_ROWS = 512
+BLOCK_BYTES = 1 << 20
 SPACE = 32
 SPACED = np.arange(256, dtype=np.uint8)
 SPACED[[b for b in range(128) if not chr(b).isalpha()]] = SPACE
@@ -96,13 +97,13 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(DIMENSIONS, np.int64)
-        for block in text_blocks(batches, most_rows=BLOCK_ROWS):
+        for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             seen += (gram_counts(block.column("text")) > 0).sum(axis=0)
         kept = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int32()), pa.array(seen[kept])], ["dimension", "seen"])
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in text_blocks(batches, most_rows=BLOCK_ROWS):
+        for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             counts = np.minimum(gram_counts(block.column("text")), 65535).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), block.column("lang"), pa.array([c.tobytes() for c in counts], pa.binary())],
@@ -146,7 +147,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for block in text_blocks(batches, most_rows=BLOCK_ROWS):
+        for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             texts = block.column("text").to_pylist()
             names, scores, rejected = [], [], []
             if len(known.centroids):
@@ -175,7 +176,7 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
-        for block in text_blocks(batches, most_rows=BLOCK_ROWS):
+        for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             if not len(known.centroids):
                 continue
             cosines = _vectors(gram_counts(block.column("text")), known.weights) @ known.centroids.T

@@ -41,9 +41,8 @@ from rentmill.llm.tables import drop_finished_shuffles, stored, text_of
 WINDOW = 50
 GRAM = 26
 REACH = WINDOW - GRAM
-# A window, and all windows around an anchor, with the anchor's eight-byte hash in its place.
+# A window with the anchor's eight-byte hash in its place.
 SHORT = REACH + 8
-AROUND = 2 * REACH + 8
 BLOCK_BYTES = 1 << 18  # small enough for the arrays of a block to stay in a cache
 SHARD_ROWS = 1 << 14
 BITMAP_BITS = 27

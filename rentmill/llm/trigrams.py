@@ -8,7 +8,6 @@ serves expressions of either case.
 
 from __future__ import annotations
 
-import re
 from re import _constants as sre
 from re import _parser as sre_parser
 
