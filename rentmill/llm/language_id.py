@@ -4,8 +4,11 @@ A text is a vector of hashed byte n-grams of its lowercase letters (one to three
 (1 + ln count) times the inverse document frequency and scaled to length one. Each language has a few centroids from
 spherical k-means; the language of the centroid with the largest cosine is predicted and that cosine is the score.
 
-A prediction is rejected if its cosine is below a limit of its centroid, ``REJECT_SHARE`` of the cosine that all but
-a hundredth of the centroid's own training texts reach; a text without letters (or null) is ``und`` and rejected.
+A prediction is rejected if its cosine is below a limit. Cosines rise with the number of distinct n-grams in a text, so
+each language has a limit per power of the root of two of that number: ``REJECT_SHARE`` of the cosine that all but a hundredth of its
+training texts, and of their first 3 to 512 characters, reach with centroids fitted without them (in ``FOLDS`` parts). Where
+fewer than ``LEAST_VALUES`` were measured the limit for shorter texts holds, and below all measured lengths nothing is
+rejected. A text without letters (or null) is ``und`` and rejected.
 
 Document frequencies are counted over all training rows, in tasks, into one fixed number of dimensions. Centroids are
 fitted on at most about ``SAMPLE_PER_LANGUAGE`` training rows of each language, a documented bound on what the driver
@@ -31,7 +34,10 @@ DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 400
 CENTROIDS = 4
 ROUNDS = 12
-REJECT_SHARE = 0.1
+REJECT_SHARE = 0.8
+FOLDS = 4
+LEAST_VALUES = 8
+CUTS = [n << k for k in range(8) for n in (3, 4)]
 UNKNOWN = "und"
 BLOCK_ROWS = 512
 BLOCK_BYTES = 1 << 20
@@ -47,7 +53,7 @@ class Model:
     weights: np.ndarray
     centroids: np.ndarray
     owner: np.ndarray
-    limits: np.ndarray
+    limits: np.ndarray  # per language and step of distinct n-grams, see ``_lengths``
 
 
 def gram_counts(column: pa.Array) -> np.ndarray:
@@ -91,6 +97,29 @@ def _clusters(vectors: np.ndarray) -> np.ndarray:
     return centres
 
 
+def _lengths(counts: np.ndarray) -> np.ndarray:
+    """The number of distinct n-grams of each row, in whole powers of the root of two."""
+    return (2 * np.log2(np.maximum((counts > 0).sum(axis=1), 1))).astype(np.int64)
+
+
+def _limits(counts: np.ndarray, starts: list[str], weights: np.ndarray) -> np.ndarray:
+    """Limits of one language from its texts' counts and beginnings, each measured with centroids of the other parts."""
+    fold = np.arange(len(counts)) % FOLDS
+    lengths, cosines = [], []
+    for k in range(min(FOLDS, len(counts)) if len(counts) > 1 else 0):
+        centres = _clusters(_vectors(counts[fold != k], weights))
+        held = [starts[i] for i in np.flatnonzero(fold == k)]
+        cut = [gram_counts(pa.array(texts)) for n in CUTS if (texts := [t[:n] for t in held if len(t) > n and LETTER.search(t[:n])])]
+        for own in [counts[fold == k], *cut]:
+            lengths.append(_lengths(own))
+            cosines.append((_vectors(own, weights) @ centres.T).max(axis=1))
+    limits = np.zeros(int(2 * np.log2(DIMENSIONS)) + 1)
+    for k in range(len(limits)):
+        own = np.concatenate(cosines)[np.concatenate(lengths) == k] if cosines else []
+        limits[k] = REJECT_SHARE * float(np.quantile(own, 0.01)) if len(own) >= LEAST_VALUES else limits[max(k - 1, 0)]
+    return limits
+
+
 def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """A model from the columns doc_id, text and lang; rows without text or lang teach nothing."""
     rows = training.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
@@ -106,14 +135,15 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             counts = np.minimum(gram_counts(block.column("text")), 65535).astype(np.uint16)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("lang"), pa.array([c.tobytes() for c in counts], pa.binary())],
-                ["doc_id", "lang", "counts"],
+                [block.column("doc_id"), block.column("lang"), pa.array([c.tobytes() for c in counts], pa.binary()),
+                 pc.utf8_slice_codeunits(block.column("text"), 0, CUTS[-1] + 1)],
+                ["doc_id", "lang", "counts", "begin"],
             )
 
     per_language = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     total = sum(per_language.values())
     if not total:
-        return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.zeros(0))
+        return Model([], np.zeros(DIMENSIONS), np.zeros((0, DIMENSIONS)), np.zeros(0, int), np.zeros((0, 0)))
     seen = np.zeros(DIMENSIONS)
     for r in rows.mapInArrow(frequencies, "dimension int, seen long").groupBy("dimension").agg(F.sum("seen").alias("n")).collect():
         seen[r["dimension"]] = r["n"]
@@ -123,22 +153,20 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
         share = F.when(F.col("lang") == lang, min(1.0, sample_per_language / n)).otherwise(share)
     chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sample = sorted(chosen.mapInArrow(counted, f"doc_id {kind}, lang string, counts binary").collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["counts"]))
+    sample = sorted(chosen.mapInArrow(counted, f"doc_id {kind}, lang string, counts binary, begin string").collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["counts"], r["begin"]))
     languages, centroids, owner, limits = sorted(per_language), [], [], []
     for number, lang in enumerate(languages):
-        own = [np.frombuffer(r["counts"], np.uint16) for r in sample if r["lang"] == lang]
+        own = [r for r in sample if r["lang"] == lang]
+        counts = np.array([np.frombuffer(r["counts"], np.uint16) for r in own], np.int64).reshape(-1, DIMENSIONS)
+        limits.append(_limits(counts, [r["begin"] for r in own], weights))
         if not own:
             continue
-        vectors = _vectors(np.vstack(own).astype(np.int64), weights)
+        vectors = _vectors(counts, weights)
         centres = _clusters(vectors)
-        cosines = vectors @ centres.T
-        nearest = np.argmax(cosines, axis=1)
-        for k, centre in enumerate(centres):
-            members = cosines[nearest == k, k]
-            if len(members):
-                centroids.append(centre), owner.append(number)
-                limits.append(REJECT_SHARE * float(np.quantile(members, 0.01)))
-    return Model(languages, weights, np.vstack(centroids).astype(np.float32), np.array(owner), np.array(limits))
+        nearest = np.argmax(vectors @ centres.T, axis=1)
+        for centre in centres[np.unique(nearest)]:
+            centroids.append(centre), owner.append(number)
+    return Model(languages, weights, np.vstack(centroids).astype(np.float32), np.array(owner), np.vstack(limits))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -151,8 +179,10 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             texts = block.column("text").to_pylist()
             names, scores, rejected = [], [], []
             if len(known.centroids):
-                cosines = _vectors(gram_counts(block.column("text")), known.weights) @ known.centroids.T
+                counts = gram_counts(block.column("text"))
+                cosines = _vectors(counts, known.weights) @ known.centroids.T
                 nearest = np.argmax(cosines, axis=1)
+                limits = known.limits[known.owner[nearest], _lengths(counts)]
             for k, text in enumerate(texts):
                 if not text or not len(known.centroids) or not LETTER.search(text):
                     names.append(UNKNOWN), scores.append(0.0), rejected.append(True)
@@ -160,7 +190,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 best = int(nearest[k])
                 score = float(min(1.0, max(0.0, cosines[k, best])))
                 names.append(known.languages[known.owner[best]]), scores.append(score)
-                rejected.append(bool(score < known.limits[best]))
+                rejected.append(bool(score < limits[k]))
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["doc_id", "lang_pred", "score", "rejected"],
@@ -179,9 +209,11 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES, most_rows=BLOCK_ROWS):
             if not len(known.centroids):
                 continue
-            cosines = _vectors(gram_counts(block.column("text")), known.weights) @ known.centroids.T
+            counts = gram_counts(block.column("text"))
+            cosines = _vectors(counts, known.weights) @ known.centroids.T
             nearest = np.argmax(cosines, axis=1)
-            good = cosines[np.arange(len(nearest)), nearest] >= known.limits[nearest]
+            scores = np.clip(cosines[np.arange(len(nearest)), nearest].astype(np.float64), 0, 1)
+            good = scores >= known.limits[known.owner[nearest], _lengths(counts)]
             letters = [bool(text and LETTER.search(text)) for text in block.column("text").to_pylist()]
             yield block.filter(pa.array(good & np.array(letters)))
 

@@ -40,6 +40,29 @@ def test_language_of_odd_texts(spark, documents):
     assert not {r.doc_id for r in kept.collect()} & {1, 2, 3}
 
 
+def test_unlearned_languages_and_junk_are_rejected(spark, tables, documents):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = language_id.fit(docs.where("doc_id % 5 <> 0"))
+    foreign = [
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+        "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+        "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+        "TWFuIGlzIGRpc3Rpbmd1aXNoZWQsIG5vdCBvbmx5IGJ5IGhpcyByZWFzb24sIGJ1dCBieSB0aGlz",
+        "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b2b0b822cd15d6c15b0f00a08",
+        "xq jwv zkpt bgfh qqwz mxnv lkjh pqow zmxc vbty qplm",
+    ]
+    odd = documents([*enumerate(foreign), *((100 + k, (text + " ") * 40) for k, text in enumerate(foreign))])
+    assert [r for r in language_id.predict(odd, model).collect() if not r.rejected] == []
+    assert language_id.keep_accepted(odd, model).collect() == []
+    clean = [(d, " ".join(r.text.split()[:n])) for d, r in tables[0].items() if d % 5 == 0 and r.text for n in (4, 8, 16, 10**6)]
+    clean += [(-1, "the and of with that"), (-2, "the and of " * 300)]
+    got = language_id.predict(documents(clean), model).collect()
+    assert np.mean([r.rejected for r in got]) < 0.01 and not any(r.rejected for r in got if r.doc_id < 0)
+    assert language_id.keep_accepted(documents(clean), model).count() == sum(not r.rejected for r in got)
+
+
 def test_nothing_learned(documents):
     empty = documents([])
     model = language_id.fit(empty)
