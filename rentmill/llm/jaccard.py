@@ -16,7 +16,8 @@ last and hardly ever decide; any order gives the same links, so the sketch only
 A list is never expanded into pairs. First every member is tested against the list's hub, its first member, and the links
 found are joined to components. Then, in each list that still holds several components, the classes outside the
 largest are compared with all members in blocks: an inverted index over one block is scanned for the sets of
-another, counting intersections exactly. So no link between components is lost, and copies of one text cost one link each.
+another, counting intersections exactly. Blocks are bounded by shingles and by rows, as the counts are one number per pair
+of rows of two blocks. So no link between components is lost, and copies of one text cost one link each.
 
 Shingles found several times within a block of documents are combined before the shuffle. Null and empty texts have no
 shingles and no links. Rows that share a doc_id count as one document whose links are those of all its rows; a
@@ -43,6 +44,7 @@ CELL_BITS = 21
 SLICES = 64
 BLOCK_BYTES = 2 << 20
 BLOCK_SHINGLES = 1 << 17
+BLOCK_ROWS = 1 << 11
 MOST_MATCHES = 1 << 22
 ROWS_PER_POSTING = 2
 PREFIX_SHARE = 20
@@ -270,7 +272,7 @@ def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent:
     mixed = stored(mixed.select("sig", F.col("most.comp").alias("key")), "mixed")
     roles = placed.join(mixed, "sig").select("key", "node", "comp", (F.col("comp") != F.col("key")).alias("rest")).distinct()
     held = stored(roles.join(sets.select("node", "n", "shingles"), "node"), "held")
-    parts = stored(held.groupBy("key", "rest").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("parts")), "parts")
+    parts = stored(held.groupBy("key", "rest").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_ROWS)).alias("parts")), "parts")
     blocks = held.join(parts, ["key", "rest"]).groupBy("key", "rest", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
     blocks = stored(blocks.agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("members")), "blocks")
     first = blocks.where("rest").select("key", F.col("part").alias("x"), F.col("members").alias("first"))

@@ -61,6 +61,20 @@ def test_components_of_paths_and_stars(spark):
     assert got == {(k, 0) for k in range(41)} | {(k, 100) for k in range(100, 120)}
 
 
+def test_many_template_lines(documents, monkeypatch):
+    """20,000 lines with five of six shingles in common, of which none are links; ten have a longer version."""
+    real = jaccard._block_links
+
+    def bounded(rows, percent):
+        assert len(rows["first"]) * len(rows["second"]) < 8 << 20
+        return real(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_block_links", bounded)
+    rows = [(k, f"this line is the same in all its words but{k}") for k in range(20_000)]
+    rows += [(20_000 + k, f"{text} more{k}") for k, text in rows[:10]]
+    assert joined(documents(rows)) == {k: (6 + k // 20_000, k % 20_000) for k, _ in rows}
+
+
 @pytest.mark.parametrize("shard_rows", [3, 1 << 14])
 def test_repeats_match_brute_force(documents, odd_texts, monkeypatch, shard_rows):
     monkeypatch.setattr(repeats, "SHARD_ROWS", shard_rows)
