@@ -13,7 +13,7 @@ equal anchors at the same place. So
 4. a shard sorts all suffixes of differing surroundings (Larsson and Sadakane's refinement), takes common prefixes of neighbours
    (Kasai), and gives each run of equal windows the smallest doc_id it was seen in. Anchors with more surroundings
    than a shard holds come in the order of doc_id over several shards, and the sorted windows of one shard are looked up
-   by binary search in those of the shards before;
+   by binary search in those of the shards before; of fingerprints without bytes the smallest doc_id is carried on;
 5. the bytes to remove meet their text again, which gives the digests.
 
 In surroundings the anchor itself stands as its 64-bit hash; windows are equal when the hashes and the bytes around them are.
@@ -296,7 +296,7 @@ def _sent(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(send, SENT)
 
 
-def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: tuple[np.ndarray, np.ndarray] | None):
+def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: tuple | None):
     """The smallest doc of every window of the texts (one after another), and the windows in order with theirs.
 
     ``known`` holds the windows of earlier shards and their smallest docs, in order.
@@ -324,7 +324,8 @@ def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: t
 def _shard_spans(hashes, rows, places, stops, arounds, known, more: bool):
     """What to remove in the rows (doc, variant) of one shard, and its windows in order.
 
-    ``known``: windows of the shards before for an anchor that began there; ``more``: the anchor goes on after this shard.
+    ``known``: windows of the shards before for an anchor that began there, and the smallest doc of each of its fingerprints
+    without bytes; ``more``: the anchor goes on after this shard.
     """
     docs = rows[:, 0]
     kinds: dict[bytes, int] = {}
@@ -332,6 +333,10 @@ def _shard_spans(hashes, rows, places, stops, arounds, known, more: bool):
     lengths = np.array([len(a) for a in kinds], np.int64)
     least = np.full(len(kinds), LAST)
     np.minimum.at(least, kind, docs)
+    for text, doc in (known[2] if known is not None else {}).items():
+        if text in kinds:
+            least[kinds[text]] = min(least[kinds[text]], doc)
+    prints = {text: least[k] for text, k in kinds.items() if len(text) < SHORT}
     # Surroundings that are the only ones of their anchor repeat as a whole or not at all.
     _, first = np.unique(kind, return_index=True)
     _, anchor, each = np.unique(hashes[first], return_inverse=True, return_counts=True)
@@ -356,18 +361,18 @@ def _shard_spans(hashes, rows, places, stops, arounds, known, more: bool):
         open_rows, gone = open_rows[some], gone[some]
         high = REACH - gone[:, ::-1].argmax(axis=1) + WINDOW
         found.append((rows[open_rows], places[open_rows] + gone.argmax(axis=1), places[open_rows] + high))
-    return [np.concatenate([f[k] for f in found]) for k in range(3)], table
+    return [np.concatenate([f[k] for f in found]) for k in range(3)], (*table, prints)
 
 
 def _merge_windows(known, table):
-    """Two ordered window tables as one, the smallest doc of equal windows staying."""
+    """Two ordered window tables with fingerprints as one, the smallest doc of equal windows staying."""
     if known is None:
         return table
     content, least = np.concatenate([known[0], table[0]]), np.concatenate([known[1], table[1]])
     order = np.argsort(content, kind="stable")
     content, least = content[order], least[order]
-    first = np.flatnonzero(np.r_[True, content[1:] != content[:-1]])
-    return content[first], np.minimum.reduceat(least, first)
+    first = np.flatnonzero(np.r_[len(content) > 0, content[1:] != content[:-1]])
+    return content[first], np.minimum.reduceat(least, first) if len(first) else least, known[2] | table[2]
 
 
 def _spans(sent: DataFrame) -> DataFrame:

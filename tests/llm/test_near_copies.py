@@ -75,6 +75,19 @@ def test_many_template_lines(documents, monkeypatch):
     assert joined(documents(rows)) == {k: (6 + k // 20_000, k % 20_000) for k, _ in rows}
 
 
+def test_copies_over_several_shards_with_a_full_filter(documents, monkeypatch):
+    """A full filter of first surroundings takes all copies for first ones, so that those of one line fill many shards."""
+    sent = repeats._first_kinds
+    monkeypatch.setattr(repeats, "_first_kinds", lambda docs, repeated: [found | fill for found, fill in zip(sent(docs, repeated), (255, 0))])
+    monkeypatch.setattr(repeats, "SHARD_ROWS", 3)
+    line = "this line of more than fifty bytes is in every one of these rows"
+    rows = [*((k, line) for k in range(40)), *((100 + k, f"{k} begins another text in which there is much {line}") for k in range(3))]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(documents(rows[:40])).collect()}
+    assert got == brute.without_repeats(rows[:40])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.remove_repeats(documents(rows)).collect()}
+    assert got == brute.without_repeats(rows)
+
+
 @pytest.mark.parametrize("shard_rows", [3, 1 << 14])
 def test_repeats_match_brute_force(documents, odd_texts, monkeypatch, shard_rows):
     monkeypatch.setattr(repeats, "SHARD_ROWS", shard_rows)
