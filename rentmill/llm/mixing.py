@@ -11,7 +11,8 @@ target stops at ``most`` times its source's size; what is over is shared again b
 is a water level over the sources sorted by size per weight.
 
 Rounding: within a source the expected copies are accumulated by size and rounded, so the error in tokens stays
-under one largest document; then single copies of the size closest to what is missing are added or removed.
+under one largest document. What is missing is then added or removed in copies, as many as fit from the largest size down, and
+where none fits in one copy of the size that brings the source closest, until no copy brings it closer.
 Documents of one size are told apart by a hash of the id, in slices, so that no source or size is ranked in one task.
 
 Null texts have size 0; documents of size 0 are taken once and change nothing. Equal documents with one doc_id may
@@ -29,7 +30,7 @@ MOST = 3
 SLICES = 32
 MOST_ITERATIONS = 60
 TOLERANCE = 1e-9
-CORRECTIONS = 6
+CELL = ["source", "size", "slice", "docs", "source_size", "target", "rate", "copies"]
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -105,17 +106,27 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, most: float = MOST) -> Dat
 
 
 def _corrected(cells: DataFrame, most: int) -> DataFrame:
-    """One copy more or less of the size that brings a source's tokens closest to its target."""
+    """``cells`` with copies nearer to each source's target, and whether a cell's number has ``moved``.
+
+    Copies that fit what is missing are changed first, as many as there are, from the largest size down. A source in which none
+    fits changes one copy of the size that brings it closest, if that is closer.
+    """
     same = Window.partitionBy("source")
+    before = same.orderBy(F.col("size").desc(), "slice").rowsBetween(Window.unboundedPreceding, -1)
     missing = F.col("target") - F.sum(F.col("copies") * F.col("size")).over(same)
-    wanted = cells.select("*", missing.alias("missing")).select(
+    wanted = cells.select(*CELL, missing.alias("missing")).select(
         "*", F.abs(F.abs("missing") - F.col("size")).alias("left"),
-        F.when(F.col("missing") > 0, F.col("copies") < most * F.col("docs")).otherwise(F.col("copies") > 0).alias("free"),
+        F.when(F.col("missing") > 0, most * F.col("docs") - F.col("copies")).otherwise(F.col("copies")).alias("free"),
     )
-    offer = F.when(F.col("free") & (F.col("left") < F.abs("missing")), F.struct("left", "size", "slice"))
-    chosen = (F.struct("left", "size", "slice") == F.min(offer).over(same)) & F.col("free")
-    step = F.when(F.coalesce(chosen, F.lit(False)), F.signum("missing").cast("long")).otherwise(0)
-    return wanted.withColumn("copies", F.col("copies") + step).select(cells.columns)
+    fits = F.when((F.col("size") > 0) & (F.col("size") <= F.abs("missing")), F.col("free")).otherwise(0)
+    rest = F.abs("missing") - F.coalesce(F.sum(fits * F.col("size")).over(before), F.lit(0))
+    many = F.when(fits > 0, F.greatest(F.lit(0), F.least(fits, F.floor(rest / F.col("size"))))).otherwise(0)
+    offer = F.when((F.col("free") > 0) & (F.col("left") < F.abs("missing") - TOLERANCE), F.struct("left", "size", "slice"))
+    filled = wanted.select("*", many.cast("long").alias("many"), offer.alias("offer"))
+    one = F.coalesce(F.col("offer") == F.min("offer").over(same), F.lit(False)).cast("long")
+    step = F.when(F.sum("many").over(same) > 0, F.col("many")).otherwise(one)
+    stepped = filled.select("*", step.alias("step"))
+    return stepped.withColumn("copies", F.col("copies") + F.signum("missing").cast("long") * F.col("step")).select(*CELL, (F.col("step") > 0).alias("moved"))
 
 
 def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
@@ -134,9 +145,10 @@ def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
         "*", (F.col("upto") - F.coalesce(F.lag("upto").over(Window.partitionBy("source").orderBy("size", "slice")), F.lit(0))).alias("copies")
     ).drop("upto")
     rounded = rounded.withColumn("copies", F.least(F.col("copies"), most * F.col("docs")))
-    for _ in range(CORRECTIONS):
-        rounded = _corrected(rounded, most)
-    plan = stored(rounded, "copies")
+    plan = stored(rounded.select(*CELL, F.lit(True).alias("moved")), "copies")
+    while not plan.where("moved").isEmpty():
+        plan = stored(_corrected(plan, most), "copies")
+    plan = plan.select(CELL)
     key = [sizes[c].eqNullSafe(plan[c]) if c == "source" else sizes[c] == plan[c] for c in ("source", "size", "slice")]
     planned = sizes.join(plan, key[0] & key[1] & key[2]).drop(plan["source"], plan["size"], plan["slice"])
     place = F.row_number().over(Window.partitionBy("source", "size", "slice").orderBy(F.xxhash64("doc_id", F.lit("copy")), "doc_id"))
