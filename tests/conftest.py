@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -11,8 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from rentmill.schemas import SCHEMAS
 from rentmill.session import build_session
 
-DATA = "/root/testdata"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -61,7 +58,3 @@ def shop(spark):
         return frames
 
     return build
-
-
-def bag(df) -> Counter:
-    return Counter(tuple(row) for row in df.collect())

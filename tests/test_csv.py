@@ -7,7 +7,7 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
-from conftest import bag
+from helpers import bag
 from pyspark.sql import types as T
 
 from rentmill.schemas import SCHEMAS

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import DATA, bag
+from helpers import DATA, bag
 
 from rentmill.__main__ import arguments, jdbc_properties, main
 from rentmill.fixtures.tables import ShopTables

@@ -7,7 +7,7 @@ from collections import Counter
 
 import duckdb
 import pytest
-from conftest import DATA
+from helpers import DATA
 
 import __spark_entry__ as driver
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import DATA
+from helpers import DATA
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver

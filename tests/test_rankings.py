@@ -6,7 +6,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import bag
+from helpers import bag
 
 from rentmill.operators.ranking import preview, rank_by_count
 from rentmill.plans.business import RANKINGS, rank, rank_directly

@@ -6,7 +6,7 @@ import datetime as dt
 from pathlib import Path
 
 import pytest
-from conftest import bag
+from helpers import bag
 from pyspark.sql import functions as F
 
 from rentmill.functions import register_functions, week_start
