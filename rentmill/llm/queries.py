@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, repeats, secrets, toxicity
+from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, prefix_trie, repeats, secrets, toxicity
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -90,7 +90,25 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
-QUERIES = {q.__name__: q for q in (op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing, op10_exact_dedup)}
+MOST_SHARED = 4
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations rebuilt on the first turns of every twentieth one, as a trie."""
+    turns = prefix_trie.numbered_turns(read_table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    head = F.crc32(F.col("conv_id").cast("string")) % MOST_SHARED
+    return prefix_trie.trie(prefix_trie.with_shared_heads(turns, base, head, MOST_SHARED - 1))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing,
+        op10_exact_dedup, op12_prefix_trie,
+    )
+}
+
 
 def _secret_sql() -> str:
     """Places of matches from the texts between them, rule by rule."""
@@ -213,4 +231,36 @@ SQL = {
                sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
                CAST(sum(length(role) + escaped + 11) AS BIGINT) AS formatted_chars
         FROM e GROUP BY conv_id""",
+    "op12_prefix_trie": r"""
+        WITH t AS (
+            SELECT conv_id, [coalesce(role, ''), coalesce(text, '')] AS x,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS place
+            FROM conversations WHERE conv_id IS NOT NULL
+        ), c AS (
+            SELECT conv_id, list(x ORDER BY place) AS xs, CAST(conv_id AS VARCHAR) AS name FROM t GROUP BY conv_id
+        ), h AS (  -- the CRC-32 of the name, bit by bit
+            SELECT *, xor(4294967295, list_reduce(
+                list_prepend(4294967295, flatten([[ascii(name[i]), 0, 0, 0, 0, 0, 0, 0] FOR i IN range(1, len(name) + 1)])),
+                lambda r, e: CASE WHEN xor(r, e) % 2 = 1 THEN xor(xor(r, e) // 2, 3988292384) ELSE xor(r, e) // 2 END)) % 4 AS h
+            FROM (SELECT conv_id, xs, name FROM c) AS named
+        ), r AS (
+            SELECT h.conv_id, list_concat(coalesce(b.xs[1 : h.h], []), h.xs[h.h + 1 :]) AS xs
+            FROM h LEFT JOIN c AS b ON b.conv_id = h.conv_id - h.conv_id % 20
+        ), n AS (
+            SELECT depth, prefix, min(conv_id) AS conv_id, count(*) AS n_convs, bool_and(size = depth) AS childless,
+                   coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE size = depth), '') AS ends
+            FROM (SELECT conv_id, len(xs) AS size, depth, xs[1 : depth] AS prefix
+                  FROM (SELECT conv_id, xs, unnest(range(0, len(xs) + 1)) AS depth FROM r) AS u) AS p
+            GROUP BY depth, prefix
+        ), s AS (
+            SELECT prefix[1 : k] AS top, sum(childless) AS n_leaves,
+                   sum((n_convs - 1) * CASE WHEN depth = 0 THEN 0 ELSE len(regexp_extract_all(prefix[depth][2], '[^\x20\x09-\x0D]+')) END) AS saved
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM n) AS u GROUP BY top
+        ), k AS (
+            SELECT prefix[1 : depth - 1] AS top, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY top
+        )
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+               CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+        FROM n JOIN s ON s.top = n.prefix LEFT JOIN k ON k.top = n.prefix
+        LEFT JOIN n AS up ON n.depth > 0 AND up.prefix = n.prefix[1 : n.depth - 1]""",
 }

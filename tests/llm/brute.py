@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -86,3 +87,33 @@ def nearest(vectors, queries, k):
                 scored.append((total**0.5, other))
         result[q] = sorted(scored)[:k]
     return result
+
+
+def prefix_trie(turns):
+    """The nodes of the trie of (conv_id, turn, role, text) rows rebuilt on shared heads, as tuples."""
+    plain = re.compile(r"[^\x20\x09-\x0D]+")
+    convs = defaultdict(list)
+    for conv, turn, role, text in turns:
+        if conv is not None:
+            convs[conv].append(((turn is not None, turn or 0), role or "", text or ""))
+    convs = {c: [t[1:] for t in sorted(ts)] for c, ts in convs.items()}
+    rebuilt = {}
+    for c, own in convs.items():
+        head = zlib.crc32(str(c).encode()) % 4
+        base = abs(c) // 20 * 20 * (1 if c >= 0 else -1)
+        rebuilt[c] = tuple(convs.get(base, [])[:head] + own[head:])
+    under = defaultdict(list)
+    for c in sorted(rebuilt):
+        for d in range(len(rebuilt[c]) + 1):
+            under[rebuilt[c][:d]].append(c)
+    children = Counter(p[:-1] for p in under if p)
+    leaves, saved = Counter(), Counter()
+    for p, ms in under.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not children[p]
+            saved[p[:d]] += (len(ms) - 1) * len(plain.findall(p[-1][1])) if p else 0
+    ends = {p: ",".join(str(c) for c in ms if rebuilt[c] == p) for p, ms in under.items()}
+    return {
+        (ms[0], len(p), under[p[:-1]][0] if p else None, len(ms), children[p], leaves[p], saved[p], hashlib.sha256(ends[p].encode()).hexdigest())
+        for p, ms in under.items()
+    }
