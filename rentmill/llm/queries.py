@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, exact_dedup, jaccard, language_id, mixing, nearest, packing, prefix_trie, repeats, secrets, toxicity
+from rentmill.llm import chat, divergence, exact_dedup, jaccard, language_id, mixing, nearest, packing, prefix_trie, repeats, secrets, toxicity
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -101,11 +101,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.with_shared_heads(turns, base, head, MOST_SHARED - 1))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     q.__name__: q
     for q in (
         op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing,
-        op10_exact_dedup, op12_prefix_trie,
+        op10_exact_dedup, op12_prefix_trie, op13_divergence,
     )
 }
 
@@ -263,4 +267,41 @@ SQL = {
                CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
         FROM n JOIN s ON s.top = n.prefix LEFT JOIN k ON k.top = n.prefix
         LEFT JOIN n AS up ON n.depth > 0 AND up.prefix = n.prefix[1 : n.depth - 1]""",
+    "op13_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), w AS (
+            SELECT lang, source, doc, unnest(terms) AS term FROM d
+        ), c AS (
+            SELECT lang, source, term, count(*) AS n FROM w GROUP BY lang, source, term
+        ), l AS (
+            SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+        ), v AS (
+            SELECT lang, count(*) AS v, sum(n) AS total FROM l GROUP BY lang
+        ), g AS (
+            SELECT s.lang, s.source, sum(CASE WHEN l.term IS NULL THEN 0 ELSE c.n END) AS total
+            FROM (SELECT DISTINCT lang, source FROM d) AS s
+            LEFT JOIN c ON c.lang = s.lang AND c.source = s.source LEFT JOIN l ON l.lang = c.lang AND l.term = c.term
+            GROUP BY s.lang, s.source
+        ), p AS (
+            SELECT g.lang, g.source, l.term, coalesce(c.n, 0) AS n,
+                   1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (coalesce(g.total, 0)::HUGEINT + 5 * v.v) AS p,
+                   1 + 1000000000::HUGEINT * (l.n + 5) // (v.total::HUGEINT + 5 * v.v) AS q
+            FROM g JOIN l ON l.lang = g.lang JOIN v ON v.lang = g.lang
+            LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = l.term
+        ), found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+            FROM g AS a JOIN g AS b ON b.lang = a.lang AND b.source <> a.source
+            LEFT JOIN (SELECT x.lang, x.source, y.source AS other, sum(abs(x.p - y.p)) AS value
+                       FROM p AS x JOIN p AS y ON y.lang = x.lang AND y.term = x.term GROUP BY x.lang, x.source, y.source) AS f
+                ON f.lang = a.lang AND f.source = a.source AND f.other = b.source
+            UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found
+        )
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+        FROM r WHERE part = 'pair' OR rank <= 50""",
 }
