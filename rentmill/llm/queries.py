@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.llm import chat, divergence, exact_dedup, jaccard, language_id, mixing, nearest, packing, prefix_trie, repeats, secrets, toxicity
+from rentmill.llm import (
+    chat, divergence, exact_dedup, jaccard, language_id, licenses, mixing, nearest, packing, prefix_trie, repeats, secrets, toxicity,
+)
 from rentmill.llm.tables import held_out, read_table
 
 
@@ -90,6 +92,22 @@ def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def written(labels):
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "n_words",
+        F.aggregate("phrases", F.lit(0).cast("long"), lambda n, p: n + p["places"]).alias("n_base"),
+        F.array_min("phrases.first").alias("first_word"),
+        F.array_max("phrases.last").alias("last_word"),
+        written(F.col("phrases.label")).alias("base_labels"),
+        written(F.concat("phrases.label", "spans.label")).alias("labels"),
+        "score",
+    )
+
+
 MOST_SHARED = 4
 
 
@@ -109,7 +127,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_jaccard, op2_language_id, op3_packing, op4_repeats, op5_toxicity, op6_nearest, op7_secrets, op8_chat, op9_mixing,
-        op10_exact_dedup, op12_prefix_trie, op13_divergence,
+        op10_exact_dedup, op11_licenses, op12_prefix_trie, op13_divergence,
     )
 }
 
