@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
-from threading import RLock
+import uuid
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-_NAMES = RLock()
+from rentmill.functions import register_functions
 
 
 def register_views(tables: Mapping[str, DataFrame]) -> None:
@@ -18,30 +16,54 @@ def register_views(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-@contextmanager
-def named_views(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
-    """Register views for the length of a block, then put back whatever had those names before.
+def isolated_session(
+    spark: SparkSession,
+    tables: Mapping[str, DataFrame],
+    functions: Sequence[Callable[[SparkSession], None]] = (register_functions,),
+) -> SparkSession:
+    """A new session of the same application with the caller's settings and views, in which ``tables`` have their names.
 
-    One block at a time per process: names are shared by all threads of a session.
+    Names in it are nobody else's: calls of several threads with the same names do not meet, and the caller's own views stay as they
+    are. ``functions`` register what SQL may call there; a new session knows none of the caller's temporary functions.
     """
-    with _NAMES:
-        yield from _swapped(spark, tables)
+    own = session_like(spark)
+    for register in functions:
+        register(own)
+    named = {name.lower() for name in tables}
+    views = [row["viewName"] for row in spark.sql("SHOW VIEWS").collect() if row["isTemporary"]]
+    for name in views:
+        if name.lower() not in named:
+            passed_to(own, spark.table(f"`{name}`")).createOrReplaceTempView(name)
+    for name, df in tables.items():
+        passed_to(own, df).createOrReplaceTempView(name)
+    return own
+
+
+def session_like(spark: SparkSession) -> SparkSession:
+    """A new session of the same application with the settings of ``spark``; what is set there later is set there alone."""
+    own = spark.newSession()
+    for key, value in dict(spark.conf.getAll).items():
+        if own.conf.isModifiable(key) and own.conf.get(key, None) != value:
+            own.conf.set(key, value)
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return own
 
 
-def _swapped(spark: SparkSession, tables: Mapping[str, DataFrame]) -> Iterator[None]:
-    same_names = spark.catalog.listTables(pattern="|".join(tables)) if tables else []
-    temporary = {view.name for view in same_names if view.isTemporary}
-    hidden = {name: spark.table(name) for name in tables if name.lower() in temporary}
-    register_views(tables)
+def passed_to(session: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` in another session, under that session's settings. All sessions see a global view; it goes once its name is resolved."""
+    name = f"shared_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
     try:
-        yield
+        return session.table(f"global_temp.{name}")
     finally:
-        for name in tables:
-            spark.catalog.dropTempView(name)
-        register_views(hidden)
+        df.sparkSession.catalog.dropGlobalTempView(name)
 
 
-def run_sql(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """The result of ``sql``. Names resolve at once, so the views need not outlive the call."""
-    with named_views(spark, tables):
-        return spark.sql(sql)
+def run_sql(
+    spark: SparkSession,
+    sql: str,
+    tables: Mapping[str, DataFrame],
+    functions: Sequence[Callable[[SparkSession], None]] = (register_functions,),
+) -> DataFrame:
+    """The result of ``sql`` over ``tables`` and the caller's own views, in a session of its own (:func:`isolated_session`)."""
+    return isolated_session(spark, tables, functions).sql(sql)
