@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from contextlib import ExitStack
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from rentmill.parallel import for_each
 from rentmill.plans.business import RANKINGS, count_facts, rank, rank_directly
@@ -15,10 +13,12 @@ from rentmill.plans.staging import RENTED_FILMS, STAGES, rented_films
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
 from rentmill.sinks.csv import export_csv
 from rentmill.sinks.layers import write_layer
-from rentmill.sources.csv import read_csv_folder
+from rentmill.sinks.quarantine import rejected_of, store_accepted
+from rentmill.sources.csv import read_csv_folder, read_csv_tolerantly
 from rentmill.sources.types import as_declared
 from rentmill.sources.layers import load_layer, read_layer
 from rentmill.storage import written_once
+from rentmill.versions import commit_unchanged, newest_version
 
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
@@ -52,20 +52,43 @@ def land_tables(spark: SparkSession, source: Source, landing: str, tables: Itera
     for_each(spark, tables, lambda table: export_csv(as_declared(source(table), SCHEMAS[table]), f"{landing}/{table}"))
 
 
-def load_raw(spark: SparkSession, landing: str, root: str, tables: Iterable[str] = TABLES) -> None:
-    """Load every CSV folder into the raw layer under its declared schema."""
-    store_tables(
-        spark, lambda table: read_csv_folder(spark, f"{landing}/{table}", SCHEMAS[table]), root, RAW, tables
-    )
+def load_raw(
+    spark: SparkSession, landing: str, root: str, tables: Iterable[str] = TABLES, *, quarantine: bool = False
+) -> None:
+    """Load every CSV folder into the raw layer under its declared schema.
+
+    A malformed line stops the load; with ``quarantine`` it goes to the raw table ``<table>_rejected``, which holds the lines of the last load.
+    """
+
+    def load(table: str) -> None:
+        folder, schema = f"{landing}/{table}", SCHEMAS[table]
+        if not quarantine:
+            write_layer(read_csv_folder(spark, folder, schema), root, RAW, table)
+            return
+
+        def reject(lines: DataFrame) -> None:
+            write_layer(lines, root, RAW, rejected_of(table))
+
+        rows = read_csv_tolerantly(spark, folder, schema)
+        if not store_accepted(rows, lambda sound: write_layer(sound, root, RAW, table), reject):
+            reject(spark.createDataFrame([], "file string, line string, fields string"))
+
+    for_each(spark, tables, load)
 
 
 def promote(
     spark: SparkSession, root: str, source: str, target: str, rules: Rules, tables: Iterable[str] = TABLES
 ) -> None:
-    """Copy every table from one layer to the next, through its rule if it has one."""
-    store_tables(
-        spark, lambda table: project(table, read_layer(spark, root, source, table), rules), root, target, tables
-    )
+    """Take every table from one layer to the next, through its rule if it has one.
+
+    A table without a rule is the same in both layers, so the version of the layer below is committed again and no row is copied.
+    """
+
+    def take(table: str) -> None:
+        if table in rules or not commit_unchanged(spark, root, source, target, table):
+            write_layer(project(table, read_layer(spark, root, source, table), rules), root, target, table)
+
+    for_each(spark, tables, take)
 
 
 def raw_to_quality(spark: SparkSession, root: str, rules: Rules = QUALITY_RULES) -> None:
@@ -111,15 +134,12 @@ def build_business(spark: SparkSession, root: str, source: str = STAGING) -> Non
 
 
 def layer_report(spark: SparkSession, root: str, layers: Mapping[str, Iterable[str]]) -> DataFrame:
-    """Rows of every stored table, as (layer, table, rows).
-
-    One job over all tables that reads no column; a zero per table keeps empty tables in the report.
-    """
+    """Rows of every stored table, as (layer, table, rows): those that were counted while the versions were written."""
     names = [(layer, table) for layer, tables in layers.items() for table in tables]
-    stored = for_each(spark, names, lambda name: read_layer(spark, root, *name))
-    rows = [
-        df.select(F.lit(layer).alias("layer"), F.lit(table).alias("table"), F.lit(1).cast("long").alias("rows"))
-        for (layer, table), df in zip(names, stored)
-    ]
-    zeros = spark.createDataFrame([(*name, 0) for name in names], "layer string, table string, rows long")
-    return reduce(DataFrame.unionAll, rows, zeros).groupBy("layer", "table").agg(F.sum("rows").alias("rows"))
+
+    def rows(name: tuple[str, str]) -> int:
+        version = newest_version(spark, root, *name)
+        return read_layer(spark, root, *name).count() if version is None else version.rows
+
+    counted = zip(names, for_each(spark, names, rows))
+    return spark.createDataFrame([(*name, n) for name, n in counted], "layer string, table string, rows long")

@@ -2,40 +2,101 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import uuid
+from collections.abc import Collection, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from rentmill.operators.views import run_sql
-from rentmill.sources.layers import read_layer
-from rentmill.storage import folder_exists, layer_path, recover_folder, replace_folder, sibling
+from rentmill.storage import drop_folder, folder_exists, layer_path
+from rentmill.versions import Part, Version, commit, new_folder, newest_version
+
+
+class PartlyHeld(ValueError):
+    """Some of the batches to append are in the table, so their folder cannot be added as a whole."""
 
 
 def write_layer(
-    df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
-) -> None:
-    """Store ``df`` as ``table`` of ``layer``, creating it if needed.
+    df: DataFrame,
+    root: str,
+    layer: str,
+    table: str,
+    mode: str = "overwrite",
+    partition_by: Sequence[str] = (),
+    *,
+    batches: Collection[str] = (),
+    bucket_by: tuple[str, int] | None = None,
+) -> Version:
+    """Store ``df`` as ``table`` of ``layer``, creating it if needed, and return the committed version.
 
-    ``overwrite`` writes beside the table and swaps, so ``df`` may itself read the table it replaces. ``append`` adds rows, again on every rerun, and refuses other columns.
+    ``overwrite`` commits only the new rows, so ``df`` may itself read the table it replaces. ``append`` adds rows, again on
+    every rerun, and refuses other columns; with the ids of the ``batches`` it consists of it adds them only if the table does
+    not hold them yet. ``bucket_by`` (column, number) stores the rows bucketed and sorted by a column; a bucketed
+    table is overwritten, not appended to. Rows are counted while they are written.
     """
-    spark, target = df.sparkSession, layer_path(root, layer, table)
+    spark = df.sparkSession
+    if mode not in ("overwrite", "append"):
+        raise ValueError(f"mode must be overwrite or append, not {mode}")
     if mode == "append":
-        recover_folder(spark, target)
-        if folder_exists(spark, target):
-            _require_same_columns(df, read_layer(spark, root, layer, table), target)
-        df.write.mode("append").partitionBy(*partition_by).parquet(target)
-    elif mode == "overwrite":
-        incoming = sibling(target, "incoming")
-        df.write.partitionBy(*partition_by).parquet(incoming)
-        replace_folder(spark, incoming, target)
+        held = newest_version(spark, root, layer, table)
+        if held is None and folder_exists(spark, layer_path(root, layer, table)):
+            raise ValueError(f"{layer_path(root, layer, table)} is a plain folder; overwrite it before appending")
+        if held:
+            _require_fit(df, held, partition_by, f"{layer}/{table}")
+            if _holds(held, batches):
+                return held
+    part = _write_rows(df, root, new_folder(layer, table), partition_by, batches, bucket_by)
+    added = Version(df.schema, (part,), tuple(partition_by), bucket_by)
+
+    def change(old: Version | None) -> Version | None:
+        if mode == "overwrite" or old is None:
+            return added
+        _require_fit(df, old, partition_by, f"{layer}/{table}")
+        if _holds(old, batches):
+            return None
+        return Version(old.schema, (*old.parts, part), old.partition_by)
+
+    version = commit(spark, root, layer, table, change)
+    if part not in version.parts:  # another writer has added the batch meanwhile
+        drop_folder(spark, f"{root.rstrip('/')}/{part.path}")
+    return version
+
+
+def _write_rows(
+    df: DataFrame, root: str, folder: str, partition_by: Sequence[str], batches: Collection[str], bucket_by: tuple[str, int] | None
+) -> Part:
+    """Write a folder and count its rows on the way. The count is taken in the tasks that write, each of which counts once."""
+    counted = Observation(folder)
+    path = f"{root.rstrip('/')}/{folder}"
+    if bucket_by:  # rows of a bucket in one task, so a bucket is one file
+        df = df.repartition(bucket_by[1], bucket_by[0])
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.partitionBy(*partition_by)
+    if bucket_by:
+        column, number = bucket_by
+        name = f"bucketed_{uuid.uuid4().hex}"
+        # Spark writes buckets only through its catalog; the table is external, and only its folder stays.
+        writer.bucketBy(number, column).sortBy(column).option("path", path).format("parquet").saveAsTable(name)
+        df.sparkSession.sql(f"DROP TABLE {name}")
     else:
-        raise ValueError(f"mode must be overwrite or append, not {mode}")
+        writer.parquet(path)
+    return Part(folder, counted.get["rows"], tuple(sorted(batches)))
+
+
+def _holds(held: Version, batches: Collection[str]) -> bool:
+    """Whether all batches are there; an error if only some are."""
+    known = held.batches.intersection(batches)
+    if known and known != set(batches):
+        raise PartlyHeld(f"of the batches to append some are there: {sorted(known)}")
+    return bool(known)
 
 
-def _require_same_columns(df: DataFrame, stored: DataFrame, target: str) -> None:
-    ours, theirs = sorted(df.dtypes), sorted(stored.dtypes)
+def _require_fit(df: DataFrame, held: Version, partition_by: Sequence[str], target: str) -> None:
+    ours, theirs = sorted(df.dtypes), sorted((f.name, f.dataType.simpleString()) for f in held.schema.fields)
     if ours != theirs:
         raise ValueError(f"{target} holds {theirs}; cannot append {ours}")
+    if held.buckets or held.partition_by != tuple(partition_by):
+        raise ValueError(f"{target} is stored by {held.buckets or held.partition_by}; cannot append by {tuple(partition_by)}")
 
 
 def query_to_layer(

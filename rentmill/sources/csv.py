@@ -44,6 +44,30 @@ def restore_empty(df: DataFrame) -> DataFrame:
     )
 
 
+# Columns that a tolerant read adds: the line that does not fit the schema (else null), and the file it is in.
+BAD_LINE, FILE = "_bad_line", "_file"
+
+
+def tolerant(schema: T.StructType) -> T.StructType:
+    """The schema of a tolerant read, before the file is added."""
+    return T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+
+
+def tolerant_options(schema: T.StructType, line_breaks: bool | None = None) -> dict[str, object]:
+    """Reader options under which a malformed row arrives with its line instead of stopping the load."""
+    return read_options(schema, line_breaks) | {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_LINE}
+
+
+def with_file(df: DataFrame) -> DataFrame:
+    """The rows of a tolerant read, empty texts restored, and the path of the file of each."""
+    return restore_empty(df.select("*", F.col("_metadata.file_path").alias(FILE)))
+
+
+def read_csv_tolerantly(spark: SparkSession, path: str, schema: T.StructType, line_breaks: bool | None = None) -> DataFrame:
+    """All rows under ``path``, with :data:`BAD_LINE` and :data:`FILE`; see :func:`rentmill.sinks.quarantine.store_accepted`."""
+    return with_file(spark.read.options(**tolerant_options(schema, line_breaks)).schema(tolerant(schema)).csv(path))
+
+
 def read_csv_folder(
     spark: SparkSession, path: str, schema: T.StructType | None = None, line_breaks: bool | None = None
 ) -> DataFrame:

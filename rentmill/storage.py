@@ -1,11 +1,14 @@
-"""Folders on whatever file system the session uses: layer paths, replacement by rename, scratch space."""
+"""Folders and small files on whatever file system the session uses: layer paths, creation if absent, replacement by rename, scratch space."""
 
 from __future__ import annotations
 
+import os
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,6 +33,64 @@ def folder_names(spark: SparkSession, path: str, pattern: str) -> list[str]:
     return sorted(status.getPath().getName() for status in files.globStatus(located) or [])
 
 
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file; none if there is no such file."""
+    located, files = _locate(spark, path)
+    if not files.exists(located):
+        return None
+    stream = files.open(located)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def file_age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file or folder was last changed; 0 if it is gone."""
+    located, files = _locate(spark, path)
+    if not files.exists(located):
+        return 0.0
+    return time.time() - files.getFileStatus(located).getModificationTime() / 1000
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with ``text`` unless it exists; False if it does. Of several at once only one succeeds.
+
+    ``text`` must differ between callers, so that a caller whose request was answered late knows its own file.
+    """
+    located, files = _locate(spark, path)
+    if files.getScheme() == "file":
+        return _linked(located.toUri().getPath(), text)
+    try:
+        stream = files.create(located, False)
+        try:
+            stream.write(text.encode())
+        finally:
+            stream.close()
+    except Py4JJavaError:
+        held = read_file(spark, path)
+        if held is None:
+            raise
+        return held == text
+    return True
+
+
+def _linked(path: str, text: str) -> bool:
+    """A local file that gets its name, which must be free, when it is complete."""
+    folder, name = os.path.split(path)
+    os.makedirs(folder, exist_ok=True)
+    unnamed = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    with open(unnamed, "x") as file:
+        file.write(text)
+    try:
+        os.link(unnamed, path)
+    except FileExistsError:
+        return False
+    finally:
+        os.unlink(unnamed)
+    return True
+
+
 def sibling(path: str, role: str) -> str:
     """A fresh folder next to ``path``; the underscore hides it from readers of the parent folder."""
     parent, name = path.rstrip("/").rsplit("/", 1)
@@ -40,8 +101,8 @@ def replace_folder(spark: SparkSession, incoming: str, target: str) -> None:
     """Put the finished folder ``incoming`` in the place of ``target``.
 
     The old content is set aside by one rename and the new content takes its place by another. Between the two the target does
-    not exist, but the old content is complete beside it: readers are sent there (:func:`readable_folder`), and
-    whoever writes next puts it back first (:func:`recover_folder`), so a process that dies at any point loses nothing. A
+    not exist, but the old content is complete beside it, and whoever writes next puts it back first
+    (:func:`recover_folder`), so a process that dies at any point loses nothing. A
     rename never lands inside an existing folder: of two writers at once, one fails and its folder stays aside.
     """
     recover_folder(spark, target)
@@ -90,13 +151,6 @@ def recover_folder(spark: SparkSession, path: str) -> None:
         _rename(spark, aside, path)
 
 
-def readable_folder(spark: SparkSession, path: str) -> str:
-    """``path``, or the place of its content while a swap is under way or after one was interrupted."""
-    if folder_exists(spark, path):
-        return path
-    return _set_aside(spark, path) or path
-
-
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach, removed when the session's JVM ends.
 

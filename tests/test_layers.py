@@ -7,7 +7,8 @@ from helpers import DATA, bag
 
 from rentmill import storage
 from rentmill.fixtures.tables import ShopTables
-from rentmill.operators import named_views, register_views, run_sql
+from rentmill.operators import isolated_session, register_views, run_sql
+from rentmill.parallel import for_each
 from rentmill.functions import register_functions
 from rentmill.plans.business import RANKINGS, rank_directly
 from rentmill.plans.layers import build_business, build_staging, layer_report, load_raw
@@ -63,78 +64,14 @@ def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
     assert read_layer(spark, root, RAW, "t").count() == 3
 
 
-def test_a_failed_swap_puts_the_old_table_back(spark, tmp_path):
-    root = str(tmp_path)
-    write_layer(spark.range(3), root, RAW, "t")
-    with pytest.raises(Exception):
-        storage.replace_folder(spark, f"{root}/raw/missing", f"{root}/raw/t")
-    assert read_layer(spark, root, RAW, "t").count() == 3
-
-
-class Died(BaseException):
-    """A process that ends: nothing after it runs."""
-
-
-@pytest.mark.parametrize("step", [1, 2])
-def test_a_death_during_the_swap_loses_nothing(spark, tmp_path, monkeypatch, step):
-    root, calls, rename = str(tmp_path), [], storage._rename
-    write_layer(spark.range(3), root, RAW, "t")
-
-    def dies(*args):
-        calls.append(args)
-        if len(calls) == step:
-            raise Died
-        rename(*args)
-
-    with monkeypatch.context() as patched:
-        patched.setattr(storage, "_rename", dies)
-        patched.setattr(storage, "recover_folder", lambda *args: None)
-        with pytest.raises(Died):
-            write_layer(spark.range(9), root, RAW, "t")
-    assert read_layer(spark, root, RAW, "t").count() == 3
-    write_layer(spark.range(2), root, RAW, "t", mode="append")
-    assert read_layer(spark, root, RAW, "t").count() == 5
-    write_layer(spark.range(4), root, RAW, "t")
-    assert read_layer(spark, root, RAW, "t").count() == 4
-
-
-def test_a_death_after_the_swap_keeps_the_new_table(spark, tmp_path, monkeypatch):
-    root = str(tmp_path)
-    write_layer(spark.range(3), root, RAW, "t")
-
-    def dies(*args):
-        raise Died
-
-    with monkeypatch.context() as patched:
-        patched.setattr(storage, "drop_folder", dies)
-        with pytest.raises(Died):
-            write_layer(spark.range(9), root, RAW, "t")
-    write_layer(spark.range(1), root, RAW, "t", mode="append")
-    assert read_layer(spark, root, RAW, "t").count() == 10
-
-
-def test_of_two_writers_one_fails_and_neither_lands_inside_the_other(spark, tmp_path, monkeypatch):
-    root, rename = str(tmp_path), storage._rename
-    write_layer(spark.range(3), root, RAW, "t")
-
-    def overtaken(session, source, target):
-        if "_incoming-" in source:
-            monkeypatch.setattr(storage, "_rename", rename)
-            session.range(7).write.parquet(target)
-        rename(session, source, target)
-
-    monkeypatch.setattr(storage, "_rename", overtaken)
-    with pytest.raises(Exception, match="exist"):
-        write_layer(spark.range(9), root, RAW, "t")
-    assert read_layer(spark, root, RAW, "t").count() == 7
-    assert not [path for path in (tmp_path / RAW / "t").iterdir() if path.is_dir()]
-
-
 def test_partitioned_write(spark, tmp_path):
     root = str(tmp_path)
     write_layer(spark.range(4).selectExpr("id", "id % 2 AS half"), root, RAW, "t", partition_by=["half"])
-    assert sorted(path.name for path in (tmp_path / RAW / "t").glob("half=*")) == ["half=0", "half=1"]
-    assert read_layer(spark, root, RAW, "t").count() == 4
+    assert sorted(path.name for path in (tmp_path / RAW / "t").glob("rows-*/half=*")) == ["half=0", "half=1"]
+    write_layer(spark.range(3).selectExpr("id", "id % 2 AS half"), root, RAW, "t", "append", partition_by=["half"])
+    assert bag(read_layer(spark, root, RAW, "t")) == {(0, 0): 2, (1, 1): 2, (2, 0): 2, (3, 1): 1}
+    with pytest.raises(ValueError, match="cannot append"):
+        write_layer(spark.range(3).selectExpr("id", "id % 2 AS half"), root, RAW, "t", "append")
 
 
 def test_an_empty_table_keeps_its_schema(spark, tmp_path):
@@ -175,18 +112,41 @@ def test_a_session_without_a_shared_folder_gets_no_local_one():
         storage.scratch_folder(Cluster, "x")
 
 
-def test_views_last_as_long_as_the_query_needs(spark):
+def test_names_of_a_query_are_its_own(spark):
     spark.range(7).createOrReplaceTempView("rental")
-    result = run_sql(spark, "SELECT count(*) AS n FROM rental", {"rental": spark.range(3)})
-    assert result.first().n == 3
+    spark.range(5).createOrReplaceTempView("Mine")
+    result = run_sql(spark, "SELECT count(*) AS n, (SELECT count(*) FROM mine) AS m FROM rental", {"rental": spark.range(3)})
+    assert tuple(result.first()) == (3, 5)
     assert spark.table("rental").count() == 7
-    with named_views(spark, {"film": spark.range(1)}):
-        assert spark.catalog.tableExists("film")
+    run_sql(spark, "SELECT * FROM film", {"film": spark.range(1)})
     assert not spark.catalog.tableExists("film")
     register_views({"film": spark.range(2)})
     assert spark.table("film").count() == 2
-    for name in ("rental", "film"):
+    for name in ("rental", "Mine", "film"):
         spark.catalog.dropTempView(name)
+    assert not spark.catalog.listTables("global_temp") or all(not t.name.startswith("shared_") for t in spark.catalog.listTables("global_temp"))
+
+
+def test_threads_use_one_name_for_different_tables_at_the_same_time(spark):
+    from threading import Barrier
+
+    together = Barrier(4, timeout=60)
+
+    def count(n: int) -> int:
+        own = isolated_session(spark, {"rental": spark.range(n)})
+        together.wait()  # all four have registered the name, none has asked for it
+        found = own.sql("SELECT count(*) AS n FROM rental").first().n
+        together.wait()
+        return found
+
+    assert for_each(spark, range(1, 5), count) == [1, 2, 3, 4]
+
+
+def test_a_query_runs_under_the_callers_settings(spark, setting):
+    setting(spark__sql__session__timeZone="Asia/Tokyo", spark__sql__shuffle__partitions=3)
+    result = run_sql(spark, "SELECT current_timezone() AS zone, week_start(TIMESTAMP_NTZ '2005-05-28 10:00:00') AS week", {})
+    assert (result.first().zone, str(result.first().week)) == ("Asia/Tokyo", "2005-05-22")
+    assert result.sparkSession.conf.get("spark.sql.shuffle.partitions") == "3"
 
 
 def test_query_to_layer(spark, tmp_path):

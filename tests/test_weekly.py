@@ -10,12 +10,13 @@ from helpers import bag
 from pyspark.sql import functions as F
 
 from rentmill.functions import register_functions, week_start
+from rentmill.plans.layers import load_raw
 from rentmill.plans.weekly import APPENDED, append_and_summarise, read_batches, summary_of, weekly_returned
 from rentmill.schemas import BUSINESS, RAW, SCHEMAS
-from rentmill.sinks import export_csv
+from rentmill.sinks import export_csv, rejected_of
 from rentmill.sources import read_layer
 from rentmill.storage import folder_names, layer_path
-from rentmill.streaming import ingest_new_files, read_ingested
+from rentmill.streaming import ingest_new_files, read_ingested, read_rejected
 from rentmill.streaming.ingest import INGESTED
 
 RENTAL = SCHEMAS["rental"]
@@ -178,3 +179,61 @@ def test_an_append_that_died_before_its_summary_is_counted_by_the_next(spark, tm
         with pytest.raises(RuntimeError):
             append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))
     assert bag(append_and_summarise(spark, f"{tmp_path}/in", str(tmp_path))) == {(dt.date(2005, 5, 22), 2): 1}
+
+
+def bad_line(n: int) -> str:
+    return rental_line(n, "2005-05-28").replace(f"{n},2005-05-28 10:00:00,1,", f"{n},28 May 2005,1,")
+
+
+def test_a_bad_file_stops_neither_its_run_nor_the_next(spark, tmp_path, ingest):
+    folder = tmp_path / "in"
+    drop_file(folder, "a.csv", rental_line(1, "2005-05-28", "2005-06-01"))
+    drop_file(folder, "b.csv", rental_line(2, "2005-05-28", "2005-06-01"), bad_line(3), "4,short\n", rental_line(5, "2005-05-28", "2005-06-01"))
+    (folder / "c.csv").write_bytes(b"\x89PNG\r\n\x1a\n\0\0")
+    ingest()
+    assert sorted(row.rental_id for row in read_ingested(spark, str(tmp_path)).collect()) == [1, 2, 5]
+    rejected = read_rejected(spark, str(tmp_path)).collect()
+    assert sorted((Path(row.file).name, row.line.split(",")[0]) for row in rejected if "b.csv" in row.file) == [("b.csv", "3"), ("b.csv", "4")]
+    assert '"rental_id":3' in next(row.fields for row in rejected if row.line.startswith("3,"))
+    drop_file(folder, "d.csv", rental_line(6, "2005-05-28", "2005-06-01"))
+    ingest()
+    assert sorted(row.rental_id for row in read_ingested(spark, str(tmp_path)).collect()) == [1, 2, 5, 6]
+    assert read_rejected(spark, str(tmp_path)).count() == len(rejected)
+    assert bag(read_layer(spark, str(tmp_path), BUSINESS, summary_of(INGESTED))) == {(dt.date(2005, 5, 22), 4): 1}
+
+
+def test_without_quarantine_a_bad_line_stops_the_run(spark, tmp_path, ingest):
+    drop_file(tmp_path / "in", "a.csv", rental_line(1, "2005-05-28"), bad_line(2))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        ingest(quarantine=False)
+    assert read_rejected(spark, str(tmp_path)).count() == 0
+
+
+def test_a_batch_run_again_rejects_its_lines_once(spark, tmp_path, ingest, monkeypatch):
+    from rentmill.streaming import ingest as module
+
+    drop_file(tmp_path / "in", "a.csv", rental_line(1, "2005-05-28", "2005-06-01"), bad_line(2))
+
+    def dies(*args):
+        raise RuntimeError("lost after the lines were set aside")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(module, "refresh_summary", dies)
+        with pytest.raises(Exception, match="lost after"):
+            ingest()
+    ingest()
+    assert read_ingested(spark, str(tmp_path)).count() == 1 and read_rejected(spark, str(tmp_path)).count() == 1
+
+
+def test_a_load_can_set_bad_lines_aside(spark, tmp_path):
+    (tmp_path / "landing").mkdir()
+    drop_file(tmp_path / "landing" / "rental", "a.csv", rental_line(1, "2005-05-28"), bad_line(2))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        load_raw(spark, f"{tmp_path}/landing", str(tmp_path), ["rental"])
+    for _ in range(2):
+        load_raw(spark, f"{tmp_path}/landing", str(tmp_path), ["rental"], quarantine=True)
+        assert [row.rental_id for row in read_layer(spark, str(tmp_path), RAW, "rental").collect()] == [1]
+        assert [row.line[:2] for row in read_layer(spark, str(tmp_path), RAW, rejected_of("rental")).collect()] == ["2,"]
+    drop_file(tmp_path / "landing" / "rental", "a.csv", rental_line(1, "2005-05-28"))
+    load_raw(spark, f"{tmp_path}/landing", str(tmp_path), ["rental"], quarantine=True)
+    assert read_layer(spark, str(tmp_path), RAW, rejected_of("rental")).count() == 0
