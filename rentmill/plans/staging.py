@@ -31,18 +31,29 @@ def _rented_films(t: Tables) -> DataFrame:
     return t[RENTED_FILMS] if RENTED_FILMS in t else rented_films(t)
 
 
-def stage_actor(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
-    """A rental appears once for every actor of its film."""
+def _by_film(t: Tables, links: DataFrame, names: tuple[DataFrame, str], broadcast_limit: int | None, copies_first: bool) -> DataFrame:
+    """Rentals joined to what their films are linked to."""
+    if copies_first:
+        rental = t["rental"].select("inventory_id", "rental_id", "customer_id")
+        copies = t["inventory"].select("inventory_id", "film_id")
+        return join_through(rental, (copies, "inventory_id"), (links, "film_id"), names, broadcast_limit=broadcast_limit)
+    return join_through(_rented_films(t), (links, "film_id"), names, broadcast_limit=broadcast_limit)
+
+
+def stage_actor(t: Tables, broadcast_limit: int | None = None, copies_first: bool = False) -> DataFrame:
+    """A rental appears once for every actor of its film.
+
+    With ``copies_first`` the links are joined to the copies before the rentals, which then move once or, stored by copy, not at all;
+    the links are repeated for every copy of their film.
+    """
     cast = t["film_actor"].select("film_id", "actor_id")
-    actors = t["actor"].select("actor_id", "last_name")
-    joined = join_through(_rented_films(t), (cast, "film_id"), (actors, "actor_id"), broadcast_limit=broadcast_limit)
+    joined = _by_film(t, cast, (t["actor"].select("actor_id", "last_name"), "actor_id"), broadcast_limit, copies_first)
     return joined.select("last_name", "rental_id", "customer_id")
 
 
-def stage_category(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
+def stage_category(t: Tables, broadcast_limit: int | None = None, copies_first: bool = False) -> DataFrame:
     genres = t["film_category"].select("film_id", "category_id")
-    names = t["category"].select("category_id", "name")
-    joined = join_through(_rented_films(t), (genres, "film_id"), (names, "category_id"), broadcast_limit=broadcast_limit)
+    joined = _by_film(t, genres, (t["category"].select("category_id", "name"), "category_id"), broadcast_limit, copies_first)
     return joined.select("name", "rental_id", "customer_id")
 
 

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
         initial_partitions=4,
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("scratch")),
         spark__sql__shuffle__partitions="4",
+        spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
         spark__driver__memory="8g",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import pytest
-from helpers import DATA
+from helpers import DATA, bag
 from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from rentmill.fixtures.tables import ShopTables
+from rentmill.plans.buckets import bucketed_tables, build_staging_in_buckets, stage_in_buckets, store_buckets
 from rentmill.plans.business import rank_directly
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import weekly_returned
-from rentmill.schemas import ACCESS, SCHEMAS, TABLES
+from rentmill.schemas import ACCESS, SCHEMAS, STAGING, TABLES
 from rentmill.sinks import write_layer
-from rentmill.sources import load_layer
+from rentmill.sources import load_layer, read_layer
 
 SF_DIR = f"{DATA}/sf0.01"
 
@@ -50,6 +51,67 @@ def test_scans_read_only_the_columns_of_the_query(spark):
     assert "partial_count" in shape
 
 
+@pytest.fixture
+def in_buckets(spark, tmp_path):
+    """The access tables, facts and links also in buckets."""
+    shop, root = ShopTables(spark, SF_DIR), str(tmp_path)
+    for table in TABLES:
+        write_layer(shop[table], root, ACCESS, table)
+    store_buckets(spark, root, number=6)
+    return root
+
+
+@pytest.mark.parametrize("target", STAGES)
+def test_facts_in_buckets_are_not_shuffled(spark, setting, in_buckets, target):
+    setting(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1)
+    rows = stage_in_buckets(target, bucketed_tables(spark, in_buckets))
+    shape = initial_plan(rows)
+    (scan,) = [line for line in shape.split("\n") if "FileScan parquet" in line and "rental_id#" in line]  # only the facts have it
+    assert "Bucketed: true" in scan
+    assert not exchanges_above(shape, scan), shape
+    assert bag(rows) == bag(STAGES[target](ShopTables(spark, SF_DIR)))
+
+
+def test_links_in_buckets_are_not_shuffled_beside_few_names(spark, setting, in_buckets):
+    """With actors small enough to be broadcast, the copies move to the links' buckets and the links stay."""
+    tables = bucketed_tables(spark, in_buckets)
+    tables["actor"] = F.broadcast(tables["actor"])
+    setting(spark__sql__autoBroadcastJoinThreshold=-1, spark__sql__adaptive__autoBroadcastJoinThreshold=-1)
+    shape = initial_plan(stage_in_buckets("Top_Actor", tables))
+    (links,) = [line for line in shape.split("\n") if "FileScan parquet" in line and "actor_id#" in line and "film_id#" in line]
+    assert "Bucketed: true" in links
+    assert [e for e in exchanges_above(shape, links) if "film_id" in e] == []
+
+
+def exchanges_above(shape: str, line: str) -> list[str]:
+    """The exchanges between the root of a printed plan and one of its lines."""
+    lines = shape.split("\n")
+    at = lines.index(line)
+    depth = lambda text: len(text) - len(text.lstrip(" :+-"))
+    above, least = [], depth(line)
+    for other in reversed(lines[:at]):
+        if depth(other) < least:
+            least = depth(other)
+            if "Exchange" in other:
+                above.append(other)
+    return above
+
+
+def test_bucketed_tables_are_written_a_file_per_bucket(spark, in_buckets):
+    from pathlib import Path
+
+    files = [p.name for p in Path(in_buckets, ACCESS, "rental_bucketed").rglob("*.parquet")]
+    assert len(files) == len({name.split("_")[-1] for name in files}) <= 6
+    assert read_layer(spark, in_buckets, ACCESS, "rental_bucketed").count() == ShopTables(spark, SF_DIR)["rental"].count()
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
+
+
+def test_staging_by_way_of_buckets_is_the_same(spark, in_buckets):
+    build_staging_in_buckets(spark, in_buckets, number=3)
+    for target in STAGES:
+        assert bag(read_layer(spark, in_buckets, STAGING, target)) == bag(STAGES[target](ShopTables(spark, SF_DIR)))
+
+
 @pytest.fixture
 def small_is_large(setting):
     """Broadcast nothing, and call a partition of 20 kB skewed."""
