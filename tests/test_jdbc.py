@@ -6,6 +6,7 @@ import pytest
 
 from rentmill.schemas import SPLIT_KEYS
 from rentmill.sources import jdbc_source, read_jdbc_table
+from rentmill.sources.jdbc import range_predicates
 
 
 class Reader:
@@ -37,6 +38,13 @@ class Reader:
     def first(self):
         return self.bounds
 
+    def collect(self):
+        return [(bound,) for bound in self.bounds]
+
+    def jdbc(self, url, table, predicates, properties):
+        self.scans.append({"url": url, "dbtable": table, "predicates": predicates, **properties})
+        return self
+
 
 def test_a_plain_scan_reads_the_table(capsys):
     reader = Reader()
@@ -78,3 +86,31 @@ def test_a_callers_properties_replace_the_defaults():
     reader = Reader()
     read_jdbc_table(reader, "jdbc:x", "rental", key="rental_id", partitions=2, properties={"fetchsize": "5"})
     assert {scan["fetchsize"] for scan in reader.scans} == {"5"}
+
+
+def test_a_split_by_quantiles_gives_a_range_to_each():
+    reader = Reader(bounds=(10, 10, 500, 90_000))
+    read_jdbc_table(reader, "jdbc:x", "rental", key="rental_id", partitions=4, by_quantiles=True, properties={"user": "u"})
+    asked, scan = reader.scans
+    assert "NTILE(4) OVER (ORDER BY rental_id)" in asked["query"] and "FROM rental" in asked["query"]
+    assert scan["predicates"] == ["rental_id <= 10 OR rental_id IS NULL", "rental_id > 10 AND rental_id <= 500", "rental_id > 500"]
+    assert (scan["dbtable"], scan["user"], scan["fetchsize"], scan["preferTimestampNTZ"]) == ("rental", "u", "10000", "true")
+
+
+@pytest.mark.parametrize("bounds", [(), (7,), (7, 7)])
+def test_a_key_without_cuts_is_scanned_unsplit(bounds):
+    reader = Reader(bounds=bounds)
+    read_jdbc_table(reader, "jdbc:x", "rental", key="rental_id", partitions=4, by_quantiles=True)
+    assert "predicates" not in reader.scans[-1] and reader.scans[-1]["dbtable"] == "rental"
+
+
+def test_ranges_meet_every_row_once(spark):
+    import datetime as dt
+
+    rows = spark.sql("SELECT explode(array(NULL, -3, 0, 5, 5, 9, 12, 40)) AS k")
+    ranges = range_predicates("k", [5, 0, 12, 40])
+    assert sum(rows.where(r).count() for r in ranges) == 8 and len(ranges) == 4
+    dates = range_predicates("k", [dt.date(2005, 5, 28), dt.datetime(2005, 6, 1, 10).date(), dt.date(2006, 1, 1)])
+    assert dates[0] == "k <= DATE '2005-05-28' OR k IS NULL"
+    with pytest.raises(ValueError, match="key of str"):
+        range_predicates("k", ["a", "b"])
