@@ -17,7 +17,9 @@ from rentmill.fixtures import oracle
 from rentmill.fixtures.tables import ShopTables
 from rentmill.functions import register_functions, week_start
 from rentmill.operators import preview, run_sql
+from rentmill.plans.buckets import bucketed_tables, stage_in_buckets, store_buckets
 from rentmill.plans.business import RANKINGS, rank, rank_directly
+from rentmill.plans.current import add_batch, refresh_rankings
 from rentmill.plans.layers import (
     QUALITY_RULES, build_business, build_staging, land_tables, layer_report, load_raw, project, promote,
     quality_to_access, raw_to_quality, store_tables,
@@ -26,11 +28,11 @@ from rentmill.plans.pipeline import run_pipeline
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import APPENDED, append_and_summarise, returned, summary_of, weekly_returned
 from rentmill.schemas import ACCESS, BUSINESS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
-from rentmill.sinks import export_csv, query_to_layer, write_layer
+from rentmill.sinks import export_csv, query_to_layer, rejected_of, write_layer
 from rentmill.sources import load_layer, read_csv_folder, read_layer
 from rentmill.sources.csv import read_options, restore_empty
 from rentmill.storage import scratch_folder
-from rentmill.streaming import ingest_new_files, read_ingested
+from rentmill.streaming import ingest_new_files, read_ingested, read_rejected
 from rentmill.streaming.ingest import INGESTED
 
 try:
@@ -112,6 +114,15 @@ def write_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_layer(spark, root, RAW, "rental")
 
 
+def append_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, each appended twice under its id."""
+    root, rental = scratch_folder(spark, "once"), ShopTables(spark, sf_dir)["rental"]
+    for number in (0, 1, 0, 1):
+        rows = rental.where(F.col("rental_id") % 2 == number)
+        write_layer(rows, root, RAW, "rental", mode="append", batches=[f"drop-{number}"])
+    return read_layer(spark, root, RAW, "rental")
+
+
 def query_to_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "query")
     register_functions(spark)
@@ -185,6 +196,15 @@ def weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly_returned(ShopTables(spark, sf_dir)["rental"])
 
 
+def _bucketed(target: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = _with_access(spark, sf_dir, "buckets")
+        store_buckets(spark, root, number=8)
+        return stage_in_buckets(target, bucketed_tables(spark, root))
+
+    return query
+
+
 # --- layers and pipelines --------------------------------------------------------------------------------------
 
 
@@ -309,6 +329,35 @@ def layers_to_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"), upto=ACCESS)
 
 
+def rankings_after_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All six rankings, kept current over three batches of rentals and payments."""
+    facts = {"rental": "rental_id", "payment": "payment_id"}
+    root, shop = scratch_folder(spark, "batches"), ShopTables(spark, sf_dir)
+    store_tables(spark, lambda table: project(table, shop[table], QUALITY_RULES), root, ACCESS, [t for t in TABLES if t not in facts])
+    for number in range(3):
+        for fact, key in facts.items():
+            add_batch(shop[fact].where(F.col(key) % 3 == number), root, fact, f"batch-{number}")
+        refresh_rankings(spark, root)
+    return _business_rows(spark, root)
+
+
+def load_with_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rentals by staff, loaded from files whose staff is a word in every seventh rental, and the lines that were set aside."""
+    root, rental = scratch_folder(spark, "bad-lines"), ShopTables(spark, sf_dir)["rental"]
+    staff = F.when(F.col("rental_id") % 7 == 0, F.lit("nobody")).otherwise(F.col("staff_id").cast("string"))
+    export_csv(rental.withColumn("staff_id", staff), f"{root}/landing/rental")
+    load_raw(spark, f"{root}/landing", root, ["rental"], quarantine=True)
+    return _loaded_and_rejected(read_layer(spark, root, RAW, "rental"), read_layer(spark, root, RAW, rejected_of("rental")))
+
+
+def _loaded_and_rejected(loaded: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Rentals by place and copy; of a rejected line, its first and third field."""
+    fields = F.split("line", ",")
+    return loaded.select(F.lit("loaded").alias("place"), "rental_id", "inventory_id").unionAll(
+        rejected.select(F.lit("rejected"), fields[0].cast("long"), fields[2].cast("long"))
+    )
+
+
 def append_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_folder(spark, "weekly")
     export_csv(ShopTables(spark, sf_dir)["rental"], f"{root}/landing/rental")
@@ -360,6 +409,20 @@ def ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows("archive", f"{root}/loaded").unionAll(rows("folder", f"{root}/drops"))
 
 
+def ingest_with_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three drops, of which the second has malformed lines: they are listed, everything else is loaded."""
+    root, rental = scratch_folder(spark, "bad-file"), ShopTables(spark, sf_dir)["rental"]
+    for number in range(3):
+        rows = rental.where(F.col("rental_id") % 3 == number)
+        if number == 1:
+            bad = F.when(F.col("rental_id") % 5 == 0, F.lit("not a number")).otherwise(F.col("staff_id").cast("string"))
+            rows = rows.withColumn("staff_id", bad)
+        export_csv(rows, f"{root}/drops/{number}")
+        run = ingest_new_files(spark, f"{root}/drops/*", root, SCHEMAS["rental"], f"{root}/checkpoint")
+        run.awaitTermination()
+    return _loaded_and_rejected(read_ingested(spark, root), read_rejected(spark, root))
+
+
 def ingest_summary_catches_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The summary after a run without one and a run with one."""
     root = scratch_folder(spark, "late-summary")
@@ -368,9 +431,9 @@ def ingest_summary_catches_up(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ingest_two_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The summaries of two tables that are ingested side by side."""
+    """The summaries of two tables that are ingested side by side: all rentals, by rental date and by return date."""
     root, rental = scratch_folder(spark, "two"), ShopTables(spark, sf_dir)["rental"]
-    parts = {"one": rental, "two": rental.where("staff_id % 5 = 0")}
+    parts = {"one": rental, "two": rental.withColumn("rental_date", F.col("return_date"))}
     for table, rows in parts.items():
         export_csv(rows, f"{root}/landing/{table}")
         run = ingest_new_files(spark, f"{root}/landing/{table}", root, SCHEMAS["rental"], f"{root}/checkpoint-{table}", table=table)
@@ -430,6 +493,7 @@ def shop_queries() -> dict[str, Query]:
     named |= {f"stage_{target.lower()}": _staged(target) for target in STAGES}
     named |= {f"stage_{t.lower()}_shuffled": _staged(t, **SHUFFLED) for t in ("Top_Actor", "Top_City")}
     named |= {f"{t.lower()}_salted": _ranked(t, **SALTED) for t in ("Top_Actor", "Top_Category")}
+    named |= {f"stage_{t.lower()}_bucketed": _bucketed(t) for t in ("Top_Actor", "Top_Category")}
     named |= {f"access_{table}": _from_access(table) for table in ("film", "address", "staff")}
     named["weekly_returned"] = weekly
     plain = (
@@ -438,6 +502,7 @@ def shop_queries() -> dict[str, Query]:
         layer_quality, layer_access, layer_staging, layer_business, layer_business_direct, layers_end_to_end,
         layers_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive, ingest_two_tables,
         ingest_summary_catches_up, weekly_beside_pipeline, land_types, sql_nested,
+        append_once, rankings_after_batches, load_with_bad_lines, ingest_with_bad_file,
     )
     return named | {query.__name__: query for query in plain}
 
@@ -447,6 +512,7 @@ def shop_sql() -> dict[str, str]:
     sql |= {f"{target.lower()}_from_stage": oracle.ranking(target) for target in RANKINGS}
     sql |= {f"stage_{target.lower()}": oracle.stage(target) for target in STAGES}
     sql |= {f"stage_{t.lower()}_shuffled": oracle.stage(t) for t in ("Top_Actor", "Top_City")}
+    sql |= {f"stage_{t.lower()}_bucketed": oracle.stage(t) for t in ("Top_Actor", "Top_Category")}
     sql |= {f"{t.lower()}_salted": oracle.ranking(t) for t in ("Top_Actor", "Top_Category")}
     rentals, weekly_counts = oracle.whole_table("rental"), oracle.over_shop(oracle.WEEKLY)
     business = oracle.over_shop(
@@ -463,6 +529,14 @@ def shop_sql() -> dict[str, str]:
         "scan_layer": oracle.whole_table("inventory"),
         "write_overwrite": oracle.over_shop("SELECT payment_id, customer_id, rental_id FROM f_payment"),
         "write_append": oracle.over_shop("SELECT * FROM f_rental UNION ALL SELECT * FROM f_rental"),
+        "append_once": rentals,
+        "rankings_after_batches": business,
+        "load_with_bad_lines": oracle.over_shop(
+            "SELECT CASE WHEN rental_id % 7 = 0 THEN 'rejected' ELSE 'loaded' END AS place, rental_id, inventory_id FROM f_rental"
+        ),
+        "ingest_with_bad_file": oracle.over_shop(
+            "SELECT CASE WHEN rental_id % 15 = 10 THEN 'rejected' ELSE 'loaded' END AS place, rental_id, inventory_id FROM f_rental"
+        ),
         "query_to_table": weekly_counts,
         "promote_identity": rentals,
         "promote_address": oracle.over_shop(
@@ -523,7 +597,7 @@ def shop_sql() -> dict[str, str]:
         "ingest_summary_catches_up": weekly_counts,
         "ingest_two_tables": oracle.over_shop(
             f"SELECT 'one' AS \"table\", week, total FROM ({oracle.WEEKLY}) AS a UNION ALL SELECT 'two', week, total FROM "
-            f"({oracle.WEEKLY.replace('FROM f_rental', 'FROM (SELECT * FROM f_rental WHERE staff_id % 5 = 0) AS f')}) AS b"
+            f"({oracle.WEEKLY.replace('FROM f_rental', 'FROM (SELECT * REPLACE (return_date AS rental_date) FROM f_rental) AS f')}) AS b"
         ),
         "weekly_beside_pipeline": oracle.over_shop(
             f"SELECT 'summary' AS of, week, total FROM ({oracle.WEEKLY}) AS a "
