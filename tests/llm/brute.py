@@ -117,3 +117,97 @@ def prefix_trie(turns):
         (ms[0], len(p), under[p[:-1]][0] if p else None, len(ms), children[p], leaves[p], saved[p], hashlib.sha256(ends[p].encode()).hexdigest())
         for p, ms in under.items()
     }
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def divergence(docs, least=30, most=50):
+    """The rows of the audit of (text, lang, source) documents, every source compared with every other term by term."""
+    docs = [tuple(x or "" for x in doc) for doc in docs]
+    counts, seen = defaultdict(Counter), defaultdict(Counter)
+    for text, lang, source in docs:
+        found = TERM.findall(text.translate(LOWER))
+        counts[lang, source].update(found)
+        seen[lang].update(set(found))
+    result = set()
+    for lang in seen:
+        kept = [t for t, n in seen[lang].items() if n >= least]
+        sources = sorted({s for _, g, s in docs if g == lang}, key=str.encode)
+
+        def shares(own):
+            total = sum(own[t] for t in kept) + 5 * len(kept)
+            return {t: 1 + 10**9 * (own[t] + 5) // total for t in kept}
+
+        p = {s: shares(counts[lang, s]) for s in sources}
+        q = shares(sum((counts[lang, s] for s in sources), Counter()))
+        for s in sources:
+            pairs = [(o, sum(abs(p[s][t] - p[o][t]) for t in kept)) for o in sources if o != s]
+            terms = [(t, p[s][t] - q[t]) for t in kept if counts[lang, s][t] and p[s][t] > q[t]]
+            for part, items, limit in (("pair", pairs, len(pairs)), ("term", terms, most)):
+                ranked = sorted(items, key=lambda x: (-x[1], x[0].encode()))[:limit]
+                result |= {(lang, s, part, item, value, k) for k, (item, value) in enumerate(ranked, 1)}
+    return result
+
+
+LICENSE_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def license_words(text):
+    return LICENSE_WORD.findall((text or "").translate(LOWER))
+
+
+def phrase_places(text, phrases):
+    """label -> starts of all places where a phrase's words stand consecutively."""
+    found = license_words(text)
+    places = defaultdict(list)
+    for label, phrase in phrases:
+        own = phrase.split()
+        for k in range(len(found) - len(own) + 1):
+            if found[k : k + len(own)] == own:
+                places[label].append(k)
+    return places
+
+
+def license_chains(text, templates, least_words, least_covered, most_gap):
+    """Spans (label, start, end, covered) of chained long matches, and the best share, by comparing all substrings."""
+    found = license_words(text)
+    coded = [license_words(t.text) for t in templates]
+    inside = {tuple(c[i:j]) for c in coded for i in range(len(c)) for j in range(i + 1, len(c) + 1)}
+    reach = []
+    for end in range(1, len(found) + 1):
+        reach.append(max((n for n in range(end + 1) if n == 0 or tuple(found[end - n : end]) in inside), default=0))
+    spans, best = [], 0.0
+    for k, (template, own) in enumerate(zip(templates, coded)):
+        if template.phrase:
+            continue
+        chains = []
+        for end, n in enumerate(reach, 1):
+            if n < least_words or (end < len(found) and reach[end] == n + 1):
+                continue
+            for high in range(n, len(own) + 1):
+                if own[high - n : high] != found[end - n : end]:
+                    continue
+                start, low, most, onto = end - n, high - n, n, None
+                for c in chains:
+                    near = start - c["end"] <= most_gap and low - c["high"] <= most_gap
+                    if near and c["end"] < end and c["high"] < high:
+                        covered = c["covered"] + n - max(0, c["end"] - start, c["high"] - low)
+                        if covered > max(most, c["covered"]):
+                            most, onto = covered, c
+                if onto:
+                    onto["extended"] = True
+                chains.append({"start": onto["start"] if onto else start, "end": end, "high": high, "covered": most, "extended": False})
+        kept = []
+        for c in [c for c in chains if not c["extended"]]:
+            best = max(best, c["covered"] / len(own))
+            if c["covered"] < least_covered * len(own):
+                continue
+            if kept and c["start"] < kept[-1][1]:
+                if c["covered"] > kept[-1][2]:
+                    kept[-1] = (c["start"], c["end"], c["covered"])
+            else:
+                kept.append((c["start"], c["end"], c["covered"]))
+        spans += [(s, e, n, k) for s, e, n in kept]
+    outer = [x for x in spans if not any(y[0] <= x[0] and y[1] >= x[1] and y[2] > x[2] for y in spans)]
+    return sorted((templates[k].label, s, e, n / len(coded[k])) for s, e, n, k in outer), best

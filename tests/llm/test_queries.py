@@ -30,7 +30,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_are_registered():
     named = driver.queries()
-    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert "pipeline" in named and set(queries.QUERIES) < set(named)
 
 
