@@ -1,16 +1,18 @@
 """Chat formatting: records of any known layout become canonical turns, and turns become one training text.
 
-A record's layout is recognised by a fingerprint: the SHA-256 of its sorted nested field paths with their types.
-Each fingerprint selects a declarative mapping, a SQL expression that yields the canonical turns
-``array<struct<role string, text string>>``; a layout nobody has declared is an error that names its paths.
-Layouts stored as rows per turn are gathered into messages first. Everything is built-in functions.
+A record's layout is recognised by a fingerprint: the SHA-256 of its sorted nested field paths with their types, of all paths that any
+layout declares. Each fingerprint selects a declarative mapping, a SQL expression that yields the canonical turns
+``array<struct<role string, text string>>``. A record with the fields of two layouts has neither's fingerprint, so nothing of it is
+lost silently: it is an error that names the paths, as is a layout nobody has declared. A layout stored as rows per turn is
+gathered into a record with rows first and mapped then. Everything is built-in functions.
 
 The template marks a turn as ``<|role|>text<|end|>``. ``&`` and ``<`` inside roles and texts are written as
 entities, so no text can hold a mark or any other control string that starts with ``<``; square-bracket control
 strings are broken up the same way. Formatting is undone exactly by :func:`read_back`.
 
 Null roles and texts are read as empty; a conversation without turns is the empty text. Turns are ordered by
-turn number (null first), then role and text, so repeated turn numbers have a defined order.
+turn number (null first), then role and text, so repeated turn numbers have a defined order. Rows per turn whose conv_id is null
+are one conversation. A conversation is one row of the result, so it is gathered in one task.
 """
 
 from __future__ import annotations
@@ -67,24 +69,30 @@ LAYOUTS: dict[str, tuple[list[str], str]] = {
                  f"{_single(('user', 'question'), ('assistant', 'response'))})"),
 }
 ROWS_PER_TURN = ["role:string", "text:string", "turn:bigint"]
+GATHERED = ["rows[].turn:bigint", "rows[].role:string", "rows[].text:string"]
 MAPPINGS = {fingerprint(paths): mapping for paths, mapping in LAYOUTS.values()}
+MAPPINGS[fingerprint(GATHERED)] = _renamed("rows", "role", "text")
+DECLARED = {p for paths, _ in LAYOUTS.values() for p in paths} | set(ROWS_PER_TURN) | set(GATHERED)
+
+
+def _gathered(rows: DataFrame, key: str) -> DataFrame:
+    """Rows per turn as one record per conversation, in the order of the turns."""
+    turn = F.struct("turn", *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")))
+    return rows.groupBy(key).agg(F.array_sort(F.collect_list(turn)).alias("rows"))
 
 
 def canonical_turns(records: DataFrame, key: str = "conv_id") -> DataFrame:
     """``key`` and ``turns`` of records in any declared layout, recognised by fingerprint.
 
-    Columns that no layout declares are ignored if the remaining paths match one layout exactly.
+    Columns that no layout declares are ignored.
     """
     paths = [p for f in records.schema.fields if f.name != key for p in field_paths(f.dataType, f.name)]
-    if fingerprint([p for p in paths if p in ROWS_PER_TURN]) == fingerprint(ROWS_PER_TURN):
-        turn = F.struct("turn", *(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("role", "text")))
-        gathered = records.groupBy(key).agg(F.array_sort(F.collect_list(turn)).alias("rows"))
-        return gathered.select(key, F.expr("transform(rows, r -> named_struct('role', r.role, 'text', r.text))").alias("turns"))
-    declared = [[p for p in paths if p in layout] for layout, _ in LAYOUTS.values()]
-    for chosen in declared:
-        if chosen and (mapping := MAPPINGS.get(fingerprint(chosen))):
-            return records.select(key, F.expr(mapping).cast(TURNS).alias("turns"))
-    raise ValueError(f"no mapping for the layout {sorted(paths)}")
+    known = fingerprint([p for p in paths if p in DECLARED])
+    if known == fingerprint(ROWS_PER_TURN):
+        records, known = _gathered(records, key), fingerprint(GATHERED)
+    if known not in MAPPINGS:
+        raise ValueError(f"no mapping for the layout {sorted(paths)}")
+    return records.select(key, F.expr(MAPPINGS[known]).cast(TURNS).alias("turns"))
 
 
 def _escaped(text: Column) -> Column:
