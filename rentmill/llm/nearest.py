@@ -7,7 +7,8 @@ not above the k-th smallest upper bound (or the k-th distance found so far), so
 original vectors. The result is exact. Every task keeps a heap of k per query over its tiles, and the heaps are merged.
 
 Queries are blocks that are sent to every group of candidate blocks: a fixed query set against all rows, in blocks.
-Within a candidate block identical vectors keep the ``k + 1`` smallest ids, since no more of them can be in a result.
+Within a candidate block identical vectors keep the ``k + 1`` smallest distinct ids and ``k + 1`` rows of each, since no more of them
+can be in a result, one id being the query's own.
 
 Vectors that are null, empty, all zero, or hold a null or non-finite component take no part, nor do rows with a null id.
 Vectors of different dimensions do not meet. Rows that share a query's id are its own; a query id with several vectors
@@ -48,7 +49,7 @@ def _quantised(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def to_blocks(vectors: DataFrame, rows: int, copies: int | None = None) -> DataFrame:
-    """Blocks of up to ``rows`` vectors of one dimension; of identical vectors ``copies`` with the smallest ids."""
+    """Blocks of up to ``rows`` vectors of one dimension; of identical vectors the ``copies`` smallest ids, with as many rows of each."""
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,9 +63,12 @@ def to_blocks(vectors: DataFrame, rows: int, copies: int | None = None) -> DataF
                     if copies is not None:
                         _, same = np.unique(flat.view(f"V{8 * size}").ravel(), return_inverse=True)
                         order = np.lexsort((ids, same))
-                        first = np.flatnonzero(np.r_[True, np.diff(same[order]) != 0])
-                        place = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
-                        kept = np.sort(order[place < copies])
+                        other = np.r_[True, np.diff(same[order]) != 0]
+                        new = other | np.r_[True, np.diff(ids[order]) != 0]
+                        number = np.cumsum(new) - 1  # of the vector and id
+                        of_vector = number - np.maximum.accumulate(np.where(other, number, 0))
+                        row_of_id = np.arange(len(order)) - np.flatnonzero(new)[number]
+                        kept = np.sort(order[(of_vector < copies) & (row_of_id < copies)])
                         ids, flat = ids[kept], flat[kept]
                     codes, scales, lost = _quantised(flat)
                     columns = [x.tobytes() for x in (ids, flat, codes, scales, lost)]
