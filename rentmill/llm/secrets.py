@@ -45,7 +45,8 @@ ADDED_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     Rule("google", r"AIza[A-Za-z0-9_-]+", 39),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.([A-Za-z0-9_-]+)", 8, 1),
+    # The first run is bounded: base64 text may hold "eyJ" anywhere, and each would be read to the end of its run.
+    Rule("jwt", r"eyJ[A-Za-z0-9_-]{1,400}\.[A-Za-z0-9_-]+\.([A-Za-z0-9_-]+)", 8, 1),
     Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
 )
 SPANS = "spans array<struct<kind:string,start:int,end:int>>"
