@@ -101,10 +101,12 @@ def drop_copies(docs: DataFrame, *, most_cells: int = MOST_CELLS) -> DataFrame:
     digests = stored(docs.select(normalised_digest().alias("sha")), "digests")
     words, cells = repeated_cells(digests, "sha", digests.count(), most_cells)
     words = stored(words, "filter")
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), normalised_digest().alias("sha"))
+    whole = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), normalised_digest().alias("sha"), F.monotonically_increasing_id().alias("place")
+    )
     flagged = flag_possible_copies(whole, "sha", words, cells, "maybe")
     order = F.struct(
-        -F.char_length(F.coalesce(F.col("row.text"), F.lit(""))), F.col("row.doc_id").isNull(), F.col("row.doc_id")
+        -F.char_length(F.coalesce(F.col("row.text"), F.lit(""))), F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("place")
     )
     stays = flagged.where("maybe").groupBy("sha").agg(F.min_by("row", order).alias("row"))
     return flagged.where(~F.col("maybe")).select("row.*").unionByName(stays.select("row.*"))
