@@ -18,7 +18,6 @@ Without training rows every text is ``und``.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -41,10 +40,15 @@ CUTS = [n << k for k in range(8) for n in (3, 4)]
 UNKNOWN = "und"
 BLOCK_ROWS = 512
 BLOCK_BYTES = 1 << 20
+STRETCH_BYTES = 1 << 20
 SPACE = 32
 SPACED = np.arange(256, dtype=np.uint8)
 SPACED[[b for b in range(128) if not chr(b).isalpha()]] = SPACE
-LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode's category of letters; numerals such as ``½`` or ``Ⅷ`` are none."""
+    return any(map(str.isalpha, text))
 
 
 @dataclass(frozen=True)
@@ -62,21 +66,26 @@ def gram_counts(column: pa.Array) -> np.ndarray:
     flat = SPACED[flat]
     kept = np.ones(len(flat), bool)
     kept[1:] = (flat[1:] != SPACE) | (flat[:-1] != SPACE)
-    starts = np.concatenate([[0], np.cumsum(kept)])[starts]
+    sizes = np.array([np.count_nonzero(kept[a:b]) for a, b in zip(starts[:-1], starts[1:])], np.int64)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
     flat = flat[kept]
-    rows, sizes = len(starts) - 1, np.diff(starts)
-    row = np.repeat(np.arange(rows, dtype=np.int64) * DIMENSIONS, sizes)
-    low = flat.astype(np.uint32)
+    rows = len(sizes)
     counts = np.zeros(rows * DIMENSIONS, np.int64)
-    left = np.repeat(starts[1:], sizes) - np.arange(len(flat))  # bytes from here to the end of the text
-    code = np.zeros(len(flat), np.uint32)
-    for n in (1, 2, 3):
-        if len(flat) < n:
-            break
-        code = (code[: len(flat) - n + 1] << 8) | low[n - 1 :]
-        hashed = ((code + np.uint32(n << 24)) * np.uint32(2654435761)) >> np.uint32(20)
-        inside = left[: len(code)] >= n
-        counts += np.bincount((row[: len(code)] + hashed)[inside], minlength=len(counts))
+    for at in range(0, len(flat), STRETCH_BYTES):  # a stretch at a time: a very long text is counted, not held several times
+        stop = min(at + STRETCH_BYTES, len(flat))
+        low = flat[at : stop + 2].astype(np.uint32)
+        place = np.arange(at, stop)
+        row = np.searchsorted(starts, place, side="right") - 1
+        left, row = starts[row + 1] - place, row * DIMENSIONS
+        code = np.zeros(len(low), np.uint32)
+        for n in (1, 2, 3):
+            if len(low) < n:
+                break
+            code = (code[: len(low) - n + 1] << 8) | low[n - 1 :]
+            own = code[: stop - at]
+            hashed = ((own + np.uint32(n << 24)) * np.uint32(2654435761)) >> np.uint32(20)
+            inside = left[: len(own)] >= n
+            counts += np.bincount((row[: len(own)] + hashed)[inside], minlength=len(counts))
     return counts.reshape(rows, DIMENSIONS)
 
 
@@ -109,7 +118,7 @@ def _limits(counts: np.ndarray, starts: list[str], weights: np.ndarray) -> np.nd
     for k in range(min(FOLDS, len(counts)) if len(counts) > 1 else 0):
         centres = _clusters(_vectors(counts[fold != k], weights))
         held = [starts[i] for i in np.flatnonzero(fold == k)]
-        cut = [gram_counts(pa.array(texts)) for n in CUTS if (texts := [t[:n] for t in held if len(t) > n and LETTER.search(t[:n])])]
+        cut = [gram_counts(pa.array(texts)) for n in CUTS if (texts := [t[:n] for t in held if len(t) > n and has_letter(t[:n])])]
         for own in [counts[fold == k], *cut]:
             lengths.append(_lengths(own))
             cosines.append((_vectors(own, weights) @ centres.T).max(axis=1))
@@ -184,7 +193,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 nearest = np.argmax(cosines, axis=1)
                 limits = known.limits[known.owner[nearest], _lengths(counts)]
             for k, text in enumerate(texts):
-                if not text or not len(known.centroids) or not LETTER.search(text):
+                if not text or not len(known.centroids) or not has_letter(text):
                     names.append(UNKNOWN), scores.append(0.0), rejected.append(True)
                     continue
                 best = int(nearest[k])
@@ -214,7 +223,7 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
             nearest = np.argmax(cosines, axis=1)
             scores = np.clip(cosines[np.arange(len(nearest)), nearest].astype(np.float64), 0, 1)
             good = scores >= known.limits[known.owner[nearest], _lengths(counts)]
-            letters = [bool(text and LETTER.search(text)) for text in block.column("text").to_pylist()]
+            letters = [bool(text and has_letter(text)) for text in block.column("text").to_pylist()]
             yield block.filter(pa.array(good & np.array(letters)))
 
     return docs.mapInArrow(accept, docs.schema)

@@ -11,6 +11,7 @@ from functools import lru_cache
 import numpy as np
 
 WORDS = 5
+STRETCH_BITS = 21
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _BASE, _INVERSE = 0x5851F42D4C957F2D, pow(0x5851F42D4C957F2D, -1, 1 << 64)
 _STEPS = [np.uint64(pow(0xD6E8FEB86659FD93, k + 1, 1 << 64)) for k in range(WORDS)]
@@ -41,22 +42,46 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     return made[0], made[1]
 
 
-def word_hashes(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash per word of all texts, and the number of the first word of each text (one more entry than texts)."""
+def _words(flat: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where the words of a stretch begin and end, and of each the sum that its hash is made from; a text begins at each of ``edges``."""
     inside = ~SPACES[flat]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
-    edges = starts[:-1][starts[:-1] < starts[1:]]
     begins[edges] = inside[edges]
     ends = inside.copy()
     ends[:-1] &= ~inside[1:]
-    ends[edges[1:] - 1] = inside[edges[1:] - 1]
+    before = edges[edges > 0] - 1
+    ends[before] = inside[before]
     first, last = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    up, down = _powers(max(16, int(len(flat)).bit_length()))
+    up, down = _powers(16 if len(flat) < 1 << 16 else STRETCH_BITS)
     sums = np.zeros(len(flat) + 1, np.uint64)
     np.cumsum(VALUES[LOWER[flat]] * up[: len(flat)], out=sums[1:])
-    hashes = mixed((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64) * _ODD)
-    return hashes, np.searchsorted(first, starts)
+    return first, last, (sums[last] - sums[first]) * down[first]
+
+
+def word_hashes(flat: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash per word of all texts, and the number of the first word of each text (one more entry than texts).
+
+    Bytes are read a stretch at a time, so a very long text takes memory for its words and not for all its bytes at once.
+    """
+    edges = starts[:-1][starts[:-1] < starts[1:]]
+    firsts, lengths, sums = ([np.zeros(0, kind)] for kind in (np.int64, np.int64, np.uint64))
+    for at in range(0, len(flat), 1 << STRETCH_BITS):
+        own = edges[np.searchsorted(edges, at) : np.searchsorted(edges, at + (1 << STRETCH_BITS))] - at
+        first, last, total = _words(flat[at : at + (1 << STRETCH_BITS)], own)
+        length = last - first
+        goes_on = at and not SPACES[flat[at - 1]] and len(first) and first[0] == 0 and not (len(own) and own[0] == 0)
+        if goes_on:  # the word that the stretch before ended in
+            power = np.array([pow(_BASE, int(lengths[-1][-1]), 1 << 64)], np.uint64)
+            sums[-1][-1:] += total[:1] * power
+            lengths[-1][-1] += length[0]
+            first, length, total = first[1:], length[1:], total[1:]
+        if len(first):
+            firsts.append(first + at)
+            lengths.append(length)
+            sums.append(total)
+    first, length, total = (np.concatenate(x) for x in (firsts, lengths, sums))
+    return mixed(total + length.astype(np.uint64) * _ODD), np.searchsorted(first, starts)
 
 
 def shingle_sets(flat: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:

@@ -25,6 +25,7 @@ from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.tables import bounded_sample, stored
 
 CELL_BITS = 18
+STRETCH_BYTES = 1 << 20
 SIZES = (3, 4, 5)
 MOST_TRAINING_ROWS = 20_000
 FEATURES = 2048
@@ -43,24 +44,31 @@ class Model:
 
 
 def gram_cells(column: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and cell of every n-gram of the texts, each once per text; only ``wanted`` cells if given."""
+    """Row number and cell of every n-gram of the texts, each once per text; only ``wanted`` cells if given.
+
+    N-grams are made a stretch of bytes at a time, so a very long text takes memory for its distinct n-grams and not for all.
+    """
     flat, starts = utf8_bytes(pc.utf8_lower(column))
-    sizes = np.diff(starts)
-    row = np.repeat(np.arange(len(sizes), dtype=np.uint64), sizes)
-    left = np.repeat(starts[1:], sizes) - np.arange(len(flat))
-    low, found = flat.astype(np.uint64), []
-    code = np.zeros(len(flat), np.uint64)
-    for n in range(1, max(SIZES) + 1):
-        if len(flat) < n:
-            break
-        code = (code[: len(flat) - n + 1] << np.uint64(8)) | low[n - 1 :]
-        if n in SIZES:
-            cell = ((code + np.uint64(n << 48)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELL_BITS)
-            inside = left[: len(code)] >= n
-            if wanted is not None:
-                inside &= wanted[cell]
-            found.append(((row[: len(code)] << np.uint64(CELL_BITS)) | cell)[inside])
-    return _split(np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64))
+    found = [np.zeros(0, np.uint64)]
+    for at in range(0, len(flat), STRETCH_BYTES):
+        stop = min(at + STRETCH_BYTES, len(flat))
+        low = flat[at : stop + max(SIZES) - 1].astype(np.uint64)
+        place = np.arange(at, stop)
+        row = np.searchsorted(starts, place, side="right") - 1
+        left, row = starts[row + 1] - place, row.astype(np.uint64)
+        code = np.zeros(len(low), np.uint64)
+        for n in range(1, max(SIZES) + 1):
+            if len(low) < n:
+                break
+            code = (code[: len(low) - n + 1] << np.uint64(8)) | low[n - 1 :]
+            if n in SIZES:
+                own = code[: stop - at]
+                cell = ((own + np.uint64(n << 48)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - CELL_BITS)
+                inside = left[: len(own)] >= n
+                if wanted is not None:
+                    inside &= wanted[cell]
+                found.append(np.unique(((row[: len(own)] << np.uint64(CELL_BITS)) | cell)[inside]))
+    return _split(np.unique(np.concatenate(found)))
 
 
 def _split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
