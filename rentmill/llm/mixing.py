@@ -13,7 +13,8 @@ is a water level over the sources sorted by size per weight.
 Rounding: within a source the expected copies are accumulated by size and rounded, so the error in tokens stays
 under one largest document. What is missing is then added or removed in copies, as many as fit from the largest size down, and
 where none fits in one copy of the size that brings the source closest, until no copy brings it closer.
-Documents of one size are told apart by a hash of the id, in slices, so that no source or size is ranked in one task.
+Documents of one source and size are told apart by a hash of the id, in slices of about ``SLICE_ROWS`` where they are many, so
+that no source or size is ranked in one task. Running sums go over a source's distinct sizes and slices.
 
 Null texts have size 0; documents of size 0 are taken once and change nothing. Equal documents with one doc_id may
 trade copies among each other; sums are the same. The same input gives the same result.
@@ -27,18 +28,24 @@ from pyspark.sql import functions as F
 from rentmill.llm.tables import WORD, stored, text_of
 
 MOST = 3
-SLICES = 32
+SLICE_ROWS = 1 << 20
 MOST_ITERATIONS = 60
 TOLERANCE = 1e-9
 CELL = ["source", "size", "slice", "docs", "source_size", "target", "rate", "copies"]
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words, and the slice of the document's id."""
-    return docs.select(
-        "doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).alias("slice"),
-    )
+def sized(docs: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """doc_id, source, size in words, and the slice of the document's id among those of its source and size.
+
+    Only a source and size of more than ``slice_rows`` documents has several slices, as many as keep each at about that number. At most
+    rows / ``slice_rows`` sources and sizes are that common, so the list of them is short.
+    """
+    sizes = stored(docs.select("doc_id", "source", F.regexp_count(text_of(), F.lit(WORD)).cast("long").alias("size")), "sizes")
+    slices = F.ceil(F.count(F.lit(1)) / slice_rows).alias("slices")
+    common = sizes.groupBy(F.col("source").alias("common_source"), F.col("size").alias("common_size")).agg(slices).where("slices > 1")
+    same = F.col("source").eqNullSafe(F.col("common_source")) & (F.col("size") == F.col("common_size"))
+    slice_of = F.when(F.col("slices").isNotNull(), F.pmod(F.xxhash64("doc_id"), F.col("slices"))).otherwise(0)
+    return sizes.join(common, same, "left").select("doc_id", "source", "size", slice_of.alias("slice"))
 
 
 def source_targets(cells: DataFrame, most: float = MOST) -> DataFrame:
@@ -84,7 +91,7 @@ def solve_tilts(cells: DataFrame, targets: DataFrame, most: float = MOST) -> Dat
     )
     state = stored(state, "tilts")
     for _ in range(MOST_ITERATIONS):
-        joined = cells.join(F.broadcast(state), cells["source"].eqNullSafe(state["source"])).drop(cells["source"])
+        joined = cells.join(state, cells["source"].eqNullSafe(state["source"])).drop(cells["source"])
         rate = _rate(most)
         slope = F.when(rate < most, tokens * rate * F.col("size") / F.col("scale")).otherwise(0.0)
         moments = joined.groupBy(state.columns).agg(F.sum(tokens * rate).alias("mass"), F.sum(slope).alias("slope"))
@@ -129,14 +136,14 @@ def _corrected(cells: DataFrame, most: int) -> DataFrame:
     return stepped.withColumn("copies", F.col("copies") + F.signum("missing").cast("long") * F.col("step")).select(*CELL, (F.col("step") > 0).alias("moved"))
 
 
-def mix(docs: DataFrame, most: int = MOST) -> DataFrame:
+def mix(docs: DataFrame, most: int = MOST, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """doc_id, size, source_size, target, taken, source, rate and copies of every document."""
-    sizes = stored(sized(docs), "sizes")
+    sizes = stored(sized(docs, slice_rows), "slices")
     cells = stored(sizes.groupBy("source", "size", "slice").agg(F.count(F.lit(1)).alias("docs")), "cells")
     histogram = stored(cells.groupBy("source", "size").agg(F.sum("docs").alias("docs")), "histogram")
     targets = stored(source_targets(histogram, most), "targets")
     tilts = solve_tilts(histogram, targets, most)
-    rated = cells.join(F.broadcast(tilts), cells["source"].eqNullSafe(tilts["source"])).drop(tilts["source"])
+    rated = cells.join(tilts, cells["source"].eqNullSafe(tilts["source"])).drop(tilts["source"])
     rated = rated.select("*", F.when(F.col("size") == 0, 1.0).otherwise(_rate(most)).alias("rate"))
     upto = Window.partitionBy("source").orderBy("size", "slice").rowsBetween(Window.unboundedPreceding, 0)
     # Rounding at a fixed place of every source: what is taken is the step between two rounded running sums.
