@@ -11,8 +11,8 @@ fewer than ``LEAST_VALUES`` were measured the limit for shorter texts holds, and
 rejected. A text without letters (or null) is ``und`` and rejected.
 
 Document frequencies are counted over all training rows, in tasks, into one fixed number of dimensions. Centroids are
-fitted on at most about ``SAMPLE_PER_LANGUAGE`` training rows of each language, a documented bound on what the driver
-gathers; rows are chosen by a hash of their id. The model is broadcast: dimensions times centroids, whatever the input.
+fitted on at most about ``SAMPLE_PER_LANGUAGE`` training rows of each language and ``MOST_ROWS`` in all, a documented bound on what
+the driver gathers; rows are chosen by a hash of their id. The model is broadcast: dimensions times centroids, whatever the input.
 Without training rows every text is ``und``.
 """
 
@@ -31,6 +31,7 @@ from rentmill.llm.blocks import text_blocks, utf8_bytes
 
 DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 400
+MOST_ROWS = 12_000
 CENTROIDS = 4
 ROUNDS = 12
 REJECT_SHARE = 0.8
@@ -129,8 +130,12 @@ def _limits(counts: np.ndarray, starts: list[str], weights: np.ndarray) -> np.nd
     return limits
 
 
-def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
-    """A model from the columns doc_id, text and lang; rows without text or lang teach nothing."""
+def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model:
+    """A model from the columns doc_id, text and lang; rows without text or lang teach nothing.
+
+    Document frequencies are counted over all rows. Centroids and limits are fitted in the driver on about ``sample_per_language`` rows of
+    each language and ``most_rows`` in all (8 KB of counts a row), fewer of each where there are very many languages.
+    """
     rows = training.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +162,9 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE) ->
     for r in rows.mapInArrow(frequencies, "dimension int, seen long").groupBy("dimension").agg(F.sum("seen").alias("n")).collect():
         seen[r["dimension"]] = r["n"]
     weights = np.log((1 + total) / (1 + seen)).astype(np.float32) + np.float32(0.1)
-    share = F.lit(1.0)
-    for lang, n in sorted(per_language.items()):
-        share = F.when(F.col("lang") == lang, min(1.0, sample_per_language / n)).otherwise(share)
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < share * (1 << 30))
+    bound = min(sample_per_language, max(1, most_rows // len(per_language)))
+    shares = rows.sparkSession.createDataFrame([(lang, min(1.0, bound / n)) for lang, n in sorted(per_language.items())], "lang string, share double")
+    chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
     kind = rows.schema["doc_id"].dataType.simpleString()
     sample = sorted(chosen.mapInArrow(counted, f"doc_id {kind}, lang string, counts binary, begin string").collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["counts"], r["begin"]))
     languages, centroids, owner, limits = sorted(per_language), [], [], []
