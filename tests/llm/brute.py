@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -211,3 +212,39 @@ def license_chains(text, templates, least_words, least_covered, most_gap):
         spans += [(s, e, n, k) for s, e, n in kept]
     outer = [x for x in spans if not any(y[0] <= x[0] and y[1] >= x[1] and y[2] > x[2] for y in spans)]
     return sorted((templates[k].label, s, e, n / len(coded[k])) for s, e, n, k in outer), best
+
+
+def grams(text):
+    """dimension -> count of hashed n-grams of one to three bytes."""
+    data, spaced = text.lower().encode(), bytearray()
+    for byte in data:
+        byte = byte if byte >= 128 or chr(byte).isalpha() else 32
+        if byte != 32 or not spaced or spaced[-1] != 32:
+            spaced.append(byte)
+    found = Counter()
+    for n in (1, 2, 3):
+        for k in range(len(spaced) - n + 1):
+            code = int.from_bytes(spaced[k : k + n], "big") + (n << 24)
+            found[(code * 2654435761 % 2**32) >> 20] += 1
+    return found
+
+
+def vector(counts, idf):
+    raw = {d: (1 + math.log(c)) * idf(d) for d, c in counts.items()}
+    norm = math.sqrt(sum(v * v for v in raw.values())) or 1
+    return {d: v / norm for d, v in raw.items()}
+
+
+def water_level(sizes, most=3):
+    """Targets of a mix by sharing again and again what is over."""
+    weights = {s: k % 3 + 1 for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
+    left, free, target = sum(sizes.values()), set(sizes), {}
+    while free:
+        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
+        over = {s for s in free if share[s] > most * sizes[s]}
+        if not over:
+            return target | share
+        target |= {s: most * sizes[s] for s in over}
+        left -= sum(most * sizes[s] for s in over)
+        free -= over
+    return target

@@ -6,6 +6,7 @@ import hashlib
 import re
 
 import pytest
+from brute import water_level
 
 from rentmill.llm import chat, exact_dedup, mixing, queries
 
@@ -45,21 +46,6 @@ def test_repeated_rows_leave_one(documents):
     assert [r.kept for r in exact_dedup.copy_groups(documents([(1, "a")] * 3)).collect()].count(True) == 1
 
 
-def water_level(sizes, most=3):
-    """Targets by sharing again and again what is over."""
-    weights = {s: k % 3 + 1 for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
-    left, free, target = sum(sizes.values()), set(sizes), {}
-    while free:
-        share = {s: left * weights[s] / sum(weights[x] for x in free) for s in free}
-        over = {s for s in free if share[s] > most * sizes[s]}
-        if not over:
-            return target | share
-        target |= {s: most * sizes[s] for s in over}
-        left -= sum(most * sizes[s] for s in over)
-        free -= over
-    return target
-
-
 def test_mix_reaches_targets(documents):
     rows = [(k, " ".join(["w"] * (k * 7 % 90 + 1)), "en", f"s{k % 7}" if k % 5 else "s0") for k in range(700)]
     rows += [(1000 + k, "tiny words", "en", "z") for k in range(4)] + [(2000, None, "en", None), (2001, "a b c", "en", None), (2002, "", "en", "empty")]

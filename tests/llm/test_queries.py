@@ -1,18 +1,15 @@
-"""Registered queries against SQL, and the pipeline against plain code."""
+"""Registered queries against SQL."""
 
 from __future__ import annotations
 
 import os
 from collections import Counter
 
-import brute
 import duckdb
 import pytest
 
 import __spark_entry__ as driver
-import corpus_pipeline
-from rentmill.llm import mixing, queries
-from rentmill.llm.tables import read_table, stored
+from rentmill.llm import queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -32,24 +29,3 @@ def test_all_are_registered():
     named = driver.queries()
     assert {int(n[2:].split("_")[0]) for n in queries.QUERIES} == set(range(1, 14))
     assert "pipeline" in named and set(queries.QUERIES) < set(named)
-
-
-def test_pipeline_stages(spark):
-    docs = read_table(spark, FOLDER, "documents")
-    texts = {r.doc_id: r.text for r in docs.collect()}
-    kept = [docs]
-    for name, stage in corpus_pipeline.STAGES:
-        kept.append(stored(stage(spark, kept[-1], FOLDER), name))
-        if name != "packing":
-            assert kept[-1].columns == docs.columns
-    ids = [Counter(r.doc_id for r in k.collect()) for k in kept[:5]]
-    assert len(ids[1]) >= 0.98 * len(ids[0])
-    normal = {d: "".join(c for c in texts[d] if c not in " \t\n\x0b\x0c\r") for d in ids[1]}
-    best = {}
-    for d in sorted(normal, key=lambda d: (-len(texts[d]), d)):
-        best.setdefault(normal[d], d)
-    assert ids[2] == Counter(best.values())
-    assert ids[3] == Counter({root for _, root in brute.components([(d, texts[d]) for d in ids[2]]).values()})
-    assert ids[4] == Counter({r.doc_id: r.copies for r in mixing.mix(kept[3]).collect() if r.copies})
-    assert Counter(r.doc_id for r in kept[5].where("start = 0").collect()) == ids[4]
-    assert corpus_pipeline.run(spark, FOLDER).count() == kept[5].count()
