@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rentmill.llm.tables import stored
+from rentmill.llm.tables import discard, stored
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -24,12 +24,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
         low = F.least("a", "low")
         large = both.join(lows, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), low.alias("b"))
         large = stored(large.distinct(), "links")
+        discard(links, lows)
         lows = stored(large.groupBy("a").agg(F.min("b").alias("low")), "lows")
         small = large.join(lows, "a")
         links = stored(
             small.select(F.col("b").alias("a"), F.col("low").alias("b")).unionByName(lows.select("a", F.col("low").alias("b"))).where("a <> b").distinct(),
             "links",
         )
+        discard(large, lows)
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -36,8 +36,10 @@ from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.components import connected_components
+from rentmill.llm.filters import flag_wanted
 from rentmill.llm.shingles import set_id, shingle_sets
-from rentmill.llm.tables import drop_finished_shuffles, stored
+from rentmill.llm.tables import discard, stored, tidy
+from rentmill.operators.views import passed_to
 
 PERCENT = 80
 CELL_BITS = 21
@@ -182,32 +184,36 @@ def _lists(postings: DataFrame) -> DataFrame:
 
 
 def _often_listed(lists: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """The lists without the classes that are in too few of them to have a link."""
-    placed = lists.select("sig", "node").distinct()
+    """(sig, node, hub, n, m): the lists without the classes that are in too few of them, ``m``, to have a link."""
+    placed = stored(lists.select("sig", "node").distinct(), "listed")
     often = placed.groupBy("node").agg(F.count(F.lit(1)).alias("m")).join(sizes, "node").where(F.col("m") >= _needed(percent))
-    kept = stored(placed.join(often.select("node"), "node"), "placed")
+    kept = stored(placed.join(often, "node"), "placed")
     hubs = kept.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
-    return kept.join(hubs.select("sig", "hub"), "sig").select("sig", "node", "hub")
+    whole = stored(kept.join(hubs.select("sig", "hub"), "sig").select("sig", "node", "hub", "n", "m"), "lists")
+    discard(placed, kept)
+    return whole
 
 
-def _light_boundary(lists: DataFrame, sizes: DataFrame) -> int:
-    """Classes with fewer shingles than this are light."""
-    per_class = lists.select("sig", "node").distinct().groupBy("node").agg(F.count(F.lit(1)).alias("m")).join(sizes, "node")
-    saved = per_class.groupBy("n").agg(F.sum(F.col("m") * ROWS_PER_POSTING - F.expr("m * (m - 1) div 2")).alias("saved"))
+def _light_boundary(lists: DataFrame) -> int:
+    """Classes with fewer shingles than this are light.
+
+    A class in ``m`` lists makes ``m * (m - 1) / 2`` rows of pairs, which its ``m`` rows here share.
+    """
+    saved = lists.groupBy("n").agg(F.sum(F.lit(2 * ROWS_PER_POSTING) - (F.col("m") - 1)).alias("saved"))
     upto = saved.select("n", F.sum("saved").over(Window.orderBy("n")).alias("total")).where("total > 0")
     best = upto.agg(F.min_by("n", F.struct(-F.col("total"), F.col("n"))).alias("n")).first()["n"]
     return 0 if best is None else int(best) + 1
 
 
-def candidate_lists(lists: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(sig, node, hub) after light classes have moved from single shingles to pairs of them."""
-    boundary = _light_boundary(lists, sizes)
+def candidate_lists(lists: DataFrame) -> DataFrame:
+    """(sig, node, hub) after light classes have moved from single shingles to pairs of them; no class is twice in a list."""
+    boundary = _light_boundary(lists)
     if not boundary:
-        return lists
-    sized = lists.join(sizes.select("node", (F.col("n") < boundary).alias("light")), "node")
-    heavy = sized.groupBy("sig").agg(F.min("light").alias("only_light"))
-    scanned = sized.join(heavy, "sig").where("NOT only_light").select("sig", "node", "hub")
-    pairs = sized.where("light").groupBy("node").agg(F.array_sort(F.collect_set("sig")).alias("sigs")).select(
+        return lists.select("sig", "node", "hub")
+    light = F.col("n") < boundary
+    heavy = lists.groupBy("sig").agg(F.min(light).alias("only_light")).where("NOT only_light").select("sig")
+    scanned = lists.select("sig", "node", "hub").join(heavy, "sig")
+    pairs = lists.where(light).groupBy("node").agg(F.array_sort(F.collect_list("sig")).alias("sigs")).select(
         "node", F.explode(F.expr("flatten(transform(sigs, (x, i) -> transform(slice(sigs, i + 2, size(sigs)), y -> xxhash64(x, y))))")).alias("sig")
     )
     hubs = pairs.groupBy("sig").agg(F.min("node").alias("hub"), F.max("node").alias("other")).where("hub <> other")
@@ -264,9 +270,9 @@ def _block_links(rows: dict, percent: int) -> set[tuple[int, int]]:
 
 
 def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between classes of one list that are not yet in one component."""
+    """Links (a, b), stored, between classes of one list that are not yet in one component."""
     sizes = stored(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members")), "component-sizes")
-    placed = stored(lists.select("sig", "node").distinct().join(comps, "node").join(sizes, "comp"), "placed")
+    placed = stored(lists.select("sig", "node").join(comps, "node").join(sizes, "comp"), "placed")
     largest = F.max(F.struct("members", "comp"))
     mixed = placed.groupBy("sig").agg(largest.alias("most"), F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
     mixed = stored(mixed.select("sig", F.col("most.comp").alias("key")), "mixed")
@@ -285,45 +291,65 @@ def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent:
                 found = sorted(_block_links({side: batch.column(side)[k].as_py() for side in ("first", "second")}, percent))
                 yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in found], pa.int64()) for s in (0, 1)], ["a", "b"])
 
-    return tiles.mapInArrow(compare, "a long, b long")
+    found = stored(tiles.mapInArrow(compare, "a long, b long"), "links")
+    discard(sizes, placed, mixed, held, parts, blocks)
+    return found
 
 
-def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, shingles) of the classes that ``nodes`` (node, doc_id) names; a doc_id in several rows may give one twice."""
+SET = "node long, n long, shingles binary"
+
+
+def _rebuilt(wanted: str | None):
+    """A task's function from texts to (node, n, shingles), of each row's set or only where it is that of the column ``wanted``."""
 
     def rebuild(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, most_bytes=BLOCK_BYTES):
-            wanted = block.column("node").to_pylist()
-            sets = [(node, s) for node, s in zip(wanted, shingle_sets(*utf8_bytes(block.column("text")))) if set_id(s) == node]
+            sets = [(set_id(s), s) for s in shingle_sets(*utf8_bytes(block.column("text")))]
+            if wanted is None:
+                sets = list(dict(sets).items())
+            else:
+                sets = [own for own, node in zip(sets, block.column(wanted).to_pylist()) if own[0] == node]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([n for n, _ in sets], pa.int64()), pa.array([len(s) for _, s in sets], pa.int64()), pa.array([s.tobytes() for _, s in sets], pa.binary())],
                 ["node", "n", "shingles"],
             )
 
-    made = docs.select("doc_id", "text").join(nodes, "doc_id").select("node", "text")
-    return made.mapInArrow(rebuild, "node long, n long, shingles binary")
+    return rebuild
+
+
+def _sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, shingles) of the classes ``nodes`` (node, doc_id); a doc_id in several rows may give one twice.
+
+    Texts of a class meet it by the class's doc_id, and only texts that may be wanted are shuffled. Classes of rows that all lack one are
+    found among the sets of such rows.
+    """
+    named = stored(nodes.where("doc_id IS NOT NULL").select("node", F.col("doc_id").alias("named")), "named")
+    maybe = flag_wanted(docs.select("doc_id", "text"), "doc_id", named.select(F.col("named").alias("doc_id")), "may_be_wanted").where("may_be_wanted")
+    by_id = maybe.join(named, F.col("doc_id") == F.col("named")).select("node", "text").mapInArrow(_rebuilt("node"), SET)
+    without = nodes.where("doc_id IS NULL").select("node")
+    unnamed = docs.where("doc_id IS NULL").select("text").mapInArrow(_rebuilt(None), SET).join(without, "node", "left_semi")
+    return by_id.unionByName(unnamed.dropDuplicates(["node"]))
 
 
 def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
-    numbered = docs.select(F.col("doc_id"), "text")
-    rows = stored(measured(numbered), "measured")
+    caller, docs = docs.sparkSession, tidy(docs.select("doc_id", "text"))
+    rows = stored(measured(docs), "measured")
     documents = rows.where("slice IS NULL").select("doc_id", "n", "node")
     sketch = _sketch(rows.where("slice IS NOT NULL").select("slice", "counts"))
     classes = stored(documents.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")), "classes")
-    lists = stored(_lists(_postings(numbered, sketch, percent)), "lists")
-    drop_finished_shuffles(docs.sparkSession)
-    lists = stored(_often_listed(lists, classes.select("node", "n"), percent), "lists")
-    lists = stored(candidate_lists(lists, classes.select("node", "n")), "candidates")
+    found = stored(_lists(_postings(docs, sketch, percent)), "lists")
+    often = _often_listed(found, classes.select("node", "n"), percent)
+    lists = stored(candidate_lists(often), "candidates")
+    discard(found, often)
     active = stored(lists.select("node").distinct(), "active")
-    named = classes.where("doc_id IS NOT NULL").join(active, "node").select("node", "doc_id")
-    sets = stored(_sets_of(numbered, named), "sets")
-    drop_finished_shuffles(docs.sparkSession)
+    sets = stored(_sets_of(docs, classes.select("node", "doc_id").join(active, "node")), "sets")
     pairs = stored(lists.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
     links = stored(_tested(pairs, sets, percent), "links")
     found = connected_components(links)
     comps = stored(active.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "components")
-    more = stored(_links_between(lists, comps, sets, percent), "links")
+    more = _links_between(lists, comps, sets, percent)
+    discard(lists, pairs, sets, active)
     # Rows of one doc_id are one document: its classes belong together.
     same = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b <> c")
     shared = documents.where("n > 0").join(same, "doc_id").select(F.col("node").alias("a"), "b")
@@ -331,12 +357,19 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labelled = classes.join(final, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     labels = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = stored(labelled.join(labels, "component").select("node", "component_id"), "labels")
-    return documents.join(by_node, "node", "left").select(
+    discard(links, more, comps)
+    return passed_to(caller, documents).join(passed_to(caller, by_node), "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
 
 
 def drop_similar(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the document of the smallest doc_id of every component; all columns are kept."""
-    gone = similar_components(docs, percent).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(stored(gone, "gone"), "doc_id", "left_anti").select(docs.columns)
+    """``docs`` with the document of the smallest doc_id of every component; all columns are kept.
+
+    Rows without doc_id stay, as nothing names them. Only rows that may go are shuffled.
+    """
+    gone = stored(similar_components(docs, percent).where("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    columns = [f"`{c}`" for c in docs.columns]
+    flagged = flag_wanted(docs.select(F.struct(*columns).alias("row"), "doc_id"), "doc_id", gone, "may_go")
+    stays = flagged.where("may_go").join(gone, "doc_id", "left_anti")
+    return flagged.where("NOT may_go").select("row.*").unionByName(stays.select("row.*"))

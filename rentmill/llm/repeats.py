@@ -18,13 +18,12 @@ equal anchors at the same place. So
 
 In surroundings the anchor itself stands as its 64-bit hash; windows are equal when the hashes and the bytes around them are.
 The bitmaps are filters of a fixed size: beyond it more surroundings travel and the result is the same. Null texts are
-empty. A null doc_id counts as later than all others; rows that share a doc_id do not remove each other's text.
+empty. A null doc_id counts as later than all others; rows that share a doc_id, or have none, do not remove each other's text.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
+from rentmill.llm.filters import flag_wanted
 from rentmill.llm.shingles import VALUES, _powers, mixed
 from rentmill.llm.suffixes import common_prefixes, suffix_order
-from rentmill.llm.tables import drop_finished_shuffles, stored, text_of
+from rentmill.llm.tables import stored, text_of, tidy
+from rentmill.operators.views import passed_to
 
 WINDOW = 50
 GRAM = 26
@@ -44,6 +45,8 @@ REACH = WINDOW - GRAM
 # A window with the anchor's eight-byte hash in its place.
 SHORT = REACH + 8
 BLOCK_BYTES = 1 << 18  # small enough for the arrays of a block to stay in a cache
+STRETCH_BITS = 20
+SENT_ROWS = 1 << 14
 SHARD_ROWS = 1 << 14
 BITMAP_BITS = 27
 SLICE_BITS = 10
@@ -59,25 +62,52 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(done[: len(values) - width + 1], done[width - size : len(values) - size + 1]) if size < width else done
 
 
-def anchors(flat: np.ndarray, starts: np.ndarray, sums: bool = False) -> tuple[np.ndarray, ...]:
+def _hashes_of(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What hashes of any stretch of the bytes are made from: sums, and what takes a place out of them."""
+    up, down = _powers(16 if len(flat) < 1 << 16 else STRETCH_BITS + 1)
+    total = np.zeros(len(flat) + 1, np.uint64)
+    np.cumsum(VALUES[flat] * up[: len(flat)], out=total[1:])
+    return total, down
+
+
+def anchors(flat: np.ndarray, starts: np.ndarray, kinds: bool = False) -> tuple[np.ndarray, ...]:
     """Places and hashes of the anchors of all texts; equal smallest hashes in one window are all anchors.
 
-    With ``sums`` also what hashes of any stretch are made from.
+    With ``kinds`` also a hash of the surroundings of each. Windows are looked at a stretch at a time, so a very long text takes
+    memory for its anchors and for one stretch.
     """
-    if len(flat) < WINDOW:
-        return (np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (3 if sums else 1))
-    up, down = _powers(max(16, int(len(flat)).bit_length()))
-    total = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(VALUES[flat] * up[: len(flat)], out=total[1:])
-    grams = mixed((total[GRAM:] - total[:-GRAM]) * down[: len(flat) - GRAM + 1]) | np.uint64(1)
+    parts = [(np.zeros(0, np.int64), *[np.zeros(0, np.uint64)] * (2 if kinds else 1))]
+    for at in range(0, len(flat) - WINDOW + 1, 1 << STRETCH_BITS):
+        parts.append(_anchors_from(flat, starts, at, at + (1 << STRETCH_BITS), kinds))
+    if len(parts) == 2:
+        return parts[1]
+    found = tuple(np.concatenate(x) for x in zip(*parts))
+    _, first = np.unique(found[0], return_index=True)  # windows of two stretches may have one anchor
+    return tuple(x[first] for x in found)
+
+
+def _anchors_from(flat: np.ndarray, starts: np.ndarray, at: int, stop: int, kinds: bool) -> tuple[np.ndarray, ...]:
+    """The anchors of the windows that begin from ``at`` to before ``stop``."""
+    low = max(0, at - REACH)
+    part = flat[low : stop + REACH + WINDOW]
+    starts = np.clip(starts - low, 0, len(part))
+    total, down = _hashes_of(part)
+    grams = mixed((total[GRAM:] - total[:-GRAM]) * down[: len(part) - GRAM + 1]) | np.uint64(1)
     lowest = _sliding(grams, REACH + 1, np.minimum)
     ends = np.repeat(starts[1:], np.diff(starts))[: len(lowest)]
     lowest[np.arange(len(lowest)) + WINDOW > ends] = 0
+    lowest[: at - low] = 0
+    lowest[stop - low :] = 0
     reached = np.concatenate([np.zeros(REACH, np.uint64), lowest, np.zeros(REACH, np.uint64)])
     places = np.flatnonzero(_sliding(reached, REACH + 1, np.maximum) == grams)
     # The smallest hashes are anything but evenly spread; mixed again they are.
     hashes = mixed(grams[places])
-    return (places, hashes, total, down) if sums else (places, hashes)
+    if not kinds:
+        return places + low, hashes
+    owner = np.searchsorted(starts, places, side="right") - 1
+    left, right = np.maximum(places - REACH, starts[owner]), np.minimum(places + WINDOW, starts[owner + 1])
+    around = mixed((total[right] - total[left]) * down[left] + (right - left).astype(np.uint64)) ^ hashes
+    return places + low, hashes, around
 
 
 def _hash_counts(docs: DataFrame, bits: int) -> DataFrame:
@@ -182,17 +212,14 @@ class _Surroundings:
 
     def __init__(self, block: pa.RecordBatch, repeated: np.ndarray):
         self.flat, self.starts = utf8_bytes(block.column("text"))
-        places, hashes, sums, down = anchors(self.flat, self.starts, sums=True)
+        places, hashes, kinds = anchors(self.flat, self.starts, kinds=True)
         hit = _is_set(repeated, hashes)
-        self.places, self.hashes = places[hit], hashes[hit]
+        self.places, self.hashes, self.kinds = places[hit], hashes[hit], kinds[hit]
         self.owner = np.searchsorted(self.starts, self.places, side="right") - 1
         self.low = np.maximum(self.places - REACH, self.starts[self.owner])
         self.high = np.minimum(self.places + WINDOW, self.starts[self.owner + 1])
         self.docs_of = block.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy()
         self.docs = self.docs_of[self.owner]
-        if len(self.places):
-            whole = (sums[self.high] - sums[self.low]) * down[self.low]
-            self.kinds = mixed(whole + (self.high - self.low).astype(np.uint64)) ^ self.hashes
 
 
 def _first_kinds(docs: DataFrame, repeated: np.ndarray) -> list[np.ndarray]:
@@ -248,16 +275,16 @@ def _joined(owner: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.nd
     return owner[first], low[first], far[np.r_[first[1:] - 1, len(far) - 1]]
 
 
-SENT = "doc long, variant long, start int, stop int, hash long, around binary"
+# Rows that share a doc_id, or have none, are told apart by the two halves of their text's MD5.
+ROW = ["doc", "variant", "second"]
+SENT = "doc long, variant long, second long, start int, stop int, hash long, around binary"
 
 
 def _sent(docs: DataFrame) -> DataFrame:
     """Surroundings for the shards (with hash and bytes), and stretches already known to be removed (without)."""
     repeated = repeated_anchors(docs)
-    drop_finished_shuffles(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((repeated, *_first_kinds(docs, repeated)))
-    drop_finished_shuffles(docs.sparkSession)
-    names = ["doc", "variant", "start", "stop", "hash", "around"]
+    names = [*ROW, "start", "stop", "hash", "around"]
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, first_pairs, several_kinds = shared.value
@@ -266,18 +293,17 @@ def _sent(docs: DataFrame) -> DataFrame:
             if not len(found.places):
                 continue
             flat, starts, owner = found.flat, found.starts, found.owner
-            data, variant = flat.tobytes(), np.zeros(block.num_rows, np.int64)
+            data, variant = flat.tobytes(), np.zeros((block.num_rows, 2), np.int64)
             for k in np.unique(owner):
-                variant[k] = zlib.crc32(data[starts[k] : starts[k + 1]])
+                variant[k] = np.frombuffer(hashlib.md5(data[starts[k] : starts[k + 1]], usedforsecurity=False).digest(), ">i8")
             first = _is_set(first_pairs, _pair_hash(found.kinds, found.docs))
             if not first.all():
                 of, begin, end = _joined(owner[~first], found.low[~first], found.high[~first])
-                columns = [pa.array(found.docs_of[of]), pa.array(variant[of]), pa.array(begin - starts[of], pa.int32()), pa.array(end - starts[of], pa.int32())]
+                columns = [pa.array(found.docs_of[of]), *map(pa.array, variant[of].T.copy()), pa.array(begin - starts[of], pa.int32()), pa.array(end - starts[of], pa.int32())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.nulls(len(of), pa.int64()), pa.nulls(len(of), pa.binary())], names)
             several = _is_set(several_kinds, found.hashes)
-            for chosen, whole in ((np.flatnonzero(first & several), True), (np.flatnonzero(first & ~several), False)):
-                if not len(chosen):
-                    continue
+            chosen_rows = [(np.flatnonzero(first & several), True), (np.flatnonzero(first & ~several), False)]
+            for chosen, whole in [(rows[at : at + SENT_ROWS], whole) for rows, whole in chosen_rows for at in range(0, len(rows), SENT_ROWS)]:
                 of, low, high, place = owner[chosen], found.low[chosen], found.high[chosen], found.places[chosen]
                 if whole:
                     near = place[:, None] + np.r_[np.arange(-REACH, 0), np.zeros(8, np.int64), np.arange(GRAM, WINDOW)]
@@ -289,7 +315,7 @@ def _sent(docs: DataFrame) -> DataFrame:
                 offsets = np.r_[0, np.cumsum(inside.sum(axis=1))].astype(np.int32)
                 blob = pa.BinaryArray.from_buffers(pa.binary(), len(chosen), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(around[inside].tobytes())])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.docs_of[of]), pa.array(variant[of]), pa.array(low - starts[of], pa.int32()), pa.array(high - starts[of], pa.int32()),
+                    [pa.array(found.docs_of[of]), *map(pa.array, variant[of].T.copy()), pa.array(low - starts[of], pa.int32()), pa.array(high - starts[of], pa.int32()),
                      pa.array(found.hashes[chosen].view(np.int64)), blob], names
                 )
 
@@ -322,7 +348,7 @@ def _earliest(texts: np.ndarray, lengths: np.ndarray, docs: np.ndarray, known: t
 
 
 def _shard_spans(hashes, rows, places, stops, arounds, known, more: bool):
-    """What to remove in the rows (doc, variant) of one shard, and its windows in order.
+    """What to remove in the rows (doc, variant, second) of one shard, and its windows in order.
 
     ``known``: windows of the shards before for an anchor that began there, and the smallest doc of each of its fingerprints
     without bytes; ``more``: the anchor goes on after this shard.
@@ -376,7 +402,7 @@ def _merge_windows(known, table):
 
 
 def _spans(sent: DataFrame) -> DataFrame:
-    """(doc, variant, start, stop) of what repeats earlier documents."""
+    """(doc, variant, second, start, stop) of what repeats earlier documents."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -391,12 +417,11 @@ def _spans(sent: DataFrame) -> DataFrame:
                     continue
                 own = rows.slice(part.start, part.stop - part.start)
                 found, table = _shard_spans(
-                    hashes[part], np.column_stack([own.column("doc").to_numpy(), own.column("variant").to_numpy()]),
+                    hashes[part], np.column_stack([own.column(c).to_numpy() for c in ROW]),
                     *(own.column(c).to_numpy().astype(np.int64) for c in ("start", "stop")), own.column("around").to_pylist(), earlier, goes_on,
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found[0][:, 0]), pa.array(found[0][:, 1]), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())],
-                    ["doc", "variant", "start", "stop"],
+                    [*map(pa.array, found[0].T.copy()), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int32())], [*ROW, "start", "stop"],
                 )
             if goes_on:
                 known, known_hash = _merge_windows(known if carried else None, table), hashes[-1]
@@ -406,7 +431,7 @@ def _spans(sent: DataFrame) -> DataFrame:
         for batch in batches:
             done = batch.filter(pc.is_null(batch.column("hash")))
             if done.num_rows:
-                yield done.select(["doc", "variant", "start", "stop"])
+                yield done.select([*ROW, "start", "stop"])
             batch = batch.filter(pc.is_valid(batch.column("hash")))
             for at in range(0, batch.num_rows, SHARD_ROWS):
                 held.append(batch.slice(at, SHARD_ROWS))
@@ -425,17 +450,24 @@ def _spans(sent: DataFrame) -> DataFrame:
             yield from shard(pa.Table.from_batches(held).combine_chunks().to_batches()[0], False)
 
     place = F.when(F.col("hash").isNull(), F.xxhash64("doc")).otherwise(F.col("hash"))
-    return sent.repartition(place).sortWithinPartitions("hash", "doc").mapInArrow(search, "doc long, variant long, start int, stop int")
+    return sent.repartition(place).sortWithinPartitions("hash", "doc").mapInArrow(search, "doc long, variant long, second long, start int, stop int")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (null where all of the text stays) of every row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    spans = _spans(_sent(docs))
-    spans = stored(spans.groupBy("doc", "variant").agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
-    drop_finished_shuffles(docs.sparkSession)
-    named = docs.select(F.col("doc_id"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.crc32(text_of()).alias("variant"))
-    texts = named.join(spans, ["doc", "variant"], "left").select("doc_id", text_of().cast("binary").alias("text"), "spans")
+    found = _spans(_sent(tidy(docs.select("doc_id", "text"))))
+    found = stored(found.groupBy(*ROW).agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "spans")
+    spans = passed_to(docs.sparkSession, found)
+    digest = F.md5(text_of().cast("binary"))
+    halves = [F.conv(F.substring(digest, at, 16), 16, -10).cast("long").alias(name) for at, name in ((1, "variant"), (17, "second"))]
+    named = docs.select(F.col("doc_id"), text_of().cast("binary").alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), *halves)
+    # Only texts that may have spans are shuffled to meet them.
+    wanted = stored(spans.select(F.xxhash64(*ROW).alias("name")), "names")
+    flagged = flag_wanted(named.withColumn("name", F.xxhash64(*ROW)), "name", wanted, "may_have")
+    none = F.lit(None).cast(spans.schema["spans"].dataType).alias("spans")
+    alone = flagged.where("NOT may_have").select("doc_id", "text", none)
+    texts = alone.unionByName(flagged.where("may_have").join(spans, ROW, "left").select("doc_id", "text", "spans"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rentmill.storage import scratch_folder
+from rentmill.operators.views import passed_to, session_like
+from rentmill.storage import drop_folder, scratch_folder
 
 # White space as the contracts of this subpackage define it, and a word: a maximal run of anything else.
 SPACE = r"[\x20\x09-\x0D]"
@@ -29,14 +28,26 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_finished_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the files of shuffles whose results are stored or collected.
+def discard(*tables: DataFrame) -> None:
+    """Delete the folders of :func:`stored` tables that nothing reads any more."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            drop_folder(table.sparkSession, folder.rsplit("/", 1)[0])
+
+
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def tidy(df: DataFrame) -> DataFrame:
+    """``df`` in a session of its own, in which the shuffle files of a query go when the query ends.
 
-    It does so once no object in the driver refers to them, which takes a collection of garbage there; left alone that may come
-    after several more shuffles have filled the executors' disks.
+    Steps whose results are stored or collected then never hold more than one step's shuffles on the executors' disks. Elsewhere
+    the files stay until the driver's JVM collects what refers to them, which may be never. A result that its caller may run
+    several times has to be handed back to the caller's session (``passed_to``).
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    own = session_like(df.sparkSession)
+    own.conf.set(FREE_SHUFFLES, "true")
+    return passed_to(own, df)
 
 
 def text_of(column: str = "text"):
