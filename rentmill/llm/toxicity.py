@@ -4,9 +4,9 @@ A text is the set of its hashed n-grams of three to five bytes in lowercase. For
 smoothed frequency in toxic and in clean training rows is taken as a logarithm; the n-grams that tell the labels
 apart best keep a place, and a logistic regression is trained on their presence times that ratio.
 
-Training rows are at most about ``MOST_TRAINING_ROWS`` labelled rows (chosen by a hash of their id), a documented
-bound; counts are made over all of these in tasks, into a fixed number of cells. The driver gathers the cells, and
-the chosen n-grams of each training row. Labels with several rows per id count once per row. Null texts are empty.
+Counts are made over all labelled rows in tasks, into a fixed number of cells. The weights are fitted on at most about
+``MOST_TRAINING_ROWS`` of them (chosen by a hash of their id), a documented bound: the driver gathers the cells, and the chosen
+n-grams of each training row. Labels with several rows per id count once per row. Null texts are empty.
 Without labels of both kinds every score is the share of toxic labels, or 0.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
+from rentmill.llm.filters import flag_wanted
 from rentmill.llm.tables import bounded_sample, stored
 
 CELL_BITS = 18
@@ -100,12 +101,12 @@ def _count_cells(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return seen, np.array([rows.get(0, 0), rows.get(1, 0)], float)
 
 
-def _chosen(seen: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _chosen(seen: np.ndarray, rows: np.ndarray, features: int = FEATURES, least_rows: int = LEAST_ROWS) -> tuple[np.ndarray, np.ndarray]:
     """The cells that tell the labels apart best, by the chi-squared statistic, and their log-count ratios."""
     both = seen.sum(axis=0)
     expected = both * rows[1] / rows.sum()
-    apart = np.where(both >= LEAST_ROWS, (seen[1] - expected) ** 2 / np.maximum(expected, 1e-9), 0)
-    cells = np.argsort(-apart, kind="stable")[:FEATURES]
+    apart = np.where(both >= least_rows, (seen[1] - expected) ** 2 / np.maximum(expected, 1e-9), 0)
+    cells = np.argsort(-apart, kind="stable")[:features]
     cells = np.sort(cells[apart[cells] > 0])
     p, q = ((seen[toxic][cells] + SMOOTHING) / (rows[toxic] + 2 * SMOOTHING) for toxic in (1, 0))
     return cells, np.log(p / q)
@@ -127,22 +128,33 @@ def _logistic(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np
     return weight, bias
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_TRAINING_ROWS) -> Model:
-    """A model from the text of ``docs`` and the 0/1 column toxic of ``labels``, matched by doc_id."""
-    usable = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    chosen = bounded_sample(usable, "doc_id", most_rows, usable.count())
-    # Bounded by the parameter, so the broadcast is too.
-    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    training = stored(joined, "toxic-training")
-    seen, rows = _count_cells(training)
+def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, text and toxic of the documents with a label; only texts that may have one are shuffled."""
+    usable = stored(labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic")), "labels")
+    flagged = flag_wanted(docs.select("doc_id", "text"), "doc_id", usable.select("doc_id"), "may_be_labelled")
+    return flagged.where("may_be_labelled").drop("may_be_labelled").join(usable, "doc_id")
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, most_rows: int = MOST_TRAINING_ROWS, features: int = FEATURES, least_rows: int = LEAST_ROWS
+) -> Model:
+    """A model from the text of ``docs`` and the 0/1 column toxic of ``labels``, matched by doc_id.
+
+    The log-count ratios are those of all labelled rows. The model weighs the ``features`` n-gram cells (at most 65,536) that tell the
+    labels apart best, of those in ``least_rows`` rows or more; their weights are fitted in the driver on about ``most_rows`` rows. So an insult
+    that fewer labelled rows hold, or that ranks behind the features, is not learned.
+    """
+    labelled = stored(labelled_texts(docs, labels), "labelled")
+    seen, rows = _count_cells(labelled)
     weight = np.zeros(1 << CELL_BITS, np.float32)
     if not rows.all():
         return Model(weight, -30.0 if not rows[1] else 30.0)
-    cells, ratio = _chosen(seen, rows)
+    training = bounded_sample(labelled, "doc_id", most_rows, int(rows.sum()))
+    cells, ratio = _chosen(seen, rows, features, least_rows)
     place = np.full(1 << CELL_BITS, -1, np.int32)
     place[cells] = np.arange(len(cells))
 
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in text_blocks(batches, most_bytes=1 << 20):
             row, cell = gram_cells(block.column("text"), place >= 0)
             parts = np.split(place[cell].astype(np.uint16), np.searchsorted(row, np.arange(1, block.num_rows)))
@@ -152,7 +164,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_TRAINING_ROWS)
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = training.mapInArrow(features, f"doc_id {kind}, toxic int, features binary").toArrow().to_pylist()
+    sample = training.mapInArrow(chosen, f"doc_id {kind}, toxic int, features binary").toArrow().to_pylist()
     sample.sort(key=lambda r: (str(r["doc_id"]), r["toxic"], r["features"]))
     held = [np.frombuffer(r["features"], np.uint16).astype(np.int64) for r in sample]
     row = np.repeat(np.arange(len(sample)), [len(h) for h in held])
