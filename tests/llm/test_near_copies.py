@@ -22,9 +22,9 @@ def test_components_match_brute_force(documents, odd_texts):
 def test_components_with_tiny_batches_and_only_heavy_or_light_sets(documents, odd_texts, setting, monkeypatch):
     setting(spark__sql__execution__arrow__maxRecordsPerBatch=3)
     expected = brute.components(odd_texts)
-    monkeypatch.setattr(jaccard, "_light_boundary", lambda lists, sizes: 1 << 30)
+    monkeypatch.setattr(jaccard, "_light_boundary", lambda lists: 1 << 30)
     assert joined(documents(odd_texts)) == expected
-    monkeypatch.setattr(jaccard, "_light_boundary", lambda lists, sizes: 0)
+    monkeypatch.setattr(jaccard, "_light_boundary", lambda lists: 0)
     assert joined(documents(odd_texts, 1)) == expected
 
 
