@@ -325,6 +325,22 @@ def layers_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"))
 
 
+def layers_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table that a whole run stored, with its rows and the sum of 48-bit digests of their values as text."""
+    root = scratch_folder(spark, "values")
+    run_pipeline(spark, _source(spark, sf_dir), root)
+    contents = {RAW: TABLES, QUALITY: TABLES, ACCESS: TABLES, STAGING: tuple(STAGES), BUSINESS: tuple(RANKINGS)}
+    parts = []
+    for layer, tables in contents.items():
+        for table, rows in load_layer(spark, root, layer, tables).items():
+            values = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns))
+            digest = F.conv(F.substring(F.md5(values), 1, 12), 16, 10).cast("decimal(20,0)")
+            parts.append(rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("checksum")).select(
+                F.lit(layer).alias("layer"), F.lit(table).alias("table"), "rows", "checksum"
+            ))
+    return _union(parts)
+
+
 def layers_to_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"), upto=ACCESS)
 
@@ -502,7 +518,7 @@ def shop_queries() -> dict[str, Query]:
         layer_quality, layer_access, layer_staging, layer_business, layer_business_direct, layers_end_to_end,
         layers_to_access, append_weekly, ingest_incremental, ingest_weekly, ingest_archive, ingest_two_tables,
         ingest_summary_catches_up, weekly_beside_pipeline, land_types, sql_nested,
-        append_once, rankings_after_batches, load_with_bad_lines, ingest_with_bad_file,
+        append_once, layers_by_value, rankings_after_batches, load_with_bad_lines, ingest_with_bad_file,
     )
     return named | {query.__name__: query for query in plain}
 
@@ -530,6 +546,7 @@ def shop_sql() -> dict[str, str]:
         "write_overwrite": oracle.over_shop("SELECT payment_id, customer_id, rental_id FROM f_payment"),
         "write_append": oracle.over_shop("SELECT * FROM f_rental UNION ALL SELECT * FROM f_rental"),
         "append_once": rentals,
+        "layers_by_value": oracle.values({"address": ("address2",)}),
         "rankings_after_batches": business,
         "load_with_bad_lines": oracle.over_shop(
             "SELECT CASE WHEN rental_id % 7 = 0 THEN 'rejected' ELSE 'loaded' END AS place, rental_id, inventory_id FROM f_rental"

@@ -22,6 +22,12 @@ def test_steps_run_as_separate_jobs(spark, tmp_path):
         main([step, "--root", root], spark, shop.__getitem__)
     for target in RANKINGS:
         assert bag(read_layer(spark, root, BUSINESS, target)) == bag(rank_directly(target, shop))
+    main(["staging", "--root", root, "--buckets", "3"], spark)
+    main(["rankings", "--root", root], spark)
+    main(["vacuum", "--root", root, "--hours", "-1"], spark)
+    for target in RANKINGS:
+        assert bag(read_layer(spark, root, BUSINESS, target)) == bag(rank_directly(target, shop))
+    main(["load", "--root", root, "--quarantine"], spark)
     files = ["--root", root, "--files", f"{root}/landing/rental"]
     expected = bag(weekly_returned(shop["rental"]))
     main(["ingest", *files, "--checkpoint", f"{root}/checkpoint"], spark)
