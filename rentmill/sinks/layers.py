@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rentmill.operators.views import run_sql
-from rentmill.storage import drop_folder, folder_exists, layer_path
-from rentmill.versions import Part, Version, commit, new_folder, newest_version
+from rentmill.storage import drop_folder, layer_path
+from rentmill.versions import Part, Version, commit, is_plain_folder, new_folder, newest_version
 
 
 class PartlyHeld(ValueError):
@@ -40,7 +40,7 @@ def write_layer(
         raise ValueError(f"mode must be overwrite or append, not {mode}")
     if mode == "append":
         held = newest_version(spark, root, layer, table)
-        if held is None and folder_exists(spark, layer_path(root, layer, table)):
+        if held is None and is_plain_folder(spark, root, layer, table):
             raise ValueError(f"{layer_path(root, layer, table)} is a plain folder; overwrite it before appending")
         if held:
             _require_fit(df, held, partition_by, f"{layer}/{table}")

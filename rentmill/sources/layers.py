@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from rentmill.parallel import for_each
-from rentmill.storage import layer_path
-from rentmill.versions import Part, Version, newest_version
+from rentmill.storage import folder_exists, layer_path
+from rentmill.versions import Part, Version, is_plain_folder, newest_version
 
 
 def read_layer(
@@ -23,6 +23,8 @@ def read_layer(
     """
     version = newest_version(spark, root, layer, table)
     if version is None:
+        if folder_exists(spark, layer_path(root, layer, table)) and not is_plain_folder(spark, root, layer, table):
+            raise ValueError(f"{layer}/{table} has no version yet: its first write has not been committed")
         return (spark.read.schema(schema) if schema else spark.read).parquet(layer_path(root, layer, table))
     return read_parts(spark, root, version, version.parts, schema)
 

@@ -106,6 +106,19 @@ def test_a_writer_that_died_before_its_commit_changed_nothing(spark, tmp_path, m
     assert read_layer(spark, root, RAW, "t").count() == 5
 
 
+def test_rows_of_a_first_write_are_not_read_before_its_commit(spark, tmp_path, monkeypatch):
+    root, create = str(tmp_path), versions.create_file
+
+    def early(*args):
+        with pytest.raises(ValueError, match="not been committed"):
+            read_layer(spark, root, RAW, "t")
+        return create(*args)
+
+    monkeypatch.setattr(versions, "create_file", early)
+    write_layer(spark.range(2), root, RAW, "t", mode="append")
+    assert read_layer(spark, root, RAW, "t").count() == 2
+
+
 def test_a_half_written_commit_is_waited_for_and_then_passed_over(spark, tmp_path, monkeypatch):
     root = str(tmp_path)
     write_layer(spark.range(3), root, RAW, "t")
