@@ -270,7 +270,10 @@ def _block_links(rows: dict, percent: int) -> set[tuple[int, int]]:
 
 
 def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b), stored, between classes of one list that are not yet in one component."""
+    """Links (a, b), stored, between classes of one list that are not yet in one component.
+
+    ``lists`` and ``sets`` are deleted once they have been read, and so is every table made here: sets take as much room as their texts.
+    """
     sizes = stored(comps.groupBy("comp").agg(F.count(F.lit(1)).alias("members")), "component-sizes")
     placed = stored(lists.select("sig", "node").join(comps, "node").join(sizes, "comp"), "placed")
     largest = F.max(F.struct("members", "comp"))
@@ -278,9 +281,11 @@ def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent:
     mixed = stored(mixed.select("sig", F.col("most.comp").alias("key")), "mixed")
     roles = placed.join(mixed, "sig").select("key", "node", "comp", (F.col("comp") != F.col("key")).alias("rest")).distinct()
     held = stored(roles.join(sets.select("node", "n", "shingles"), "node"), "held")
+    discard(lists, sets, sizes, placed, mixed)
     parts = stored(held.groupBy("key", "rest").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count(F.lit(1)) / BLOCK_ROWS)).alias("parts")), "parts")
     blocks = held.join(parts, ["key", "rest"]).groupBy("key", "rest", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"))
     blocks = stored(blocks.agg(F.collect_list(F.struct("node", "comp", "shingles")).alias("members")), "blocks")
+    discard(held, parts)
     first = blocks.where("rest").select("key", F.col("part").alias("x"), F.col("members").alias("first"))
     second = blocks.select("key", "rest", F.col("part").alias("y"), F.col("members").alias("second"))
     tiles = first.join(second, "key").where("NOT rest OR x <= y").select("first", "second")
@@ -292,7 +297,7 @@ def _links_between(lists: DataFrame, comps: DataFrame, sets: DataFrame, percent:
                 yield pa.RecordBatch.from_arrays([pa.array([p[s] for p in found], pa.int64()) for s in (0, 1)], ["a", "b"])
 
     found = stored(tiles.mapInArrow(compare, "a long, b long"), "links")
-    discard(sizes, placed, mixed, held, parts, blocks)
+    discard(blocks)
     return found
 
 
@@ -335,8 +340,9 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id of every row of ``docs``."""
     caller, docs = docs.sparkSession, tidy(docs.select("doc_id", "text"))
     rows = stored(measured(docs), "measured")
-    documents = rows.where("slice IS NULL").select("doc_id", "n", "node")
+    documents = stored(rows.where("slice IS NULL").select("doc_id", "n", "node"), "documents")
     sketch = _sketch(rows.where("slice IS NOT NULL").select("slice", "counts"))
+    discard(rows)
     classes = stored(documents.where("n > 0").groupBy("node").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id")), "classes")
     found = stored(_lists(_postings(docs, sketch, percent)), "lists")
     often = _often_listed(found, classes.select("node", "n"), percent)
@@ -347,9 +353,9 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     pairs = stored(lists.where("node <> hub").select(F.greatest("node", "hub").alias("a"), F.least("node", "hub").alias("b")).distinct(), "pairs")
     links = stored(_tested(pairs, sets, percent), "links")
     found = connected_components(links)
+    discard(pairs)
     comps = stored(active.join(found, "node", "left").select("node", F.coalesce("component", "node").alias("comp")), "components")
     more = _links_between(lists, comps, sets, percent)
-    discard(lists, pairs, sets, active)
     # Rows of one doc_id are one document: its classes belong together.
     same = documents.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b <> c")
     shared = documents.where("n > 0").join(same, "doc_id").select(F.col("node").alias("a"), "b")
@@ -357,7 +363,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     labelled = classes.join(final, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     labels = labelled.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     by_node = stored(labelled.join(labels, "component").select("node", "component_id"), "labels")
-    discard(links, more, comps)
+    discard(links, more, comps, active)
     return passed_to(caller, documents).join(passed_to(caller, by_node), "node", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )
