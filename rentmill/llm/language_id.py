@@ -163,8 +163,8 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, mos
         seen[r["dimension"]] = r["n"]
     weights = np.log((1 + total) / (1 + seen)).astype(np.float32) + np.float32(0.1)
     bound = min(sample_per_language, max(1, most_rows // len(per_language)))
-    shares = rows.sparkSession.createDataFrame([(lang, min(1.0, bound / n)) for lang, n in sorted(per_language.items())], "lang string, share double")
-    chosen = rows.join(shares, "lang").where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.col("share") * (1 << 30))
+    shares = F.create_map(*(F.lit(x) for lang, n in sorted(per_language.items()) for x in (lang, min(1.0, bound / n))))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30))
     kind = rows.schema["doc_id"].dataType.simpleString()
     sample = sorted(chosen.mapInArrow(counted, f"doc_id {kind}, lang string, counts binary, begin string").collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["counts"], r["begin"]))
     languages, centroids, owner, limits = sorted(per_language), [], [], []
