@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rentmill.fixtures import oracle
@@ -334,13 +334,19 @@ def layers_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     for layer, tables in contents.items():
         for table, rows in load_layer(spark, root, layer, tables).items():
             values = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in rows.columns))
-            digest = F.conv(F.substring(F.md5(values), 1, 12), 16, 10).cast("decimal(20,0)")
-            parts.append(rows.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("checksum")).select(
+            digests = rows.select(F.conv(F.substring(F.md5(values), 1, 12), 16, 10).cast("long").alias("digest"))
+            parts.append(digests.agg(F.count(F.lit(1)).alias("rows"), _sum_of_48_bits("digest").cast("string").alias("checksum")).select(
                 F.lit(layer).alias("layer"), F.lit(table).alias("table"), "rows", "checksum"
             ))
     return _union(parts)
 
 
+def _sum_of_48_bits(column: str) -> Column:
+    """The sum of a long column of 48-bit numbers, 0 of none: summed as longs by halves, which hold 2^39 rows, since a sum of decimals takes most of the time."""
+    high, low = F.sum(F.shiftright(column, 24)), F.sum(F.col(column).bitwiseAND(F.lit((1 << 24) - 1)))
+    return F.coalesce(high.cast("decimal(20,0)") * F.lit(1 << 24) + low, F.lit(0))
+
+
 def layers_to_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_pipeline(spark, _source(spark, sf_dir), scratch_folder(spark, "pipeline"), upto=ACCESS)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 from helpers import DATA, bag
+from pyspark.sql import functions as F
 
+import __spark_entry__ as driver
 from rentmill import storage
 from rentmill.fixtures.tables import ShopTables
 from rentmill.operators import isolated_session, register_views, run_sql
@@ -202,3 +204,14 @@ def test_a_partial_run_stops_where_asked(spark, tmp_path):
     report = run_pipeline(spark, ShopTables(spark, SF_DIR).__getitem__, root, upto=QUALITY)
     assert {row.layer for row in report.collect()} == {RAW, QUALITY}
     assert sorted(path.name for path in tmp_path.iterdir() if path.name in LAYERS) == [QUALITY, RAW]
+
+
+def test_checksums_sum_longs_and_stay_exact(spark):
+    """Digests are summed as longs, not row by row as decimals, and beyond what a long holds."""
+    most = (1 << 48) - 1
+    digests = spark.range(200_000).select(F.when(F.col("id") < 199_999, F.lit(most)).otherwise(F.lit(5)).alias("digest"))
+    total = digests.agg(driver._sum_of_48_bits("digest").alias("total"))
+    assert int(total.first().total) == 199_999 * most + 5 > 1 << 63
+    plan = total._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and not [part for part in plan.split("partial_sum(")[1:] if "decimal" in part.split("]")[0].lower()]
+    assert str(digests.limit(0).agg(driver._sum_of_48_bits("digest").alias("total")).first().total) == "0"
