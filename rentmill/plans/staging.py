@@ -17,13 +17,13 @@ from rentmill.operators.joins import join_through
 
 Tables = Mapping[str, DataFrame]
 
-# Not a source table: rentals with the film they are of, shared by two stages.
+# Not a source table: rentals with the film and the store of their copy, shared by four stages.
 RENTED_FILMS = "rented_films"
 
 
 def rented_films(t: Tables) -> DataFrame:
     rental = t["rental"].select("inventory_id", "rental_id", "customer_id")
-    return rental.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id").drop("inventory_id")
+    return rental.join(t["inventory"].select("inventory_id", "film_id", "store_id"), "inventory_id").drop("inventory_id")
 
 
 def _rented_films(t: Tables) -> DataFrame:
@@ -37,7 +37,8 @@ def _by_film(t: Tables, links: DataFrame, names: tuple[DataFrame, str], broadcas
         rental = t["rental"].select("inventory_id", "rental_id", "customer_id")
         copies = t["inventory"].select("inventory_id", "film_id")
         return join_through(rental, (copies, "inventory_id"), (links, "film_id"), names, broadcast_limit=broadcast_limit)
-    return join_through(_rented_films(t), (links, "film_id"), names, broadcast_limit=broadcast_limit)
+    rented = _rented_films(t).select("film_id", "rental_id", "customer_id")
+    return join_through(rented, (links, "film_id"), names, broadcast_limit=broadcast_limit)
 
 
 def stage_actor(t: Tables, broadcast_limit: int | None = None, copies_first: bool = False) -> DataFrame:
@@ -74,19 +75,22 @@ def stage_city(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     return joined.select("city", "rental_id", "amount")
 
 
+def _of_copies(t: Tables, key: str, dimension: DataFrame, broadcast_limit: int | None) -> DataFrame:
+    """Rentals joined to what their copies lead to by ``key``; from the stored join of rentals and copies if a caller supplies it."""
+    if RENTED_FILMS in t:
+        return join_through(t[RENTED_FILMS].select(key, "rental_id"), (dimension, key), broadcast_limit=broadcast_limit)
+    rental, copies = t["rental"].select("inventory_id", "rental_id"), t["inventory"].select("inventory_id", key)
+    return join_through(rental, (copies, "inventory_id"), (dimension, key), broadcast_limit=broadcast_limit)
+
+
 def stage_film(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
-    rental = t["rental"].select("inventory_id", "rental_id")
-    copies = t["inventory"].select("inventory_id", "film_id")
-    film = t["film"].select("film_id", "title", "release_year", "rating")
-    joined = join_through(rental, (copies, "inventory_id"), (film, "film_id"), broadcast_limit=broadcast_limit)
+    joined = _of_copies(t, "film_id", t["film"].select("film_id", "title", "release_year", "rating"), broadcast_limit)
     return joined.select("title", "release_year", "rating", "rental_id")
 
 
 def stage_store(t: Tables, broadcast_limit: int | None = None) -> DataFrame:
     """The join to the stores only keeps rentals whose store exists."""
-    rental = t["rental"].select("inventory_id", "rental_id")
-    copies = t["inventory"].select("inventory_id", "store_id")
-    joined = join_through(rental, (copies, "inventory_id"), (t["store"].select("store_id"), "store_id"), broadcast_limit=broadcast_limit)
+    joined = _of_copies(t, "store_id", t["store"].select("store_id"), broadcast_limit)
     return joined.select("store_id", "rental_id")
 
 

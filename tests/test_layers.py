@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from helpers import DATA, bag
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from rentmill.functions import register_functions
 from rentmill.plans.business import RANKINGS, rank_directly
 from rentmill.plans.layers import build_business, build_staging, layer_report, load_raw
 from rentmill.plans.pipeline import run_pipeline
-from rentmill.plans.staging import STAGES
+from rentmill.plans.staging import RENTED_FILMS, STAGES, rented_films
 from rentmill.schemas import ACCESS, BUSINESS, LAYERS, QUALITY, RAW, SCHEMAS, STAGING, TABLES
 from rentmill.sinks import query_to_layer, write_layer
 from rentmill.sources import load_layer, read_layer
@@ -215,3 +217,16 @@ def test_checksums_sum_longs_and_stay_exact(spark):
     plan = total._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and not [part for part in plan.split("partial_sum(")[1:] if "decimal" in part.split("]")[0].lower()]
     assert str(digests.limit(0).agg(driver._sum_of_48_bits("digest").alias("total")).first().total) == "0"
+
+
+def test_landed_text_is_compressed(pipeline):
+    files = [path.name for path in Path(pipeline[0], "landing").rglob("part-*")]
+    assert files and all(name.endswith(".csv.gz") for name in files)
+
+
+@pytest.mark.parametrize("target", ["Top_Actor", "Top_Category", "Top_Film", "Top_Store"])
+def test_stages_of_rentals_share_one_join_to_the_copies(spark, target):
+    tables = ShopTables(spark, SF_DIR).all()
+    shared = STAGES[target](tables | {RENTED_FILMS: rented_films(tables).localCheckpoint()})
+    assert "inventory_id" not in shared._jdf.queryExecution().executedPlan().toString()
+    assert bag(shared) == bag(STAGES[target](tables))
