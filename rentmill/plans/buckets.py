@@ -4,9 +4,9 @@ Rentals are stored by copy and payments by customer, so the join of a stage read
 shuffled at all; only the dimensions, joined to each other first, move to the buckets. Link tables are stored by film,
 so joining copies to films moves the copies alone.
 
-A bucket is one task's work, whatever it holds: adaptive execution cannot split a join side that is not shuffled. Choose
-``number`` such that a bucket of facts suits a task, and keep to the plain layout (:func:`rentmill.plans.layers.build_staging`
-without buckets) where one key owns a large share of all facts.
+A bucket is one task's work, whatever it holds: adaptive execution cannot split a join side that is not shuffled. So the number of
+buckets grows with the rows (:func:`bucket_number`). Keep to the plain layout (:func:`rentmill.plans.layers.build_staging` without buckets)
+where one key owns a large share of all facts.
 """
 
 from __future__ import annotations
@@ -19,11 +19,13 @@ from rentmill.parallel import for_each
 from rentmill.plans.staging import STAGES
 from rentmill.schemas import ACCESS, SCHEMAS, STAGING, TABLES
 from rentmill.sinks.layers import write_layer
-from rentmill.sources.layers import load_layer, read_bucketed, read_layer
+from rentmill.sources.layers import count_layer, load_layer, read_bucketed, read_layer
 
 # Table -> the key its rows are stored by.
 BUCKETED = {"rental": "inventory_id", "payment": "customer_id", "film_actor": "film_id", "film_category": "film_id"}
 LINKED = ("Top_Actor", "Top_Category")
+# Rows that meet the facts of one bucket, or are in it, at most on average: a task sorts them in a few hundred MB.
+BUCKET_ROWS = 2_000_000
 
 
 def bucketed_of(table: str) -> str:
@@ -31,8 +33,24 @@ def bucketed_of(table: str) -> str:
     return f"{table}_bucketed"
 
 
-def store_buckets(spark: SparkSession, root: str, number: int) -> None:
-    """Write the bucketed form of the fact and link tables of the access layer."""
+def bucket_number(spark: SparkSession, root: str, least: int, bucket_rows: int = BUCKET_ROWS) -> int:
+    """``least``, doubled until no stage has more than about ``bucket_rows`` rows per bucket.
+
+    Counted are the tables as they were written, and the links repeated for every copy of their film (:func:`stage_in_buckets`),
+    whose number follows from the mean of links per film.
+    """
+    names = (*BUCKETED, "inventory", "film")
+    rows = dict(zip(names, for_each(spark, names, lambda table: count_layer(spark, root, ACCESS, table))))
+    repeated = [rows["inventory"] * rows[links] // max(rows["film"], 1) for links in ("film_actor", "film_category")]
+    number = least
+    while number * bucket_rows < max(*repeated, *(rows[table] for table in BUCKETED)):
+        number *= 2
+    return number
+
+
+def store_buckets(spark: SparkSession, root: str, number: int, bucket_rows: int = BUCKET_ROWS) -> None:
+    """Write the bucketed form of the fact and link tables of the access layer, in ``number`` buckets or more (:func:`bucket_number`)."""
+    number = bucket_number(spark, root, number, bucket_rows)
 
     def store(table: str) -> None:
         rows = read_layer(spark, root, ACCESS, table, SCHEMAS[table])
@@ -54,7 +72,7 @@ def stage_in_buckets(target: str, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def build_staging_in_buckets(spark: SparkSession, root: str, number: int) -> None:
-    """Write the six staging tables by way of buckets."""
+    """Write the six staging tables by way of ``number`` buckets or more."""
     store_buckets(spark, root, number)
     tables = bucketed_tables(spark, root)
     for_each(spark, STAGES, lambda target: write_layer(stage_in_buckets(target, tables), root, STAGING, target))

@@ -16,9 +16,9 @@ from rentmill.sinks.layers import write_layer
 from rentmill.sinks.quarantine import rejected_of, store_accepted
 from rentmill.sources.csv import read_csv_folder, read_csv_tolerantly
 from rentmill.sources.types import as_declared
-from rentmill.sources.layers import load_layer, read_layer
+from rentmill.sources.layers import count_layer, load_layer, read_layer
 from rentmill.storage import written_once
-from rentmill.versions import commit_unchanged, newest_version
+from rentmill.versions import commit_unchanged
 
 Source = Callable[[str], DataFrame]
 Rules = Mapping[str, Callable[[DataFrame], DataFrame]]
@@ -141,9 +141,5 @@ def layer_report(spark: SparkSession, root: str, layers: Mapping[str, Iterable[s
     """Rows of every stored table, as (layer, table, rows): those that were counted while the versions were written."""
     names = [(layer, table) for layer, tables in layers.items() for table in tables]
 
-    def rows(name: tuple[str, str]) -> int:
-        version = newest_version(spark, root, *name)
-        return read_layer(spark, root, *name).count() if version is None else version.rows
-
-    counted = zip(names, for_each(spark, names, rows))
+    counted = zip(names, for_each(spark, names, lambda name: count_layer(spark, root, *name)))
     return spark.createDataFrame([(*name, n) for name, n in counted], "layer string, table string, rows long")

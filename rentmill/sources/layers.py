@@ -29,6 +29,12 @@ def read_layer(
     return read_parts(spark, root, version, version.parts, schema)
 
 
+def count_layer(spark: SparkSession, root: str, layer: str, table: str) -> int:
+    """Rows of a stored table, as they were counted while its version was written."""
+    version = newest_version(spark, root, layer, table)
+    return read_layer(spark, root, layer, table).count() if version is None else version.rows
+
+
 def read_parts(
     spark: SparkSession, root: str, version: Version, parts: Iterable[Part], schema: T.StructType | None = None
 ) -> DataFrame:

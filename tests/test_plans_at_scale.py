@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 from rentmill.fixtures.tables import ShopTables
-from rentmill.plans.buckets import bucketed_tables, build_staging_in_buckets, stage_in_buckets, store_buckets
+from rentmill.plans.buckets import bucket_number, bucketed_tables, build_staging_in_buckets, stage_in_buckets, store_buckets
 from rentmill.plans.business import rank_directly
 from rentmill.plans.staging import STAGES
 from rentmill.plans.weekly import weekly_returned
 from rentmill.schemas import ACCESS, SCHEMAS, STAGING, TABLES
 from rentmill.sinks import write_layer
 from rentmill.sources import load_layer, read_layer
+from rentmill.versions import newest_version
 
 SF_DIR = f"{DATA}/sf0.01"
 
@@ -106,6 +107,19 @@ def test_bucketed_tables_are_written_a_file_per_bucket(spark, in_buckets):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("bucketed_")]
 
 
+def test_buckets_grow_in_number_with_the_rows(spark, in_buckets):
+    """Links repeated for their copies count too: they meet the facts of a bucket in one task."""
+    rows = {table: read_layer(spark, in_buckets, ACCESS, table).count() for table in ("rental", "film_actor", "inventory", "film")}
+    repeated = rows["inventory"] * rows["film_actor"] // rows["film"]
+    assert repeated > rows["rental"]
+    assert bucket_number(spark, in_buckets, 6, repeated) == 6
+    assert bucket_number(spark, in_buckets, 6, repeated // 20) == 24
+    store_buckets(spark, in_buckets, number=6, bucket_rows=repeated // 20)
+    tables = bucketed_tables(spark, in_buckets)
+    assert newest_version(spark, in_buckets, ACCESS, "rental_bucketed").buckets == ("inventory_id", 24)
+    assert bag(stage_in_buckets("Top_Actor", tables)) == bag(STAGES["Top_Actor"](ShopTables(spark, SF_DIR)))
+
+
 def test_staging_by_way_of_buckets_is_the_same(spark, in_buckets):
     build_staging_in_buckets(spark, in_buckets, number=3)
     for target in STAGES:
