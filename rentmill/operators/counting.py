@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rentmill.operators.sizes import broadcast_bytes, planned_bytes
 
-COUNT, COPIES, SALT, HOT = "_count", "_copies", "_salt", "_hot"
+COUNT, COPIES, SALT, HOT, PLACE = "_count", "_copies", "_salt", "_hot", "_place"
 
 # A link table up to this size is joined as it is: even a third of it is one ordinary task's work.
 PLAIN_JOIN_BYTES = 2 << 30
@@ -42,13 +42,18 @@ def join_counts(
     a large link table the keys with ``hot_links`` links or more are found (a pass over the key column alone) and get a
     salt per ``hot_links`` links; their few counts are repeated once per salt. All other keys join unsalted. Copies of a link are
     collapsed into one first, since copies cannot be told apart by a salt.
+
+    Links are dealt out before they are collapsed or counted: the task that scans or makes them would hold all its links to combine them.
     """
     if (planned_bytes(links) if links_bytes is None else links_bytes) <= plain_join_bytes:
         return counts.join(links, key)
     carried = [c for c in links.columns if c != key]
-    pairs = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
     if not carried:
+        pairs = links.groupBy(key).agg(F.count(F.lit(1)).alias(COPIES))
         return counts.join(pairs, key).select(key, (F.col(COUNT) * F.col(COPIES)).alias(COUNT))
+    # By the place they come from too, so that many copies of one link are collapsed in several tasks first.
+    links = links.withColumn(PLACE, F.spark_partition_id()).repartition(key, *carried, PLACE)
+    pairs = links.groupBy(key, *carried).agg(F.count(F.lit(1)).alias(COPIES))
     # At most rows / hot_links keys; the planner broadcasts them if they are few, whatever the caller's hot_links.
     hot = links.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / hot_links).alias(HOT), F.count(F.lit(1)).alias(COUNT + HOT))
     hot = hot.where(F.col(COUNT + HOT) >= hot_links).drop(COUNT + HOT)

@@ -172,6 +172,18 @@ def test_large_links_force_no_broadcast(spark, setting):
     assert "Broadcast" not in shape
 
 
+@pytest.mark.parametrize("target", ["Top_Actor", "Top_Category"])
+def test_the_task_that_makes_large_links_does_not_combine_them(spark, setting, target):
+    """Copies and genres come from few scanning tasks; their links are dealt out as they come, not held in a table of all of them."""
+    setting(spark__sql__autoBroadcastJoinThreshold=-1)
+    lines = initial_plan(rank_directly(target, ShopTables(spark, SF_DIR), plain_join_bytes=0, hot_links=30)).split("\n")
+    made = [at for at, line in enumerate(lines) if "FileScan parquet [p_partkey" in line]
+    assert made
+    for at in made:
+        over = next(line for line in reversed(lines[:at]) if "HashAggregate" in line or "Exchange" in line)
+        assert "Exchange" in over and "_place" in over
+
+
 @pytest.mark.parametrize("name", ["top_actor", "weekly_returned", "layers_to_access", "append_weekly", "ingest_weekly", "sql_nested"])
 def test_queries_leave_the_session_settings_alone(spark, name):
     before = dict(spark.conf.getAll)
