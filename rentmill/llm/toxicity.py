@@ -4,7 +4,7 @@ A text is the set of its hashed n-grams of three to five bytes in lowercase. For
 smoothed frequency in toxic and in clean training rows is taken as a logarithm; the n-grams that tell the labels
 apart best keep a place, and a logistic regression is trained on their presence times that ratio.
 
-Counts are made over all labelled rows in tasks, into a fixed number of cells. The weights are fitted on at most about
+Counts are made over all labelled rows in tasks, into a fixed number of cells; their texts are shuffled to the labels once and not stored. The weights are fitted on at most about
 ``MOST_TRAINING_ROWS`` of them (chosen by a hash of their id), a documented bound: the driver gathers the cells, and the chosen
 n-grams of each training row. Labels with several rows per id count once per row. Null texts are empty.
 Without labels of both kinds every score is the share of toxic labels, or 0.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
 from rentmill.llm.filters import flag_wanted
-from rentmill.llm.tables import bounded_sample, stored
+from rentmill.llm.tables import bounded_sample, stored, tidy
 
 CELL_BITS = 18
 STRETCH_BYTES = 1 << 20
@@ -78,27 +78,25 @@ def _split(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _count_cells(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Rows that hold each cell, by label, and rows by label."""
+    every = 1 << CELL_BITS  # counts as the cell that each row holds
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros((2, 1 << CELL_BITS), np.int64)
+        seen = np.zeros((2, every + 1), np.int64)
         for block in text_blocks(batches, most_bytes=1 << 20):
             label = block.column("toxic").to_numpy(zero_copy_only=False).astype(np.int64)
             row, cell = gram_cells(block.column("text"))
-            seen += np.bincount(label[row] << CELL_BITS | cell, minlength=2 << CELL_BITS).reshape(2, -1)
-        for toxic in (0, 1):
-            cells = np.flatnonzero(seen[toxic])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(cells), toxic), pa.int32()), pa.array(cells, pa.int32()), pa.array(seen[toxic][cells])],
-                ["toxic", "cell", "seen"],
-            )
+            seen[:, :every] += np.bincount(label[row] << CELL_BITS | cell, minlength=2 * every).reshape(2, -1)
+            seen[:, every] += np.bincount(label, minlength=2)
+        cells = np.flatnonzero(seen.any(axis=0))
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(seen[0][cells]), pa.array(seen[1][cells])], ["cell", "clean", "toxic"])
 
-    seen = np.zeros((2, 1 << CELL_BITS))
-    counted = training.select("text", "toxic").mapInArrow(count, "toxic int, cell int, seen long")
-    summed = counted.groupBy("toxic", "cell").agg(F.sum("seen").alias("seen")).where(F.col("seen") >= 1)
-    for batch in summed.toArrow().to_batches():
-        seen[batch.column("toxic").to_numpy(), batch.column("cell").to_numpy()] = batch.column("seen").to_numpy()
-    rows = {r["toxic"]: r["n"] for r in training.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return seen, np.array([rows.get(0, 0), rows.get(1, 0)], float)
+    seen = np.zeros((2, every + 1))
+    counted = training.select("text", "toxic").mapInArrow(count, "cell int, clean long, toxic long")
+    summed = counted.groupBy("cell").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    for batch in tidy(summed).toArrow().to_batches():
+        for toxic, name in enumerate(("clean", "toxic")):
+            seen[toxic, batch.column("cell").to_numpy()] = batch.column(name).to_numpy()
+    return seen[:, :every], seen[:, every]
 
 
 def _chosen(seen: np.ndarray, rows: np.ndarray, features: int = FEATURES, least_rows: int = LEAST_ROWS) -> tuple[np.ndarray, np.ndarray]:
@@ -128,13 +126,24 @@ def _logistic(row: np.ndarray, feature: np.ndarray, value: np.ndarray, label: np
     return weight, bias
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text and toxic of the documents with a label; only texts that may have one are shuffled."""
-    usable = stored(labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic")), "labels")
+def usable_labels(labels: DataFrame) -> DataFrame:
+    return stored(labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("toxic").cast("int").alias("toxic")), "labels")
+
+
+def labelled_texts(docs: DataFrame, usable: DataFrame) -> DataFrame:
+    """doc_id, text and toxic of the documents with one of the ``usable`` labels; only texts that may have one are shuffled."""
     flagged = flag_wanted(docs.select("doc_id", "text"), "doc_id", usable.select("doc_id"), "may_be_labelled")
     return flagged.where("may_be_labelled").drop("may_be_labelled").join(usable, "doc_id")
 
 
+def _training_rows(docs: DataFrame, usable: DataFrame, most_rows: int, count: int) -> DataFrame:
+    """About ``most_rows`` of the ``count`` labelled texts. Their labels go to the texts, unless most labels have no text and they are many."""
+    labels = bounded_sample(usable, "doc_id", most_rows, count)
+    if labels.count() <= 4 * most_rows:
+        return docs.select("doc_id", "text").join(F.broadcast(labels), "doc_id")
+    return labelled_texts(docs, labels)
+
+
 def fit(
     docs: DataFrame, labels: DataFrame, most_rows: int = MOST_TRAINING_ROWS, features: int = FEATURES, least_rows: int = LEAST_ROWS
 ) -> Model:
@@ -144,12 +153,12 @@ def fit(
     labels apart best, of those in ``least_rows`` rows or more; their weights are fitted in the driver on about ``most_rows`` rows. So an insult
     that fewer labelled rows hold, or that ranks behind the features, is not learned.
     """
-    labelled = stored(labelled_texts(docs, labels), "labelled")
-    seen, rows = _count_cells(labelled)
+    usable = usable_labels(labels)
+    seen, rows = _count_cells(labelled_texts(docs, usable))
     weight = np.zeros(1 << CELL_BITS, np.float32)
     if not rows.all():
         return Model(weight, -30.0 if not rows[1] else 30.0)
-    training = bounded_sample(labelled, "doc_id", most_rows, int(rows.sum()))
+    training = _training_rows(docs, usable, most_rows, int(rows.sum()))
     cells, ratio = _chosen(seen, rows, features, least_rows)
     place = np.full(1 << CELL_BITS, -1, np.int32)
     place[cells] = np.arange(len(cells))
@@ -164,7 +173,7 @@ def fit(
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sample = training.mapInArrow(chosen, f"doc_id {kind}, toxic int, features binary").toArrow().to_pylist()
+    sample = tidy(training.mapInArrow(chosen, f"doc_id {kind}, toxic int, features binary")).toArrow().to_pylist()
     sample.sort(key=lambda r: (str(r["doc_id"]), r["toxic"], r["features"]))
     held = [np.frombuffer(r["features"], np.uint16).astype(np.int64) for r in sample]
     row = np.repeat(np.arange(len(sample)), [len(h) for h in held])

@@ -128,3 +128,20 @@ def test_a_common_source_and_size_is_split(documents):
             own = [r for r in found if r.source == source]
             assert abs(sum(r.taken for r in own) - own[0].target) <= 3 and all(0 <= r.copies <= 3 for r in own)
             assert {r.copies for r in own if r.size == 0} <= {1}
+
+
+def test_labelled_texts_are_moved_once_and_not_stored(spark, documents, monkeypatch):
+    """What is written beside the shuffle holds no text, and training rows are the same whether labels or texts are moved to each other."""
+    rows, labels = toxic_corpus()
+    table, given = documents([(k, text, "en") for k, text in rows]), spark.createDataFrame(labels, "doc_id long, toxic int")
+    written, store = [], toxicity.stored
+    monkeypatch.setattr(toxicity, "stored", lambda df, label: written.append(df.columns) or store(df, label))
+    model = toxicity.fit(table, given, most_rows=100)
+    assert written and not [columns for columns in written if "text" in columns]
+    usable = toxicity.usable_labels(given)
+    drawn = {k for (k,) in toxicity.bounded_sample(usable, "doc_id", 100, 400).select("doc_id").collect()}
+    by_labels = sorted(toxicity._training_rows(table, usable, 100, 400).select("doc_id", "toxic").collect())
+    assert by_labels and {k for k, _ in by_labels} == drawn & {k for k, _ in rows}
+    many = usable.unionAll(spark.range(10_000, 14_000).selectExpr("id AS doc_id", "0 AS toxic"))
+    assert sorted(toxicity._training_rows(table, many, 100, 400).select("doc_id", "toxic").collect()) == by_labels
+    assert np.array_equal(toxicity.fit(table, many, most_rows=100).weight, model.weight)
