@@ -48,7 +48,7 @@ def arguments(argv: Sequence[str]) -> argparse.Namespace:
     parser.add_argument("--table", help="raw table that weekly or ingest adds to; its summary is named after it")
     parser.add_argument("--max-file-age", default=ANY_AGE, help="how long ingest remembers file names (ingest)")
     parser.add_argument("--quarantine", action="store_true", help="set malformed lines aside instead of stopping (load)")
-    parser.add_argument("--buckets", type=int, help="store facts in this many buckets and stage from them (staging)")
+    parser.add_argument("--buckets", type=int, help="store facts in this many buckets or more and stage from them (staging)")
     parser.add_argument("--by-quantiles", action="store_true", help="split database scans at quantiles of the key (land, all)")
     parser.add_argument("--hours", type=float, default=24, help="age from which unneeded folders go (vacuum)")
     options = parser.parse_args(argv)
