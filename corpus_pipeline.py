@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rentmill.llm import exact_dedup, jaccard, language_id, mixing, packing
 from rentmill.llm.tables import held_out, read_table, stored
+from rentmill.operators.views import passed_to
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,5 +50,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = passed_to(spark, stored(stage(spark, docs, sf_dir), f"stage-{name}"))
     return docs

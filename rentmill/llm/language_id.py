@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks, utf8_bytes
+from rentmill.llm.tables import small_batches
 
 DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 400
@@ -39,9 +40,9 @@ FOLDS = 4
 LEAST_VALUES = 8
 CUTS = [n << k for k in range(8) for n in (3, 4)]
 UNKNOWN = "und"
-BLOCK_ROWS = 512
-BLOCK_BYTES = 1 << 20
-STRETCH_BYTES = 1 << 20
+BLOCK_ROWS = 64  # 2 MB of counts; workers keep what a block took
+BLOCK_BYTES = 1 << 18
+STRETCH_BYTES = 1 << 18
 SPACE = 32
 SPACED = np.arange(256, dtype=np.uint8)
 SPACED[[b for b in range(128) if not chr(b).isalpha()]] = SPACE
@@ -136,7 +137,7 @@ def fit(training: DataFrame, sample_per_language: int = SAMPLE_PER_LANGUAGE, mos
     Document frequencies are counted over all rows. Centroids and limits are fitted in the driver on about ``sample_per_language`` rows of
     each language and ``most_rows`` in all (8 KB of counts a row), fewer of each where there are very many languages.
     """
-    rows = training.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang")
+    rows = small_batches(training.where("text IS NOT NULL AND lang IS NOT NULL").select("doc_id", "text", "lang"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(DIMENSIONS, np.int64)
@@ -214,7 +215,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows whose text the model rejects; rows are not shuffled and keep all columns."""
+    """``docs`` without the rows whose text the model rejects, in a session of its own; rows are not shuffled and keep all columns."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def accept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,4 +231,4 @@ def keep_accepted(docs: DataFrame, model: Model) -> DataFrame:
             letters = [bool(text and has_letter(text)) for text in block.column("text").to_pylist()]
             yield block.filter(pa.array(good & np.array(letters)))
 
-    return docs.mapInArrow(accept, docs.schema)
+    return small_batches(docs).mapInArrow(accept, docs.schema)

@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 
 from rentmill.llm.blocks import text_blocks
 from rentmill.llm.cutting_stock import whole_patterns
-from rentmill.llm.tables import stored
+from rentmill.llm.tables import small_batches, stored
+from rentmill.operators.views import passed_to
 
 SEQUENCE = 1024
 UNIT = 4
@@ -152,4 +153,5 @@ def place_pieces(pieces: DataFrame, sequence: int = SEQUENCE) -> DataFrame:
 
 def pack(docs: DataFrame, sequence: int = SEQUENCE, **encoding) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, (ids,) sequence_id and offset of every piece of every document."""
-    return place_pieces(stored(cut_pieces(docs, sequence, **encoding), "pieces"), sequence)
+    pieces = stored(cut_pieces(small_batches(docs), sequence, **encoding), "pieces")
+    return place_pieces(passed_to(docs.sparkSession, pieces), sequence)
